@@ -6,12 +6,15 @@ readings, line items and orders are road segments between numbered vertices.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fumeline.functions.columns import line_length
 from fumeline.operators.numbering import number
 from fumeline.session import stage_root
+from fumeline.sources.readings import AREA, DAY, READING, read_readings
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -20,13 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def readings_file(spark: SparkSession, sf_dir: str) -> str:
+    """Write the events as daily readings in gzip-compressed text; returns the folder.
+
+    Every seventh reading is missing, told by one text or another.
+    """
+    slot = (spark.sparkContext.applicationId, sf_dir, "readings")
+    if slot not in _written:
+        path = f"{stage_root(spark)}/readings-{uuid.uuid4().hex}.txt.gz"
+        event = F.col("event_id")
+        table(spark, sf_dir, "events").select(
+            F.lpad(F.col("user_id").cast("string"), 12, "0").alias(AREA),
+            F.col("ts").cast("date").cast("string").alias(DAY),
+            F.when(event % 14 == 0, "NA").when(event % 7 == 0, "")
+            .otherwise(F.col("value").cast("string")).alias(READING),
+        ).write.option("header", True).option("compression", "gzip").csv(path)
+        _written[slot] = path
+    return _written[slot]
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as daily readings."""
-    return table(spark, sf_dir, "events").select(
-        F.lpad(F.col("user_id").cast("string"), 12, "0").alias("FIPS"),
-        F.col("ts").cast("date").cast("string").alias("Date"),
-        F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("pm25"),
-    )
+    return read_readings(spark, readings_file(spark, sf_dir), columns=[AREA, DAY, READING])
 
 
 def segment_columns(rows: DataFrame) -> DataFrame:
@@ -75,7 +92,7 @@ def feature_classes(spark: SparkSession, sf_dir: str, year: int) -> str:
     slot = (spark.sparkContext.applicationId, sf_dir, str(year))
     if slot in _written:
         return _written[slot]
-    root = f"{stage_root(spark)}/workspace-{len(_written)}-{year}"
+    root = f"{stage_root(spark)}/workspace-{year}-{uuid.uuid4().hex}"
     if year == 2020:
         order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                  "l_extendedprice"]

@@ -60,9 +60,9 @@ def route_key(
     different routes can share one; ``strict`` keeps every (route, traffic) pair
     apart.
     """
-    kinds = dict(df.dtypes)
-    route_text = number_text(F.col(route), kinds[route])
-    aadt_text = number_text(F.col(aadt), kinds[aadt])
+    kinds = {n.lower(): t for n, t in df.dtypes}
+    route_text = number_text(F.col(route), kinds[route.lower()])
+    aadt_text = number_text(F.col(aadt), kinds[aadt.lower()])
     if strict:
         # Traffic text holds no "|" and a present route starts with "=", so the
         # pair can be read back from the key.

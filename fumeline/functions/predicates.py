@@ -31,10 +31,10 @@ def with_traffic(df: DataFrame, aadt: str = "AADT", length: str = "Shape_Length"
 
     Spark ranks NaN above every number, so a floating column needs the extra test.
     """
-    kinds = dict(df.dtypes)
+    kinds = {n.lower(): t for n, t in df.dtypes}
     keep = F.lit(True)
     for name in (aadt, length):
         keep = keep & (F.col(name) > 0)
-        if kinds[name] in ("float", "double"):
+        if kinds[name.lower()] in ("float", "double"):
             keep = keep & ~F.isnan(name)
     return df.filter(keep)

@@ -19,9 +19,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumeline.session import stage
+from fumeline.session import stage, stage_counting
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
+_ROW_MASK = (1 << _ROW_BITS) - 1
 _POINT = "struct<x:double,y:double>"
 
 
@@ -32,35 +33,36 @@ def _rows(names: str, *rows: tuple[Column, ...]) -> Column:
     ))
 
 
-def stage_features(df: DataFrame, paths: str = "paths") -> DataFrame:
-    """Stage features with what edge numbers are made of: a row id and a point count."""
+def stage_features(df: DataFrame, paths: str = "paths") -> tuple[DataFrame, int]:
+    """Stage features with the number of their first edge; and how many numbers each has."""
     points = F.aggregate(F.col(paths), F.lit(0), lambda n, p: n + F.size(p) + 1)
-    return stage(
-        df.withColumns({"_row": F.monotonically_increasing_id(), "_points": points}), "features"
+    row = F.monotonically_increasing_id()
+    staged, most = stage_counting(
+        df.withColumn("_row", row), "features", part=F.max(F.shiftright("_row", _ROW_BITS)),
+        row=F.max(F.col("_row").bitwiseAND(_ROW_MASK)), points=F.max(points),
     )
-
-
-def _edge_rows(staged: DataFrame, keys: list[str], paths: str) -> tuple[DataFrame, int]:
-    """All vertex pairs with their edge numbers; and how many numbers a feature has."""
-    row, part = F.col("_row").bitwiseAND((1 << _ROW_BITS) - 1), F.shiftright("_row", _ROW_BITS)
-    top = staged.agg(F.max(part), F.max(row), F.max("_points")).first()
-    parts, rows, width = ((v or 0) + 1 for v in top)
+    parts, rows, width = ((most[n] or 0) + 1 for n in ("part", "row", "points"))
     if parts * rows * width >= 1 << 62:
         raise OverflowError("edge numbers do not fit 64 bits; stage fewer features per job")
+    nth = F.shiftright("_row", _ROW_BITS) * rows + F.col("_row").bitwiseAND(_ROW_MASK)
+    return staged.withColumn("_base", nth * width).drop("_row"), width
+
+
+def _edge_rows(staged: DataFrame, keys: list[str], paths: str) -> DataFrame:
+    """All vertex pairs of the features' paths with their edge numbers."""
     # Paths one after the other, a gap before each, so pairs never span two paths.
     gap = F.array(F.lit(None).cast(_POINT))
     points = F.flatten(F.transform(F.col(paths), lambda p: F.concat(gap, p)))
     pairs = F.zip_with("_line", F.slice("_line", 2, F.greatest(F.size("_line"), F.lit(1))),
                        lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    base = (part * rows + row) * width
-    exploded = staged.select(*keys, base.alias("_base"), points.alias("_line")).select(
+    exploded = staged.select(*keys, "_base", points.alias("_line")).select(
         *keys, "_base", F.posexplode(pairs).alias("_pos", "_e")
     )
     return exploded.select(
         *keys, (F.col("_base") + F.col("_pos")).alias("edge"),
         F.col("_e.a.x").alias("hx"), F.col("_e.a.y").alias("hy"),
         F.col("_e.b.x").alias("tx"), F.col("_e.b.y").alias("ty"),
-    ).filter("hx is not null and tx is not null and (hx <> tx or hy <> ty)"), width
+    ).filter("hx is not null and tx is not null and (hx <> tx or hy <> ty)")
 
 
 def _distinct(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,8 +90,8 @@ def snap(df: DataFrame, tolerance: float, paths: str = "paths") -> DataFrame:
 
 def distinct_edges(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """The union of each group's lines as edges, coincident ones kept once."""
-    rows, _ = _edge_rows(stage_features(features.select(*keys, paths), paths), keys, paths)
-    return _distinct(rows, keys).drop("end")
+    staged, _ = stage_features(features.select(*keys, paths), paths)
+    return _distinct(_edge_rows(staged, keys, paths), keys).drop("end")
 
 
 def _joints(edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -158,70 +160,71 @@ def _arcs(pieces: DataFrame, joints: DataFrame) -> DataFrame:
     return ends.select("arc", "piece").join(onward, "arc", "left")
 
 
-def _follow(arcs: DataFrame) -> tuple[DataFrame, DataFrame]:
+# An arc that leads to another one, not to nothing or back to itself.
+_LEADS_ON = "(next is not null and next <> arc)"
+
+
+def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
     """Follow ``next`` from every arc to its chain's last arc, by pointer doubling.
 
-    Returns (arc, last, dist) for arcs that have an end and (arc, low) for arcs on
-    rings, ``low`` being the ring's lowest arc. Each round doubles the reach, so
-    there are about log2(longest chain) of them. The number of open arcs falls in
-    every round until only rings are left; a ring is known in full once no lowest
-    arc changes any more.
+    ``left`` is the number of arcs that lead on. Returns (arc, piece, last, dist, ring)
+    for arcs that have an end, a lone piece closed on itself counting as one, and (arc, low) for arcs on rings, if there are any, ``low``
+    being the ring's lowest arc. Each round doubles the reach, so there are about
+    log2(longest chain) of them. The number of open arcs falls in every round until
+    only rings are left; a ring is known in full once no lowest arc changes any more.
     """
-    own = F.col("arc")
-    over = F.coalesce(F.col("next") == own, F.lit(True))
-    found = [arcs.filter(over).select("arc", own.alias("ptr"), F.lit(0).cast("long").alias("dist"))]
-    open_ = arcs.filter(~over).select(
-        "arc", F.col("next").alias("ptr"), F.lit(1).cast("long").alias("dist"), own.alias("low")
+    arc = F.col("arc")
+    found = [arcs.filter(f"not {_LEADS_ON}").select(
+        "arc", "piece", arc.alias("ptr"), F.lit(0).cast("long").alias("dist"),
+        F.col("next").isNotNull().alias("ring"),
+    )]
+    open_ = arcs.filter(_LEADS_ON).select(
+        "arc", "piece", F.col("next").alias("ptr"), F.lit(1).cast("long").alias("dist"),
+        arc.alias("low"),
     )
-    left, changed = open_.count(), 1
-    while left:
-        ends = reduce(DataFrame.unionByName, found).withColumns(
+    before, changed = left + 1, 1
+    while left and (left < before or changed):
+        ends = reduce(DataFrame.unionByName, found).drop("ring").withColumns(
             {"low": F.lit(None).cast("long"), "done": F.lit(True)}
         )
         there = ends.unionByName(open_.withColumn("done", F.lit(False))).select(
-            F.col("arc").alias("ptr"), F.col("ptr").alias("far"), F.col("dist").alias("more"),
+            arc.alias("ptr"), F.col("ptr").alias("far"), F.col("dist").alias("more"),
             F.col("low").alias("far_low"), "done",
         )
         low = F.least("low", "far_low")
-        step = stage(open_.join(there, "ptr").select(
-            "arc", F.col("far").alias("ptr"), (F.col("dist") + F.col("more")).alias("dist"),
-            low.alias("low"), "done", (low != F.col("low")).alias("lower"),
-        ), "round")
-        found.append(step.filter("done").select("arc", "ptr", "dist"))
-        open_ = step.filter("not done").select("arc", "ptr", "dist", "low")
-        before = left
-        left, changed = step.filter("not done").agg(
-            F.count(F.lit(1)), F.coalesce(F.sum(F.col("lower").cast("int")), F.lit(0))
-        ).first()
-        if left == before and not changed:
-            break
+        step, seen = stage_counting(
+            open_.join(there, "ptr").select(
+                "arc", "piece", F.col("far").alias("ptr"),
+                (F.col("dist") + F.col("more")).alias("dist"), low.alias("low"), "done",
+                (~F.col("done") & (low != F.col("low"))).alias("lower"),
+            ), "round", left=F.count_if(~F.col("done")), changed=F.count_if(F.col("lower")),
+        )
+        found.append(step.filter("done").select(
+            "arc", "piece", "ptr", "dist", F.lit(False).alias("ring")
+        ))
+        open_ = step.filter("not done").select("arc", "piece", "ptr", "dist", "low")
+        before, left, changed = left, seen["left"], seen["changed"]
     ended = reduce(DataFrame.unionByName, found).withColumnRenamed("ptr", "last")
-    return ended, open_.select("arc", "low")
+    return ended, open_.select("arc", "low") if left else None
 
 
 def _ranked(arcs: DataFrame) -> DataFrame:
     """One row per piece: its chain, the arc it is left by, its distance to the end, ring or not."""
-    ended, circling = _follow(arcs)
-    rings = stage(circling, "rings")
-    alone = arcs.filter("next = arc").select("arc", F.lit(True).alias("ring"))
-    if rings.isEmpty():
-        every = ended.join(alone, "arc", "left")
-    else:
+    arcs, seen = stage_counting(arcs, "arcs", left=F.count_if(F.expr(_LEADS_ON)))
+    every, rings = _follow(arcs, seen["left"])
+    if rings is not None:
         # A ring is cut after its lowest arc and followed like any other chain.
-        cut = stage(
-            rings.join(arcs, "arc").select(
-                "arc", F.when(F.col("arc") != F.col("low"), F.col("next")).alias("next")
-            ), "cut",
-        )
-        opened, _ = _follow(cut)
-        every = ended.join(alone, "arc", "left").unionByName(
-            opened.withColumn("ring", F.lit(True))
+        leads = F.when(F.col("arc") != F.col("low"), F.col("next"))
+        cut, seen = stage_counting(
+            rings.join(arcs, "arc").select("arc", "piece", leads.alias("next")), "cut",
+            left=F.count_if(F.expr(_LEADS_ON)),
         )
+        opened, _ = _follow(cut, seen["left"])
+        every = every.unionByName(opened.withColumn("ring", F.lit(True)))
     # Each chain is followed both ways; keep the way whose last arc is lower.
-    return every.join(arcs.select("arc", "piece"), "arc").groupBy("piece").agg(
+    return every.groupBy("piece").agg(
         F.min("last").alias("chain"), F.min_by("arc", "last").alias("arc"),
-        F.min_by("dist", "last").alias("dist"),
-        F.coalesce(F.max("ring"), F.lit(False)).alias("ring"),
+        F.min_by("dist", "last").alias("dist"), F.bool_or("ring").alias("ring"),
     )
 
 
@@ -245,13 +248,14 @@ def _settled(path: Column, ring: Column) -> Column:
     return F.when(backward, F.reverse(start)).otherwise(start)
 
 
-def chains_of_staged(staged: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
+def chains_of_staged(
+    staged: DataFrame, width: int, keys: list[str], paths: str = "paths"
+) -> DataFrame:
     """:func:`chains` for features already put through :func:`stage_features`."""
-    rows, width = _edge_rows(staged, keys, paths)
-    edges = stage(_distinct(rows, keys), "edges")
+    edges = stage(_distinct(_edge_rows(staged, keys, paths), keys), "edges")
     joints = stage(_joints(edges, keys), "joints")
     pieces = stage(_pieces(edges, joints, keys, width), "pieces")
-    ranked = _ranked(stage(_arcs(pieces, joints), "arcs"))
+    ranked = _ranked(_arcs(pieces, joints))
     backward = F.col("arc") % 2 == 0
     drawn = pieces.join(ranked, "piece").select(
         *keys, "chain", "ring", (-F.col("dist")).alias("rank"),
@@ -270,7 +274,8 @@ def chains_of_staged(staged: DataFrame, keys: list[str], paths: str = "paths") -
 
 def chains(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """Each group's lines merged into maximal chains, one row per chain."""
-    return chains_of_staged(stage_features(features.select(*keys, paths), paths), keys, paths)
+    staged, width = stage_features(features.select(*keys, paths), paths)
+    return chains_of_staged(staged, width, keys, paths)
 
 
 def single_part(lines: DataFrame, attributes: DataFrame, keys: list[str]) -> DataFrame:

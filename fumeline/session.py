@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -54,3 +54,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counting(df: DataFrame, label: str, **sums: Column) -> tuple[DataFrame, dict]:
+    """:func:`stage`, and aggregates of the rows taken while they are written."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[c.alias(n) for n, c in sums.items()]), label)
+    return staged, seen.get

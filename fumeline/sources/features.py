@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fumeline.session import stage
@@ -21,14 +20,20 @@ LAYOUTS = {
 }
 
 
-def _source_name(path):
-    """The feature class a file belongs to: the folder or file stem it lies in.
+def _feature_class(path: Column) -> Column:
+    """The folder or file that is a whole feature class, for a file of it.
 
     Understands ``CA_2020/part-0.parquet``, ``CA_2020.parquet`` (file or folder)
     and the ``name=CA_2020/`` folders of a partitioned write.
     """
-    within = F.regexp_replace(path, r"/part-[^/]*$", "")
-    return F.regexp_extract(within, r"([^/=]+?)(?:\.(?:parquet|json))?$", 1)
+    file = F.substring_index(path, "/", -1)
+    return F.when(file.startswith("part-"), F.left(path, F.length(path) - F.length(file) - 1)).otherwise(path)
+
+
+def _source_name(path: Column) -> Column:
+    """The feature class's name. Plain cuts, as this runs on every row."""
+    name = F.substring_index(_feature_class(path), "/", -1)
+    return F.substring_index(F.substring_index(name, "=", -1), ".", 1)
 
 
 def _globs(root: str, pattern: str, recursive: bool) -> str:
@@ -47,8 +52,8 @@ def list_sources(
     Only file metadata is read, and one row per feature class comes back.
     """
     files = spark.read.format("binaryFile").load(_globs(root, pattern, recursive))
-    folder = F.regexp_replace("path", r"/part-[^/]*$", "")
-    found = files.select(folder.alias("at"), _source_name(F.col("path")).alias("name"))
+    path = F.col("path")
+    found = files.select(_feature_class(path).alias("at"), _source_name(path).alias("name"))
     return [(r["at"], r["name"]) for r in found.distinct().orderBy("name", "at").collect()]
 
 
