@@ -3,7 +3,7 @@
 The output line is a maximal chain: it passes through vertices where exactly two
 distinct edges of its group meet, and ends at all others. No step works on a whole
 group. Edges and vertices are grouped by coordinates, runs within one input feature
-by that feature, and chains are followed by pointer doubling over ids, so a group
+by that feature, and chains are followed by look-ups over ids, so a group
 holding a third of all rows spreads like any other rows.
 
 Ids. An edge's number counts along its feature, so neighbours on a path differ by
@@ -129,11 +129,12 @@ def _pieces(edges: DataFrame, joints: DataFrame, keys: list[str], width: int) ->
         "feature", F.expr(f"edge div {width}")
     )
     along = Window.partitionBy("feature").orderBy("edge", "drawn")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     follows = F.lag(F.struct("edge", "drawn")).over(along) == F.struct("edge", F.lit(0))
     begins = F.when((F.col("drawn") == 1) & ~F.coalesce(follows, F.lit(False)), F.col("edge"))
     runs = (
         rows.withColumn("begins", begins)
-        .withColumn("piece", F.last("begins", ignorenulls=True).over(along))
+        .withColumn("piece", F.last("begins", ignorenulls=True).over(so_far))
         .filter("drawn = 1")
     )
     steps = F.array_sort(F.collect_list(F.struct("edge", "head", "tail")))
@@ -164,14 +165,36 @@ def _arcs(pieces: DataFrame, joints: DataFrame) -> DataFrame:
 _LEADS_ON = "(next is not null and next <> arc)"
 
 
+# Look-ups per round. They share one layout of the arcs looked up, so a round with
+# three costs less than the two doublings it stands for.
+_HOPS = 3
+
+
+def _hop(step: DataFrame, there: DataFrame) -> DataFrame:
+    """Move every pointer on by what its target knew when the round began.
+
+    An arc that has reached its end looks itself up, to no effect: every look-up key
+    stays unique, where the end of a long chain would be a hot one.
+    """
+    done = F.col("done")
+    met = step.withColumn("at", F.when(done, F.col("arc")).otherwise(F.col("ptr"))).join(there, "at")
+    return met.select(
+        "arc", "piece", F.when(done, F.col("ptr")).otherwise(F.col("far")).alias("ptr"),
+        (F.col("dist") + F.when(done, 0).otherwise(F.col("more"))).alias("dist"),
+        F.when(done, F.col("low")).otherwise(F.least("low", "far_low")).alias("low"),
+        (done | F.col("far_done")).alias("done"), "was",
+    )
+
+
 def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
-    """Follow ``next`` from every arc to its chain's last arc, by pointer doubling.
+    """Follow ``next`` from every arc to its chain's last arc, by moving pointers.
 
     ``left`` is the number of arcs that lead on. Returns (arc, piece, last, dist, ring)
-    for arcs that have an end, a lone piece closed on itself counting as one, and (arc, low) for arcs on rings, if there are any, ``low``
-    being the ring's lowest arc. Each round doubles the reach, so there are about
-    log2(longest chain) of them. The number of open arcs falls in every round until
-    only rings are left; a ring is known in full once no lowest arc changes any more.
+    for arcs that have an end, a lone piece closed on itself counting as one, and
+    (arc, low) for arcs on rings, if there are any, ``low`` being the ring's lowest arc.
+    Each round extends the reach fourfold, so there are about log4(longest chain) of
+    them. The number of open arcs falls in every round until only rings are left; a ring
+    is known in full once no lowest arc changes any more.
     """
     arc = F.col("arc")
     found = [arcs.filter(f"not {_LEADS_ON}").select(
@@ -187,17 +210,18 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
         ends = reduce(DataFrame.unionByName, found).drop("ring").withColumns(
             {"low": F.lit(None).cast("long"), "done": F.lit(True)}
         )
-        there = ends.unionByName(open_.withColumn("done", F.lit(False))).select(
-            arc.alias("ptr"), F.col("ptr").alias("far"), F.col("dist").alias("more"),
-            F.col("low").alias("far_low"), "done",
+        open_ = open_.withColumn("done", F.lit(False))
+        there = ends.unionByName(open_).select(
+            arc.alias("at"), F.col("ptr").alias("far"), F.col("dist").alias("more"),
+            F.col("low").alias("far_low"), F.col("done").alias("far_done"),
         )
-        low = F.least("low", "far_low")
+        step = open_.withColumn("was", F.col("low"))
+        for _ in range(_HOPS):
+            step = _hop(step, there)
         step, seen = stage_counting(
-            open_.join(there, "ptr").select(
-                "arc", "piece", F.col("far").alias("ptr"),
-                (F.col("dist") + F.col("more")).alias("dist"), low.alias("low"), "done",
-                (~F.col("done") & (low != F.col("low"))).alias("lower"),
-            ), "round", left=F.count_if(~F.col("done")), changed=F.count_if(F.col("lower")),
+            step, "round",
+            left=F.count_if(~F.col("done")),
+            changed=F.count_if(~F.col("done") & (F.col("low") != F.col("was"))),
         )
         found.append(step.filter("done").select(
             "arc", "piece", "ptr", "dist", F.lit(False).alias("ring")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumeline.session import stage
+from fumeline.session import stage, stage_counting
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -79,13 +79,15 @@ def describe(df: DataFrame, value: str, in_memory: int = 100_000) -> DataFrame:
     one task, so it serves only up to ``in_memory`` rows; longer columns go through
     :func:`quantiles`.
     """
-    column = stage(df.select(F.col(value).cast("double").alias("v")), "column")
+    column, seen = stage_counting(
+        df.select(F.col(value).cast("double").alias("v")), "column", rows=F.count(F.lit(1))
+    )
     moments = [
         ("count", F.count("v").cast("double")), ("mean", F.avg("v")), ("std", F.stddev_samp("v")),
         ("min", F.min("v")), ("max", F.max("v")),
     ]
     names = {p: f"{p:.0%}" for p in QUARTILES}
-    if column.count() <= in_memory:
+    if seen["rows"] <= in_memory:
         cuts = F.percentile("v", F.array(*[F.lit(p) for p in QUARTILES]))
         summary = column.agg(*[c.alias(n) for n, c in moments], cuts.alias("cuts"))
         pairs = [(n, F.col(n)) for n, _ in moments]
