@@ -106,63 +106,78 @@ def _joints(edges: DataFrame, keys: list[str]) -> DataFrame:
     return met.filter("n = 2").select("u", "v")
 
 
-# Two ends joined within a feature: the tail of an edge and the head of the next.
-_INNER = "u % 2 = 1 and v = u + 1"
+def _marks(joints: DataFrame) -> DataFrame:
+    """What the joints say about each edge: it follows on, or an end leads to another end."""
+    u, v = F.col("u"), F.col("v")
+    inner = F.expr("u % 2 = 1 and v = u + 1")
+    ends = joints.select(inner.alias("inner"), _rows("at to", (u, v), (v, u)))
+    head = F.col("at") % 2 == 0
+    return ends.filter(~F.col("inner") | head).select(
+        F.expr("at div 2").alias("edge"), F.col("inner").alias("follows"),
+        F.when(~F.col("inner") & head, F.col("to")).alias("head_to"),
+        F.when(~F.col("inner") & ~head, F.col("to")).alias("tail_to"),
+    )
 
 
 def _pieces(edges: DataFrame, joints: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """Runs of edges joined within one feature: (piece, last, points, keys).
+    """Runs of edges joined within one feature: (piece, last, head_to, tail_to, points, keys).
 
-    A piece is named by its first edge. Rows of one feature meet in one window,
-    which is no more than that feature's own vertices.
+    A piece is named by its first edge; ``head_to`` and ``tail_to`` are the ends its
+    own ends lead to. Everything about a feature meets in one partition, which is no
+    more than that feature's own vertices.
     """
     first_is_head = F.col("end") % 2 == 0
     def pick(head: str, tail: str) -> Column:
         return F.when(first_is_head, F.col(head)).otherwise(F.col(tail))
+    places = {"hx": pick("ax", "bx"), "hy": pick("ay", "by"),
+              "tx": pick("bx", "ax"), "ty": pick("by", "ay")}
     drawn = edges.select(
-        *keys, F.expr("end div 2").alias("edge"), F.lit(1).alias("drawn"),
-        F.struct(pick("ax", "bx").alias("x"), pick("ay", "by").alias("y")).alias("head"),
-        F.struct(pick("bx", "ax").alias("x"), pick("by", "ay").alias("y")).alias("tail"),
+        *keys, F.expr("end div 2").alias("edge"), *[c.alias(n) for n, c in places.items()]
     )
-    marks = joints.filter(_INNER).select(F.expr("v div 2").alias("edge"), F.lit(0).alias("drawn"))
-    rows = drawn.unionByName(marks, allowMissingColumns=True).withColumn(
-        "feature", F.expr(f"edge div {width}")
+    told = (
+        drawn.unionByName(_marks(joints), allowMissingColumns=True)
+        .withColumn("feature", F.expr(f"edge div {width}")).repartition("feature")
+        .groupBy("feature", "edge").agg(
+            F.coalesce(F.bool_or("follows"), F.lit(False)).alias("follows"),
+            *[F.max(c).alias(c) for c in ("head_to", "tail_to", *places, *keys)],
+        )
     )
-    along = Window.partitionBy("feature").orderBy("edge", "drawn")
-    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    follows = F.lag(F.struct("edge", "drawn")).over(along) == F.struct("edge", F.lit(0))
-    begins = F.when((F.col("drawn") == 1) & ~F.coalesce(follows, F.lit(False)), F.col("edge"))
-    runs = (
-        rows.withColumn("begins", begins)
-        .withColumn("piece", F.last("begins", ignorenulls=True).over(so_far))
-        .filter("drawn = 1")
+    so_far = Window.partitionBy("feature").orderBy("edge").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    steps = F.array_sort(F.collect_list(F.struct("edge", "head", "tail")))
+    begins = F.when(~F.col("follows"), F.col("edge"))
+    runs = told.withColumn("piece", F.last(begins, ignorenulls=True).over(so_far))
+    steps = F.sort_array(F.collect_list(F.struct("edge", "hx", "hy", "tx", "ty")))
+    end = F.element_at("steps", -1)
     points = F.concat(
-        F.transform("steps", lambda s: s["head"]), F.array(F.element_at("steps", -1)["tail"])
+        F.transform("steps", lambda s: F.struct(s["hx"].alias("x"), s["hy"].alias("y"))),
+        F.array(F.struct(end["tx"].alias("x"), end["ty"].alias("y"))),
     )
     return (
-        runs.groupBy("feature", "piece", *keys).agg(steps.alias("steps"))
-        .select("piece", F.element_at("steps", -1)["edge"].alias("last"), *keys,
+        runs.groupBy("feature", "piece", *keys)
+        .agg(steps.alias("steps"), F.max("head_to").alias("head_to"), F.max("tail_to").alias("tail_to"))
+        .select("piece", end["edge"].alias("last"), "head_to", "tail_to", *keys,
                 points.alias("points"))
     )
 
 
-def _arcs(pieces: DataFrame, joints: DataFrame) -> DataFrame:
-    """Every piece end as the arc leaving there, and the arc it leads on to."""
-    head, tail = F.col("piece") * 2, F.col("last") * 2 + 1
-    ends = pieces.select("piece", _rows("arc other", (head, tail), (tail, head)))
-    u, v = F.col("u"), F.col("v")
-    outer = joints.filter(f"not ({_INNER})").select(_rows("arc enters", (u, v), (v, u)))
-    # Entering a piece at one end leads to leaving it at the other.
-    onward = outer.join(
-        ends.select(F.col("arc").alias("enters"), F.col("other").alias("next")), "enters"
-    ).select("arc", "next")
-    return ends.select("arc", "piece").join(onward, "arc", "left")
+# A piece that leads nowhere, or back into itself: a whole line as it is.
+_ALONE = "coalesce(head_to = last * 2 + 1, head_to is null and tail_to is null)"
 
 
-# An arc that leads to another one, not to nothing or back to itself.
-_LEADS_ON = "(next is not null and next <> arc)"
+def _arcs(pieces: DataFrame) -> DataFrame:
+    """Every end of the pieces that lead on, as the arc leaving there, and the next arc."""
+    head, tail = F.col("piece") * 2, F.col("last") * 2 + 1
+    ends = pieces.filter(f"not {_ALONE}").select("piece", _rows(
+        "arc other enters", (head, tail, F.col("head_to")), (tail, head, F.col("tail_to"))
+    ))
+    # Entering a piece at one end leads to leaving it at the other.
+    onward = ends.select(F.col("arc").alias("enters"), F.col("other").alias("next"))
+    leading = ends.filter("enters is not null").join(onward, "enters")
+    return leading.select("arc", "piece", "next").unionByName(
+        ends.filter("enters is null").select(
+            "arc", "piece", F.lit(None).cast("long").alias("next"))
+    )
 
 
 # Look-ups per round. They share one layout of the arcs looked up, so a round with
@@ -189,25 +204,24 @@ def _hop(step: DataFrame, there: DataFrame) -> DataFrame:
 def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
     """Follow ``next`` from every arc to its chain's last arc, by moving pointers.
 
-    ``left`` is the number of arcs that lead on. Returns (arc, piece, last, dist, ring)
-    for arcs that have an end, a lone piece closed on itself counting as one, and
-    (arc, low) for arcs on rings, if there are any, ``low`` being the ring's lowest arc.
+    ``left`` is the number of arcs that lead on. Returns (arc, piece, last, dist)
+    for arcs that have an end and (arc, low) for arcs on rings, if there are any,
+    ``low`` being the ring's lowest arc.
     Each round extends the reach fourfold, so there are about log4(longest chain) of
     them. The number of open arcs falls in every round until only rings are left; a ring
     is known in full once no lowest arc changes any more.
     """
     arc = F.col("arc")
-    found = [arcs.filter(f"not {_LEADS_ON}").select(
-        "arc", "piece", arc.alias("ptr"), F.lit(0).cast("long").alias("dist"),
-        F.col("next").isNotNull().alias("ring"),
+    found = [arcs.filter("next is null").select(
+        "arc", "piece", arc.alias("ptr"), F.lit(0).cast("long").alias("dist")
     )]
-    open_ = arcs.filter(_LEADS_ON).select(
+    open_ = arcs.filter("next is not null").select(
         "arc", "piece", F.col("next").alias("ptr"), F.lit(1).cast("long").alias("dist"),
         arc.alias("low"),
     )
     before, changed = left + 1, 1
     while left and (left < before or changed):
-        ends = reduce(DataFrame.unionByName, found).drop("ring").withColumns(
+        ends = reduce(DataFrame.unionByName, found).withColumns(
             {"low": F.lit(None).cast("long"), "done": F.lit(True)}
         )
         open_ = open_.withColumn("done", F.lit(False))
@@ -223,9 +237,7 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
             left=F.count_if(~F.col("done")),
             changed=F.count_if(~F.col("done") & (F.col("low") != F.col("was"))),
         )
-        found.append(step.filter("done").select(
-            "arc", "piece", "ptr", "dist", F.lit(False).alias("ring")
-        ))
+        found.append(step.filter("done").select("arc", "piece", "ptr", "dist"))
         open_ = step.filter("not done").select("arc", "piece", "ptr", "dist", "low")
         before, left, changed = left, seen["left"], seen["changed"]
     ended = reduce(DataFrame.unionByName, found).withColumnRenamed("ptr", "last")
@@ -234,14 +246,15 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
 
 def _ranked(arcs: DataFrame) -> DataFrame:
     """One row per piece: its chain, the arc it is left by, its distance to the end, ring or not."""
-    arcs, seen = stage_counting(arcs, "arcs", left=F.count_if(F.expr(_LEADS_ON)))
-    every, rings = _follow(arcs, seen["left"])
+    leading = F.count("next")
+    arcs, seen = stage_counting(arcs, "arcs", left=leading)
+    ended, rings = _follow(arcs, seen["left"])
+    every = ended.withColumn("ring", F.lit(False))
     if rings is not None:
         # A ring is cut after its lowest arc and followed like any other chain.
         leads = F.when(F.col("arc") != F.col("low"), F.col("next"))
         cut, seen = stage_counting(
-            rings.join(arcs, "arc").select("arc", "piece", leads.alias("next")), "cut",
-            left=F.count_if(F.expr(_LEADS_ON)),
+            rings.join(arcs, "arc").select("arc", "piece", leads.alias("next")), "cut", left=leading
         )
         opened, _ = _follow(cut, seen["left"])
         every = every.unionByName(opened.withColumn("ring", F.lit(True)))
@@ -279,20 +292,23 @@ def chains_of_staged(
     edges = stage(_distinct(_edge_rows(staged, keys, paths), keys), "edges")
     joints = stage(_joints(edges, keys), "joints")
     pieces = stage(_pieces(edges, joints, keys, width), "pieces")
-    ranked = _ranked(_arcs(pieces, joints))
+    alone = pieces.filter(_ALONE).select(
+        *keys, F.col("head_to").isNotNull().alias("ring"), F.col("points").alias("line")
+    )
     backward = F.col("arc") % 2 == 0
-    drawn = pieces.join(ranked, "piece").select(
+    drawn = pieces.filter(f"not {_ALONE}").join(_ranked(_arcs(pieces)), "piece").select(
         *keys, "chain", "ring", (-F.col("dist")).alias("rank"),
         F.when(backward, F.reverse("points")).otherwise(F.col("points")).alias("points"),
     )
     # Each piece after the first repeats the vertex it joins at.
-    parts = F.array_sort(F.collect_list(F.struct("rank", "points")))
+    parts = F.sort_array(F.collect_list(F.struct("rank", "points")))
     joined = F.flatten(F.transform("parts", lambda p, i: F.when(
         i == 0, p["points"]).otherwise(F.slice(p["points"], 2, F.size(p["points"])))))
-    return (
-        drawn.groupBy(*keys, "chain", "ring").agg(parts.alias("parts"))
-        .select(*keys, "ring", joined.alias("line"))
-        .select(*keys, "ring", _settled(F.col("line"), F.col("ring")).alias("path"))
+    merged = drawn.groupBy(*keys, "chain", "ring").agg(parts.alias("parts")).select(
+        *keys, "ring", joined.alias("line")
+    )
+    return alone.unionByName(merged).select(
+        *keys, "ring", _settled(F.col("line"), F.col("ring")).alias("path")
     )
 
 
