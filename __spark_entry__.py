@@ -11,7 +11,7 @@ from checks import standins
 from checks.oracles import oracles
 from fumeline.functions.columns import line_length, parse_codes, route_key
 from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic
-from fumeline.operators.lines import chains, distinct_edges, single_part
+from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part
 from fumeline.operators.numbering import number
 from fumeline.operators.stats import describe, dissolve_attributes, distinct_count
 from fumeline.plans.air import air, area_means
@@ -150,11 +150,11 @@ def road_singlepart(spark, sf_dir):
 
 
 def road_chains_long(spark, sf_dir):
-    path = F.col("path")
-    return chains(standins.order_lines(spark, sf_dir), ["k"]).select(
-        "k", F.element_at(path, 1)["x"].alias("from_x"), F.element_at(path, -1)["x"].alias("to_x"),
-        (F.size(path) - 1).alias("edges"), "ring",
-    )
+    vertices = chain_vertices(standins.order_lines(spark, sf_dir), ["k"])
+    return vertices.groupBy("k", "chain", "ring").agg(
+        F.min("x").alias("from_x"), F.max("x").alias("to_x"),
+        F.max("place").cast("int").alias("edges"), F.count(F.lit(1)).alias("vertices"),
+    ).drop("chain")
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,7 +188,7 @@ g AS (
   SELECT k, rn, rn - row_number() OVER (PARTITION BY k ORDER BY rn) AS island
   FROM r WHERE o_orderkey % 97 <> 0)
 SELECT k, cast(min(rn) AS double) AS from_x, cast(max(rn) + 1 AS double) AS to_x,
-       cast(count(*) AS int) AS edges, false AS ring
+       cast(count(*) AS int) AS edges, count(*) + 1 AS vertices, false AS ring
 FROM g GROUP BY k, island""",
         "road_export": f"{lines} {_EXPORTED.format(value=value)}",
         "road_features_json": f"""{lines}

@@ -20,6 +20,13 @@ def line_length(paths: str = "paths") -> Column:
     return F.aggregate(F.transform(F.col(paths), along), F.lit(0.0), lambda total, s: total + s)
 
 
+def with_length(df: DataFrame, paths: str = "paths", name: str = "Shape_Length") -> DataFrame:
+    """Add the length of each line where the table does not come with it."""
+    if name.lower() in (c.lower() for c in df.columns):
+        return df
+    return df.withColumn(name, line_length(paths))
+
+
 def number_text(c: Column, dtype: str) -> Column:
     """A number as the text a dissolve key holds.
 

@@ -166,17 +166,24 @@ _ALONE = "coalesce(head_to = last * 2 + 1, head_to is null and tail_to is null)"
 
 
 def _arcs(pieces: DataFrame) -> DataFrame:
-    """Every end of the pieces that lead on, as the arc leaving there, and the next arc."""
+    """Every end of the pieces that lead on, as the arc leaving there, and the next arc.
+
+    ``hop`` is the number of edges the next arc runs along.
+    """
     head, tail = F.col("piece") * 2, F.col("last") * 2 + 1
-    ends = pieces.filter(f"not {_ALONE}").select("piece", _rows(
+    ends = pieces.filter(f"not {_ALONE}").select("piece", "last", _rows(
         "arc other enters", (head, tail, F.col("head_to")), (tail, head, F.col("tail_to"))
     ))
     # Entering a piece at one end leads to leaving it at the other.
-    onward = ends.select(F.col("arc").alias("enters"), F.col("other").alias("next"))
+    onward = ends.select(
+        F.col("arc").alias("enters"), F.col("other").alias("next"),
+        (F.col("last") - F.col("piece") + 1).alias("hop"),
+    )
     leading = ends.filter("enters is not null").join(onward, "enters")
-    return leading.select("arc", "piece", "next").unionByName(
+    nothing = F.lit(None).cast("long")
+    return leading.select("arc", "piece", "next", "hop").unionByName(
         ends.filter("enters is null").select(
-            "arc", "piece", F.lit(None).cast("long").alias("next"))
+            "arc", "piece", nothing.alias("next"), nothing.alias("hop"))
     )
 
 
@@ -205,7 +212,7 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
     """Follow ``next`` from every arc to its chain's last arc, by moving pointers.
 
     ``left`` is the number of arcs that lead on. Returns (arc, piece, last, dist)
-    for arcs that have an end and (arc, low) for arcs on rings, if there are any,
+    for arcs that have an end, ``dist`` counting the edges still to come, and (arc, low) for arcs on rings, if there are any,
     ``low`` being the ring's lowest arc.
     Each round extends the reach fourfold, so there are about log4(longest chain) of
     them. The number of open arcs falls in every round until only rings are left; a ring
@@ -216,8 +223,7 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
         "arc", "piece", arc.alias("ptr"), F.lit(0).cast("long").alias("dist")
     )]
     open_ = arcs.filter("next is not null").select(
-        "arc", "piece", F.col("next").alias("ptr"), F.lit(1).cast("long").alias("dist"),
-        arc.alias("low"),
+        "arc", "piece", F.col("next").alias("ptr"), F.col("hop").alias("dist"), arc.alias("low"),
     )
     before, changed = left + 1, 1
     while left and (left < before or changed):
@@ -254,7 +260,8 @@ def _ranked(arcs: DataFrame) -> DataFrame:
         # A ring is cut after its lowest arc and followed like any other chain.
         leads = F.when(F.col("arc") != F.col("low"), F.col("next"))
         cut, seen = stage_counting(
-            rings.join(arcs, "arc").select("arc", "piece", leads.alias("next")), "cut", left=leading
+            rings.join(arcs, "arc").select("arc", "piece", leads.alias("next"), "hop"), "cut",
+            left=leading,
         )
         opened, _ = _follow(cut, seen["left"])
         every = every.unionByName(opened.withColumn("ring", F.lit(True)))
@@ -285,33 +292,69 @@ def _settled(path: Column, ring: Column) -> Column:
     return F.when(backward, F.reverse(start)).otherwise(start)
 
 
-def chains_of_staged(
-    staged: DataFrame, width: int, keys: list[str], paths: str = "paths"
-) -> DataFrame:
-    """:func:`chains` for features already put through :func:`stage_features`."""
+def _placed_pieces(
+    staged: DataFrame, width: int, keys: list[str], paths: str
+) -> tuple[DataFrame, DataFrame]:
+    """The pieces that are whole lines, and those that make up longer ones.
+
+    Both come as (keys, chain, ring, dist, points): ``points`` run along the chain and
+    ``dist`` edges of it follow after them.
+    """
     edges = stage(_distinct(_edge_rows(staged, keys, paths), keys), "edges")
     joints = stage(_joints(edges, keys), "joints")
     pieces = stage(_pieces(edges, joints, keys, width), "pieces")
     alone = pieces.filter(_ALONE).select(
-        *keys, F.col("head_to").isNotNull().alias("ring"), F.col("points").alias("line")
+        *keys, F.col("piece").alias("chain"), F.col("head_to").isNotNull().alias("ring"),
+        F.lit(0).cast("long").alias("dist"), "points",
     )
     backward = F.col("arc") % 2 == 0
-    drawn = pieces.filter(f"not {_ALONE}").join(_ranked(_arcs(pieces)), "piece").select(
-        *keys, "chain", "ring", (-F.col("dist")).alias("rank"),
+    linked = pieces.filter(f"not {_ALONE}").join(_ranked(_arcs(pieces)), "piece").select(
+        # Chains are named by an arc: below zero, they never meet a lone piece's name.
+        *keys, (-1 - F.col("chain")).alias("chain"), "ring", "dist",
         F.when(backward, F.reverse("points")).otherwise(F.col("points")).alias("points"),
     )
+    return alone, linked
+
+
+def chains_of_staged(
+    staged: DataFrame, width: int, keys: list[str], paths: str = "paths"
+) -> DataFrame:
+    """:func:`chains` for features already put through :func:`stage_features`."""
+    alone, linked = _placed_pieces(staged, width, keys, paths)
     # Each piece after the first repeats the vertex it joins at.
-    parts = F.sort_array(F.collect_list(F.struct("rank", "points")))
+    parts = F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("place"), "points")))
     joined = F.flatten(F.transform("parts", lambda p, i: F.when(
         i == 0, p["points"]).otherwise(F.slice(p["points"], 2, F.size(p["points"])))))
-    merged = drawn.groupBy(*keys, "chain", "ring").agg(parts.alias("parts")).select(
+    merged = linked.groupBy(*keys, "chain", "ring").agg(parts.alias("parts")).select(
         *keys, "ring", joined.alias("line")
     )
-    return alone.unionByName(merged).select(
+    whole = alone.select(*keys, "ring", F.col("points").alias("line"))
+    return whole.unionByName(merged).select(
         *keys, "ring", _settled(F.col("line"), F.col("ring")).alias("path")
     )
 
 
+def chain_vertices(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
+    """The chains as one row per vertex: (keys, chain, ring, place, x, y).
+
+    ``place`` counts edges from the chain's end. A line of any length stays spread
+    over tasks, where :func:`chains` needs each line to fit one row. A ring has its
+    first vertex at both ends.
+    """
+    staged, width = stage_features(features.select(*keys, paths), paths)
+    alone, linked = _placed_pieces(staged, width, keys, paths)
+    rows = alone.unionByName(linked).select(
+        *keys, "chain", "ring", "dist", F.size("points").alias("_n"),
+        F.posexplode("points").alias("_at", "_p"),
+    )
+    after = F.col("_n") - 1 - F.col("_at")
+    # The vertex two pieces share is the later one's first.
+    return rows.filter((after > 0) | (F.col("dist") == 0)).select(
+        *keys, "chain", "ring", (F.col("dist") + after).alias("place"),
+        F.col("_p.x").alias("x"), F.col("_p.y").alias("y"),
+    )
+
+
 def chains(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """Each group's lines merged into maximal chains, one row per chain."""
     staged, width = stage_features(features.select(*keys, paths), paths)

@@ -19,12 +19,14 @@ def distinct_count(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     return df.agg((F.count_distinct(c) + missing).alias(name))
 
 
-def group_mean(df: DataFrame, key: str, value: str, name: str | None = None) -> DataFrame:
-    """Mean of ``value`` per ``key``; missing readings are skipped, missing keys dropped (A2)."""
+def group_mean(df: DataFrame, key: str, value: str, ordered: bool = False) -> DataFrame:
+    """Mean of ``value`` per ``key``; missing readings are skipped, missing keys dropped (A2).
+
+    ``ordered`` sorts the result by key, at the price of one more shuffle of the means.
+    """
     present = F.when(~F.isnan(value), F.col(value))
-    return (
-        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.avg(present).alias(name or value))
-    )
+    means = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.avg(present).alias(value))
+    return means.orderBy(key) if ordered else means
 
 
 def quantiles(df: DataFrame, value: str, probs: tuple[float, ...] = QUARTILES) -> DataFrame:
@@ -82,31 +84,32 @@ def describe(df: DataFrame, value: str, in_memory: int = 100_000) -> DataFrame:
     column, seen = stage_counting(
         df.select(F.col(value).cast("double").alias("v")), "column", rows=F.count(F.lit(1))
     )
-    moments = [
-        ("count", F.count("v").cast("double")), ("mean", F.avg("v")), ("std", F.stddev_samp("v")),
-        ("min", F.min("v")), ("max", F.max("v")),
-    ]
+    moments = {
+        "count": F.count("v").cast("double"), "mean": F.avg("v"), "std": F.stddev_samp("v"),
+        "min": F.min("v"), "max": F.max("v"),
+    }
     names = {p: f"{p:.0%}" for p in QUARTILES}
+    order = ["count", "mean", "std", "min", *names.values(), "max"]
     if seen["rows"] <= in_memory:
         cuts = F.percentile("v", F.array(*[F.lit(p) for p in QUARTILES]))
-        summary = column.agg(*[c.alias(n) for n, c in moments], cuts.alias("cuts"))
-        pairs = [(n, F.col(n)) for n, _ in moments]
-        pairs += [(names[p], F.col("cuts")[i]) for i, p in enumerate(QUARTILES)]
-        return _long(summary, pairs)
-    summary = column.agg(*[c.alias(n) for n, c in moments])
-    cuts = quantiles(column, "v")
+        summary = column.agg(*[c.alias(n) for n, c in moments.items()], cuts.alias("cuts"))
+        cells = {n: F.col(n) for n in moments}
+        cells |= {names[p]: F.col("cuts")[i] for i, p in enumerate(QUARTILES)}
+        return _long(summary, {n: cells[n] for n in order})
+    summary = column.agg(*[c.alias(n) for n, c in moments.items()])
     label = reduce(
         lambda acc, p: acc.when(F.col("prob") == p, names[p]), QUARTILES, F.when(F.lit(False), "")
     )
-    return _long(summary, [(n, F.col(n)) for n, _ in moments]).unionByName(
-        cuts.select(label.alias("stat"), "value")
+    rows = _long(summary, {n: F.col(n) for n in moments}).unionByName(
+        quantiles(column, "v").select(label.alias("stat"), "value")
     )
+    return rows.orderBy(F.array_position(F.array(*[F.lit(n) for n in order]), F.col("stat")))
 
 
-def _long(row: DataFrame, pairs: list[tuple[str, Column]]) -> DataFrame:
+def _long(row: DataFrame, cells: dict[str, Column]) -> DataFrame:
     """One row's columns as (stat, value) rows."""
-    cells = F.array(*[F.struct(F.lit(n).alias("stat"), c.alias("value")) for n, c in pairs])
-    return row.select(F.inline(cells))
+    pairs = [F.struct(F.lit(n).alias("stat"), c.alias("value")) for n, c in cells.items()]
+    return row.select(F.inline(F.array(*pairs)))
 
 
 def dissolve_attributes(

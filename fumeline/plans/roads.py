@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fumeline.functions.columns import parse_codes, route_key
+from fumeline.functions.columns import parse_codes, route_key, with_length
 from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic
 from fumeline.operators.lines import chains_of_staged, single_part, stage_features
 from fumeline.operators.numbering import number
@@ -25,7 +25,7 @@ KEPT = ["source", "OBJECTID", "key", "state_code", "urban_code", "f_system", "aa
 def kept_2020(df: DataFrame, strict_key: bool = False) -> DataFrame:
     """Major segments with traffic and their dissolve key, numeric columns."""
     rows = route_key(
-        with_traffic(major_roads(df)), "Route_ID", "AADT", null_route="None", strict=strict_key
+        with_traffic(major_roads(with_length(df))), "Route_ID", "AADT", null_route="None", strict=strict_key
     )
     names = {"State_Code": "state_code", "URBAN_CODE": "urban_code", "F_SYSTEM": "f_system",
              "AADT": "aadt"}
@@ -35,7 +35,7 @@ def kept_2020(df: DataFrame, strict_key: bool = False) -> DataFrame:
 def kept_2023(df: DataFrame, strict_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """The same from text columns (R2, R4-R7, R9-R12), and the rows that did not parse."""
     rows, no_count = parse_codes(
-        major_roads_text(df), {"aadt_num": ("AADT", "int")}, required=("aadt_num",)
+        major_roads_text(with_length(df)), {"aadt_num": ("AADT", "int")}, required=("aadt_num",)
     )
     rows = with_traffic(rows, "aadt_num")
     no_route = rows.filter("RouteID is null").drop("aadt_num")
@@ -82,5 +82,10 @@ def roads(
     return labelled(export_labelled(lines, source_value(rows, value_field)))
 
 
+def rejected(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
+    """The 2023 rows :func:`roads` leaves out because a text of theirs did not parse."""
+    return kept_2023(read_layouts(spark, root, "*_2023", recursive))[1]
+
+
 def export_labelled(lines: DataFrame, labels: DataFrame) -> DataFrame:
     return export(with_source_value(lines, labels))

@@ -72,10 +72,12 @@ def read_features(
 
 
 def read_matching(
-    spark: SparkSession, root: str, pattern: str, recursive: bool = False, fmt: str = "parquet"
+    spark: SparkSession, root: str, pattern: str, recursive: bool = False, fmt: str = "parquet",
+    schema: str | None = None,
 ) -> DataFrame:
     """Every feature class named ``pattern`` as a single scan."""
-    return read_features(spark, [at for at, _ in list_sources(spark, root, pattern, recursive)], fmt)
+    found = [at for at, _ in list_sources(spark, root, pattern, recursive)]
+    return read_features(spark, found, fmt, schema)
 
 
 def layout_of(columns: list[str]) -> str:
@@ -95,17 +97,16 @@ def unify_layouts(tables: list[DataFrame]) -> DataFrame:
 
 
 def read_layouts(
-    spark: SparkSession, root: str, pattern: str, recursive: bool = False, fmt: str = "parquet"
+    spark: SparkSession, root: str, pattern: str, recursive: bool = False
 ) -> DataFrame:
-    """Matching feature classes of mixed layouts, unified; one scan per layout.
+    """Matching Parquet feature classes of mixed layouts, unified; one scan per layout.
 
     Planning looks at each feature class's column names, which is metadata only.
     """
     by_layout: dict[str, list[str]] = {}
     for at, _ in list_sources(spark, root, pattern, recursive):
-        columns = spark.read.format(fmt).load(at).columns
-        by_layout.setdefault(layout_of(columns), []).append(at)
-    return unify_layouts([read_features(spark, at, fmt) for at in by_layout.values()])
+        by_layout.setdefault(layout_of(spark.read.parquet(at).columns), []).append(at)
+    return unify_layouts([read_features(spark, at) for at in by_layout.values()])
 
 
 def source_value(df: DataFrame, field: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import AnalysisException
 
-from fumeline.plans.roads import dissolve, kept_2020, kept_2023, roads
+from fumeline.plans.roads import dissolve, kept_2020, kept_2023, rejected, roads
 from fumeline.sinks.features import export, feature_json, labelled, write_json, write_tables
 from fumeline.sources.features import (
     PATHS_TYPE, layout_of, list_sources, read_features, read_layouts, read_matching, source_value,
@@ -106,6 +106,14 @@ def test_rejects_of_2023(spark, workspace):
     assert sorted((r["source"], r["OBJECTID"]) for r in good.collect()) == [
         ("S1_2023", 1), ("S1_2023", 2), ("S2_2023", 1)]
     assert sorted(r["OBJECTID"] for r in rejects.collect()) == [3, 4, 5]
+    assert rejected(spark, workspace).count() == 3
+
+
+def test_missing_length_is_computed(spark):
+    rows = [row_2020(1, 1, 1, 1, "A", 5, (0, 0), (1, 0)), row_2020(2, 1, 1, 1, "A", 5, (2, 2), (2, 2))]
+    df = spark.createDataFrame([(*r, "s") for r in rows], ROW_2020 + ", source string")
+    assert kept_2020(df).count() == 2
+    assert [r["OBJECTID"] for r in kept_2020(df.drop("Shape_Length")).collect()] == [1]
 
 
 def test_roads_2020(spark, workspace):

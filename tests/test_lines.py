@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fumeline.operators import lines
-from fumeline.operators.lines import chains, distinct_edges, single_part, snap
+from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part, snap
 from tests import brute
 
 
@@ -55,6 +55,23 @@ def test_shapes(features):
     assert chain_sets(chains(features(rows), ["g"])) == expected(rows)
 
 
+def vertex_sets(df):
+    found = defaultdict(list)
+    for r in df.collect():
+        found[r["g"], r["chain"], r["ring"]].append((r["place"], (r["x"], r["y"])))
+    out = defaultdict(set)
+    for (g, _, ring), places in found.items():
+        places.sort()
+        assert [n for n, _ in places] == list(range(len(places)))
+        out[g].add((ring, brute.settled([p for _, p in places], ring)))
+    return dict(out)
+
+
+def test_shapes_as_vertices(features):
+    rows = list(SHAPES.items()) + [(f"{n}, apart", [p]) for n, ps in SHAPES.items() for p in ps]
+    assert vertex_sets(chain_vertices(features(rows), ["g"])) == expected(rows)
+
+
 def test_named_shapes(features):
     got = chain_sets(chains(features(list((n, p) for n, p in SHAPES.items())), ["g"]))
     assert got["two pieces"] == {(False, ((0, 0), (1, 0), (2, 1)))}
@@ -125,7 +142,8 @@ def test_one_group_holds_nearly_all_rows(features):
     hub = [("hot", [[(-5, -5), (-6 - i, -9)]]) for i in range(300)]
     rows = line + ring + hub + [("cold", [[(0, 0), (1, 1)]])]
     random.Random(3).shuffle(rows)
-    assert chain_sets(chains(features(rows).repartition(4), ["g"])) == expected(rows)
+    df = features(rows).repartition(4)
+    assert chain_sets(chains(df, ["g"])) == expected(rows) == vertex_sets(chain_vertices(df, ["g"]))
 
 
 def test_rounds_grow_with_the_logarithm(features, monkeypatch):

@@ -72,11 +72,19 @@ def test_group_mean_edges(spark):
     assert {r["k"]: r["v"] for r in got} == {"a": 4.0, "b": None}
 
 
+def test_group_mean_in_key_order(spark):
+    df = spark.createDataFrame([(f"{i * 37 % 100:03}", float(i)) for i in range(100)], "k string, v double")
+    keys = [r["k"] for r in group_mean(df.repartition(4), "k", "v", ordered=True).collect()]
+    assert keys == sorted(keys) and len(keys) == 100
+
+
 @pytest.mark.parametrize("in_memory", [0, 100])
 def test_describe(spark, in_memory):
     def stats(*values):
         df = spark.createDataFrame([(v,) for v in values], "v double")
-        return {r["stat"]: r["value"] for r in describe(df, "v", in_memory).collect()}
+        rows = describe(df, "v", in_memory).collect()
+        assert [r["stat"] for r in rows] == ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+        return {r["stat"]: r["value"] for r in rows}
     got = stats(1.0, 2.0, 3.0, 10.0, None)
     assert got == {
         "count": 4, "mean": 4, "std": pytest.approx(4.08248290463863), "min": 1, "max": 10,
