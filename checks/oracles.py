@@ -47,7 +47,7 @@ _KEPT = _F2 + f""", kept AS (
 
 _GROUPS = """, grouped AS (
   SELECT source, key,
-         cast(first("State_Code" ORDER BY "OBJECTID") AS double) AS first_state_code,
+         first("State_Code" ORDER BY "OBJECTID") AS first_state_code,
          first("URBAN_CODE" ORDER BY "OBJECTID") AS first_urban_code,
          first("F_SYSTEM" ORDER BY "OBJECTID") AS first_f_system,
          avg("AADT") AS mean_aadt
@@ -98,7 +98,7 @@ _LINES = _CHAINS + _GROUPS + """, numbered AS (
               ORDER BY drawn.key, line[1], line[2]) AS int) AS "ID"
   FROM drawn JOIN grouped g ON g.source = drawn.source AND g.key = drawn.key)"""
 
-_EXPORTED = """SELECT {value} AS value, first_state_code AS state_code,
+_EXPORTED = """SELECT {value} AS value, cast(first_state_code AS double) AS state_code,
          cast(first_urban_code AS double) AS urban_code,
          cast(first_f_system AS varchar) AS f_system,
          round(mean_aadt, 6) AS aadt, "ID", path FROM numbered"""
@@ -192,7 +192,7 @@ SELECT k, cast(min(rn) AS double) AS from_x, cast(max(rn) + 1 AS double) AS to_x
 FROM g GROUP BY k, island""",
         "road_export": f"{lines} {_EXPORTED.format(value=value)}",
         "road_features_json": f"""{lines}
-  SELECT {value} AS value, '{{"attributes":{{"state_code":' || first_state_code
+  SELECT {value} AS value, '{{"attributes":{{"state_code":' || cast(first_state_code AS double)
     || ',"urban_code":' || coalesce(cast(cast(first_urban_code AS double) AS varchar), 'null')
     || ',"f_system":"' || first_f_system || '","aadt":' || mean_aadt || ',"ID":' || "ID"
     || '}},"geometry":{{"paths":[[[' || replace(replace(path, ',', '],['), ' ', ',')

@@ -362,7 +362,12 @@ def chains(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFr
 
 
 def single_part(lines: DataFrame, attributes: DataFrame, keys: list[str]) -> DataFrame:
-    """Give every line its group's attributes."""
+    """Give every line its group's attributes.
+
+    The groups are staged: adaptive execution splits a hot key's lines over tasks only
+    where the join reads both sides straight from their shuffles, not through the
+    aggregate that made the groups.
+    """
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-    groups = attributes.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    groups = stage(attributes.withColumnsRenamed({k: f"_of_{k}" for k in keys}), "groups")
     return lines.join(groups, same).drop(*[f"_of_{k}" for k in keys])

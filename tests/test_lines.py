@@ -106,6 +106,33 @@ def test_single_part_repeats_group_attributes(features, spark):
     assert sorted(map(tuple, got)) == [("a", 1, 3), ("b", 2, 1)]
 
 
+def test_hot_group_is_split_when_it_gets_its_attributes(spark):
+    """Nearly all lines have one key; adaptive execution spreads them in the join."""
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise(F.col("id").cast("string")).alias("g"),
+        F.col("id").alias("n"), F.sha2(F.col("id").cast("string"), 256).alias("line"),
+    ).repartition(8)
+    before = {n: spark.conf.get(n, None) for n in settings_}
+    for name, value in settings_.items():
+        spark.conf.set(name, value)
+    try:
+        groups = df.groupBy("g").agg(F.avg("n").alias("mean"))
+        joined = single_part(df, groups, ["g"])
+        assert len(joined.collect()) == 40_000
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in text
+
+
 point = st.tuples(st.integers(0, 4), st.integers(0, 3))
 path = st.lists(point, min_size=1, max_size=6)
 feature = st.tuples(st.sampled_from("abc"), st.lists(path, max_size=3))
