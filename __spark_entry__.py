@@ -145,7 +145,7 @@ def road_chains(spark, sf_dir):
 def road_singlepart(spark, sf_dir):
     kept = _kept(spark, sf_dir)
     groups = dissolve_attributes(kept, KEYS, FIRST, MEAN)
-    parts = single_part(chains(kept, KEYS).drop("ring"), groups, KEYS)
+    parts = single_part(kept, groups, KEYS).drop("ring")
     return _rounded(parts.withColumn("path", _path_text(F.col("path"))), "mean_aadt")
 
 

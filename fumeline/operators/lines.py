@@ -3,13 +3,14 @@
 The output line is a maximal chain: it passes through vertices where exactly two
 distinct edges of its group meet, and ends at all others. No step works on a whole
 group. Edges and vertices are grouped by coordinates, runs within one input feature
-by that feature, and chains are followed by look-ups over ids, so a group
-holding a third of all rows spreads like any other rows.
-
-Ids. An edge's number counts along its feature, so neighbours on a path differ by
-one. An edge end is ``2 * edge`` at its head (where the path enters) and
-``2 * edge + 1`` at its tail. Edges joined within a feature form a piece; a piece
-end is also the arc that leaves the piece there.
+by that feature, and chains are followed by look-ups over ids, so a group holding a
+third of all rows spreads like any other rows.
+
+Ids. Groups get a number, which is what the vertex-level shuffles carry. An edge's
+number counts along its feature, so neighbours on a path differ by one. An edge end is
+``2 * edge`` at its head (where the path enters) and ``2 * edge + 1`` at its tail. Edges
+joined within a feature form a piece; a piece end is also the arc that leaves the piece
+there.
 """
 
 from __future__ import annotations
@@ -33,39 +34,59 @@ def _rows(names: str, *rows: tuple[Column, ...]) -> Column:
     ))
 
 
-def stage_features(df: DataFrame, paths: str = "paths") -> tuple[DataFrame, int]:
-    """Stage features with the number of their first edge; and how many numbers each has."""
-    points = F.aggregate(F.col(paths), F.lit(0), lambda n, p: n + F.size(p) + 1)
-    row = F.monotonically_increasing_id()
+def number_groups(groups: DataFrame) -> DataFrame:
+    """Stage one row per group with a number for it in ``_group``."""
+    return stage(groups.withColumn("_group", F.monotonically_increasing_id()), "groups")
+
+
+def with_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Put each row's group number on it.
+
+    The groups are staged and ``df`` is a plain scan: adaptive execution splits a hot
+    key's rows over tasks only where the join reads both sides straight from their
+    shuffles.
+    """
+    numbers = groups.select("_group", *[F.col(k).alias(f"_of_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(numbers, same).drop(*[f"_of_{k}" for k in keys])
+
+
+def _stage_features(
+    features: DataFrame, groups: DataFrame, keys: list[str], paths: str
+) -> tuple[DataFrame, int]:
+    """Stage (_group, line, feature), and the number of edge numbers each feature has.
+
+    ``line`` is the feature's paths one after the other, a gap before each.
+    """
+    gap = F.array(F.lit(None).cast(_POINT))
+    line = F.flatten(F.transform(F.col(paths), lambda p: F.concat(gap, p)))
+    rows = with_group(features.select(*keys, paths), groups, keys).select(
+        "_group", line.alias("line"), F.monotonically_increasing_id().alias("_row")
+    )
+    part, row = F.shiftright("_row", _ROW_BITS), F.col("_row").bitwiseAND(_ROW_MASK)
     staged, most = stage_counting(
-        df.withColumn("_row", row), "features", part=F.max(F.shiftright("_row", _ROW_BITS)),
-        row=F.max(F.col("_row").bitwiseAND(_ROW_MASK)), points=F.max(points),
+        rows, "features", part=F.max(part), row=F.max(row), points=F.max(F.size("line"))
     )
-    parts, rows, width = ((most[n] or 0) + 1 for n in ("part", "row", "points"))
-    if parts * rows * width >= 1 << 62:
+    parts, per_part, width = ((most[n] or 0) + 1 for n in ("part", "row", "points"))
+    if parts * per_part * width >= 1 << 62:
         raise OverflowError("edge numbers do not fit 64 bits; stage fewer features per job")
-    nth = F.shiftright("_row", _ROW_BITS) * rows + F.col("_row").bitwiseAND(_ROW_MASK)
-    return staged.withColumn("_base", nth * width).drop("_row"), width
+    return staged.select("_group", "line", (part * per_part + row).alias("feature")), width
 
 
-def _edge_rows(staged: DataFrame, keys: list[str], paths: str) -> DataFrame:
-    """All vertex pairs of the features' paths with their edge numbers."""
-    # Paths one after the other, a gap before each, so pairs never span two paths.
-    gap = F.array(F.lit(None).cast(_POINT))
-    points = F.flatten(F.transform(F.col(paths), lambda p: F.concat(gap, p)))
-    pairs = F.zip_with("_line", F.slice("_line", 2, F.greatest(F.size("_line"), F.lit(1))),
+def _edge_rows(staged: DataFrame, width: int) -> DataFrame:
+    """All vertex pairs of the features' lines with their edge numbers."""
+    pairs = F.zip_with("line", F.slice("line", 2, F.greatest(F.size("line"), F.lit(1))),
                        lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    exploded = staged.select(*keys, "_base", points.alias("_line")).select(
-        *keys, "_base", F.posexplode(pairs).alias("_pos", "_e")
-    )
+    exploded = staged.select("_group", "feature", F.posexplode(pairs).alias("_at", "_e"))
+    # A pair over a gap has no point at one side.
     return exploded.select(
-        *keys, (F.col("_base") + F.col("_pos")).alias("edge"),
+        "_group", (F.col("feature") * width + F.col("_at")).alias("edge"),
         F.col("_e.a.x").alias("hx"), F.col("_e.a.y").alias("hy"),
         F.col("_e.b.x").alias("tx"), F.col("_e.b.y").alias("ty"),
     ).filter("hx is not null and tx is not null and (hx <> tx or hy <> ty)")
 
 
-def _distinct(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _distinct(rows: DataFrame) -> DataFrame:
     """One row per undirected edge: its two ends in coordinate order, and the end id at the first."""
     ahead = F.expr("hx < tx or (hx = tx and hy < ty)")
     ends = {
@@ -75,7 +96,7 @@ def _distinct(rows: DataFrame, keys: list[str]) -> DataFrame:
         "by": F.when(ahead, F.col("ty")).otherwise(F.col("hy")),
     }
     first_end = F.col("edge") * 2 + F.when(ahead, 0).otherwise(1)
-    return rows.groupBy(*keys, *[c.alias(n) for n, c in ends.items()]).agg(
+    return rows.groupBy("_group", *[c.alias(n) for n, c in ends.items()]).agg(
         F.min(first_end).alias("end")
     )
 
@@ -88,19 +109,27 @@ def snap(df: DataFrame, tolerance: float, paths: str = "paths") -> DataFrame:
     return df.withColumn(paths, F.transform(F.col(paths), lambda path: F.transform(path, to_grid)))
 
 
+def _keyed(lines: DataFrame, groups: DataFrame) -> DataFrame:
+    """Give every row its group's columns instead of the group's number."""
+    return lines.join(groups, "_group").select(
+        *[c for c in groups.columns if c != "_group"], *[c for c in lines.columns if c != "_group"]
+    )
+
+
 def distinct_edges(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """The union of each group's lines as edges, coincident ones kept once."""
-    staged, _ = stage_features(features.select(*keys, paths), paths)
-    return _distinct(_edge_rows(staged, keys, paths), keys).drop("end")
+    groups = number_groups(features.select(*keys).distinct())
+    staged, width = _stage_features(features, groups, keys, paths)
+    return _keyed(_distinct(_edge_rows(staged, width)).drop("end"), groups)
 
 
-def _joints(edges: DataFrame, keys: list[str]) -> DataFrame:
+def _joints(edges: DataFrame) -> DataFrame:
     """Pairs of edge ends meeting at a vertex where nothing else meets."""
     ends = _rows(
         "x y at", (F.col("ax"), F.col("ay"), F.col("end")),
         (F.col("bx"), F.col("by"), F.col("end").bitwiseXOR(1)),
     )
-    met = edges.select(*keys, ends).groupBy(*keys, "x", "y").agg(
+    met = edges.select("_group", ends).groupBy("_group", "x", "y").agg(
         F.count(F.lit(1)).alias("n"), F.min("at").alias("u"), F.max("at").alias("v")
     )
     return met.filter("n = 2").select("u", "v")
@@ -119,45 +148,39 @@ def _marks(joints: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(edges: DataFrame, joints: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """Runs of edges joined within one feature: (piece, last, head_to, tail_to, points, keys).
+def _pieces(edges: DataFrame, joints: DataFrame, staged: DataFrame, width: int) -> DataFrame:
+    """Runs of edges joined within one feature: (piece, last, head_to, tail_to, points, _group).
 
     A piece is named by its first edge; ``head_to`` and ``tail_to`` are the ends its
-    own ends lead to. Everything about a feature meets in one partition, which is no
-    more than that feature's own vertices.
+    own ends lead to. What is known about a feature's edges meets in one partition,
+    which is no more than that feature's own vertices; the points are then cut out of
+    the feature's line.
     """
-    first_is_head = F.col("end") % 2 == 0
-    def pick(head: str, tail: str) -> Column:
-        return F.when(first_is_head, F.col(head)).otherwise(F.col(tail))
-    places = {"hx": pick("ax", "bx"), "hy": pick("ay", "by"),
-              "tx": pick("bx", "ax"), "ty": pick("by", "ay")}
-    drawn = edges.select(
-        *keys, F.expr("end div 2").alias("edge"), *[c.alias(n) for n, c in places.items()]
-    )
     told = (
-        drawn.unionByName(_marks(joints), allowMissingColumns=True)
+        edges.select(F.expr("end div 2").alias("edge"))
+        .unionByName(_marks(joints), allowMissingColumns=True)
         .withColumn("feature", F.expr(f"edge div {width}")).repartition("feature")
         .groupBy("feature", "edge").agg(
             F.coalesce(F.bool_or("follows"), F.lit(False)).alias("follows"),
-            *[F.max(c).alias(c) for c in ("head_to", "tail_to", *places, *keys)],
+            F.max("head_to").alias("head_to"), F.max("tail_to").alias("tail_to"),
         )
     )
     so_far = Window.partitionBy("feature").orderBy("edge").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     begins = F.when(~F.col("follows"), F.col("edge"))
-    runs = told.withColumn("piece", F.last(begins, ignorenulls=True).over(so_far))
-    steps = F.sort_array(F.collect_list(F.struct("edge", "hx", "hy", "tx", "ty")))
-    end = F.element_at("steps", -1)
-    points = F.concat(
-        F.transform("steps", lambda s: F.struct(s["hx"].alias("x"), s["hy"].alias("y"))),
-        F.array(F.struct(end["tx"].alias("x"), end["ty"].alias("y"))),
+    runs = (
+        told.withColumn("piece", F.last(begins, ignorenulls=True).over(so_far))
+        .groupBy("feature", "piece").agg(
+            F.max("edge").alias("last"), F.max("head_to").alias("head_to"),
+            F.max("tail_to").alias("tail_to"),
+        )
     )
-    return (
-        runs.groupBy("feature", "piece", *keys)
-        .agg(steps.alias("steps"), F.max("head_to").alias("head_to"), F.max("tail_to").alias("tail_to"))
-        .select("piece", end["edge"].alias("last"), "head_to", "tail_to", *keys,
-                points.alias("points"))
+    start = (F.col("piece") - F.col("feature") * width + 1).cast("int")
+    count = (F.col("last") - F.col("piece") + 2).cast("int")
+    return runs.join(staged, "feature").select(
+        "piece", "last", "head_to", "tail_to", "_group",
+        F.slice("line", start, count).alias("points"),
     )
 
 
@@ -292,48 +315,61 @@ def _settled(path: Column, ring: Column) -> Column:
     return F.when(backward, F.reverse(start)).otherwise(start)
 
 
-def _placed_pieces(
-    staged: DataFrame, width: int, keys: list[str], paths: str
-) -> tuple[DataFrame, DataFrame]:
+def _placed_pieces(staged: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """The pieces that are whole lines, and those that make up longer ones.
 
-    Both come as (keys, chain, ring, dist, points): ``points`` run along the chain and
+    Both come as (_group, chain, ring, dist, points): ``points`` run along the chain and
     ``dist`` edges of it follow after them.
     """
-    edges = stage(_distinct(_edge_rows(staged, keys, paths), keys), "edges")
-    joints = stage(_joints(edges, keys), "joints")
-    pieces = stage(_pieces(edges, joints, keys, width), "pieces")
+    edges = stage(_distinct(_edge_rows(staged, width)), "edges")
+    joints = stage(_joints(edges), "joints")
+    pieces = stage(_pieces(edges, joints, staged, width), "pieces")
     alone = pieces.filter(_ALONE).select(
-        *keys, F.col("piece").alias("chain"), F.col("head_to").isNotNull().alias("ring"),
+        "_group", F.col("piece").alias("chain"), F.col("head_to").isNotNull().alias("ring"),
         F.lit(0).cast("long").alias("dist"), "points",
     )
     backward = F.col("arc") % 2 == 0
     linked = pieces.filter(f"not {_ALONE}").join(_ranked(_arcs(pieces)), "piece").select(
         # Chains are named by an arc: below zero, they never meet a lone piece's name.
-        *keys, (-1 - F.col("chain")).alias("chain"), "ring", "dist",
+        "_group", (-1 - F.col("chain")).alias("chain"), "ring", "dist",
         F.when(backward, F.reverse("points")).otherwise(F.col("points")).alias("points"),
     )
     return alone, linked
 
 
-def chains_of_staged(
-    staged: DataFrame, width: int, keys: list[str], paths: str = "paths"
-) -> DataFrame:
-    """:func:`chains` for features already put through :func:`stage_features`."""
-    alone, linked = _placed_pieces(staged, width, keys, paths)
+def _lines(staged: DataFrame, width: int) -> DataFrame:
+    """The chains as (_group, ring, path)."""
+    alone, linked = _placed_pieces(staged, width)
     # Each piece after the first repeats the vertex it joins at.
     parts = F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("place"), "points")))
     joined = F.flatten(F.transform("parts", lambda p, i: F.when(
         i == 0, p["points"]).otherwise(F.slice(p["points"], 2, F.size(p["points"])))))
-    merged = linked.groupBy(*keys, "chain", "ring").agg(parts.alias("parts")).select(
-        *keys, "ring", joined.alias("line")
+    merged = linked.groupBy("_group", "chain", "ring").agg(parts.alias("parts")).select(
+        "_group", "ring", joined.alias("line")
     )
-    whole = alone.select(*keys, "ring", F.col("points").alias("line"))
+    whole = alone.select("_group", "ring", F.col("points").alias("line"))
     return whole.unionByName(merged).select(
-        *keys, "ring", _settled(F.col("line"), F.col("ring")).alias("path")
+        "_group", "ring", _settled(F.col("line"), F.col("ring")).alias("path")
     )
 
 
+def single_part(
+    features: DataFrame, groups: DataFrame, keys: list[str], paths: str = "paths"
+) -> DataFrame:
+    """Dissolve ``features``: one row per line, with every column of its group.
+
+    ``groups`` has one row per key, usually with attributes of the group.
+    """
+    groups = number_groups(groups)
+    staged, width = _stage_features(features, groups, keys, paths)
+    return _keyed(_lines(staged, width), groups)
+
+
+def chains(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
+    """Each group's lines merged into maximal chains, one row per chain."""
+    return single_part(features, features.select(*keys).distinct(), keys, paths)
+
+
 def chain_vertices(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """The chains as one row per vertex: (keys, chain, ring, place, x, y).
 
@@ -341,33 +377,17 @@ def chain_vertices(features: DataFrame, keys: list[str], paths: str = "paths") -
     over tasks, where :func:`chains` needs each line to fit one row. A ring has its
     first vertex at both ends.
     """
-    staged, width = stage_features(features.select(*keys, paths), paths)
-    alone, linked = _placed_pieces(staged, width, keys, paths)
+    groups = number_groups(features.select(*keys).distinct())
+    staged, width = _stage_features(features, groups, keys, paths)
+    alone, linked = _placed_pieces(staged, width)
     rows = alone.unionByName(linked).select(
-        *keys, "chain", "ring", "dist", F.size("points").alias("_n"),
+        "_group", "chain", "ring", "dist", F.size("points").alias("_n"),
         F.posexplode("points").alias("_at", "_p"),
     )
     after = F.col("_n") - 1 - F.col("_at")
     # The vertex two pieces share is the later one's first.
-    return rows.filter((after > 0) | (F.col("dist") == 0)).select(
-        *keys, "chain", "ring", (F.col("dist") + after).alias("place"),
+    vertices = rows.filter((after > 0) | (F.col("dist") == 0)).select(
+        "_group", "chain", "ring", (F.col("dist") + after).alias("place"),
         F.col("_p.x").alias("x"), F.col("_p.y").alias("y"),
     )
-
-
-def chains(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
-    """Each group's lines merged into maximal chains, one row per chain."""
-    staged, width = stage_features(features.select(*keys, paths), paths)
-    return chains_of_staged(staged, width, keys, paths)
-
-
-def single_part(lines: DataFrame, attributes: DataFrame, keys: list[str]) -> DataFrame:
-    """Give every line its group's attributes.
-
-    The groups are staged: adaptive execution splits a hot key's lines over tasks only
-    where the join reads both sides straight from their shuffles, not through the
-    aggregate that made the groups.
-    """
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-    groups = stage(attributes.withColumnsRenamed({k: f"_of_{k}" for k in keys}), "groups")
-    return lines.join(groups, same).drop(*[f"_of_{k}" for k in keys])
+    return _keyed(vertices, groups)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fumeline.functions.columns import parse_codes, route_key, with_length
 from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic
-from fumeline.operators.lines import chains_of_staged, single_part, stage_features
+from fumeline.operators.lines import single_part
 from fumeline.operators.numbering import number
 from fumeline.operators.stats import dissolve_attributes
 from fumeline.sinks.features import export, labelled
@@ -56,9 +56,7 @@ def kept_2023(df: DataFrame, strict_key: bool = False) -> tuple[DataFrame, DataF
 
 def dissolve(kept: DataFrame) -> DataFrame:
     """Numbered single-part lines with their groups' attributes."""
-    staged, width = stage_features(kept)
-    groups = dissolve_attributes(staged, KEYS, FIRST, MEAN)
-    lines = single_part(chains_of_staged(staged, width, KEYS), groups, KEYS)
+    lines = single_part(kept, dissolve_attributes(kept, KEYS, FIRST, MEAN), KEYS)
     # A line is told from the others of its group by its first step.
     start = {f"_{i}{c}": F.element_at("path", i)[c] for i in (1, 2) for c in "xy"}
     return number(lines.withColumns(start), ["source"], ["key", *start]).drop(*start)

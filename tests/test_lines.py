@@ -100,13 +100,13 @@ def test_no_features(features):
 
 
 def test_single_part_repeats_group_attributes(features, spark):
-    parts = chains(features([("a", SHAPES["junction"]), ("b", SHAPES["two pieces"])]), ["g"])
+    df = features([("a", SHAPES["junction"]), ("b", SHAPES["two pieces"])])
     groups = spark.createDataFrame([("a", 1), ("b", 2)], "g string, n int")
-    got = single_part(parts, groups, ["g"]).groupBy("g", "n").count().collect()
+    got = single_part(df, groups, ["g"]).groupBy("g", "n").count().collect()
     assert sorted(map(tuple, got)) == [("a", 1, 3), ("b", 2, 1)]
 
 
-def test_hot_group_is_split_when_it_gets_its_attributes(spark):
+def test_hot_group_is_split_when_it_gets_its_number(spark):
     """Nearly all lines have one key; adaptive execution spreads them in the join."""
     settings_ = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -123,8 +123,8 @@ def test_hot_group_is_split_when_it_gets_its_attributes(spark):
     for name, value in settings_.items():
         spark.conf.set(name, value)
     try:
-        groups = df.groupBy("g").agg(F.avg("n").alias("mean"))
-        joined = single_part(df, groups, ["g"])
+        groups = lines.number_groups(df.groupBy("g").agg(F.avg("n").alias("mean")))
+        joined = lines.with_group(df, groups, ["g"])
         assert len(joined.collect()) == 40_000
         text = joined._jdf.queryExecution().executedPlan().toString()
     finally:
