@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import standins
-from checks.oracles import oracles
-from fumeline.functions.columns import line_length, parse_codes, route_key
-from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic
-from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part
-from fumeline.operators.numbering import number
-from fumeline.operators.stats import describe, dissolve_attributes, distinct_count
-from fumeline.plans.air import air, area_means
-from fumeline.plans.roads import FIRST, KEYS, MEAN, dissolve, export_labelled, kept_2020, roads
-from fumeline.sinks.features import feature_json, labelled
-from fumeline.sources.features import (
+# The entry file may be loaded from anywhere.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from checks import standins  # noqa: E402
+from checks.oracles import oracles  # noqa: E402
+from fumeline.functions.columns import line_length, parse_codes, route_key  # noqa: E402
+from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic  # noqa: E402
+from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part  # noqa: E402
+from fumeline.operators.numbering import number  # noqa: E402
+from fumeline.operators.stats import describe, dissolve_attributes, distinct_count  # noqa: E402
+from fumeline.plans.air import air, area_means  # noqa: E402
+from fumeline.plans.roads import FIRST, KEYS, MEAN, dissolve, export_labelled, kept_2020, roads  # noqa: E402
+from fumeline.sinks.features import feature_json, labelled  # noqa: E402
+from fumeline.sources.features import (  # noqa: E402
     list_sources, read_features, read_layouts, read_matching, source_value,
 )
 
