@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -26,6 +27,11 @@ from fumeline.sources.features import (  # noqa: E402
     list_sources, read_features, read_layouts, read_matching, source_value,
 )
 
+# The operators of training-data pipelines stand by themselves and may be left out.
+llm = None
+if importlib.util.find_spec("fumeline.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from fumeline.llm import queries as llm  # noqa: E402
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -225,8 +231,9 @@ def queries() -> dict[str, Query]:
         "road_features_json": road_features_json,
         "roads_2020": _roads(2020, "State_Code"),
         "roads_2023": _roads(2023, "StateID"),
+        **(llm.queries() if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles()
+    return {**oracles(), **(llm.oracle_sql() if llm else {})}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -56,6 +57,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, and what their making left.
+
+    The files of shuffles go when the JVM collects the objects that name them, so it
+    is asked to; on an application with idle executors they would stay for long.
+    """
+    spark = tables[0].sparkSession
+    jvm = spark.sparkContext._jvm
+    for table in tables:
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            root = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+            if path.getParent().toUri().getPath() != root.toUri().getPath():
+                raise ValueError(f"not a staged table: {folder}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def stage_counting(df: DataFrame, label: str, **sums: Column) -> tuple[DataFrame, dict]:
     """:func:`stage`, and aggregates of the rows taken while they are written."""
     seen = Observation()
