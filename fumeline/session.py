@@ -61,7 +61,7 @@ def unstage(*tables: DataFrame) -> None:
     """Delete staged tables that nothing reads any more, and what their making left.
 
     The files of shuffles go when the JVM collects the objects that name them, so it
-    is asked to; on an application with idle executors they would stay for long.
+    is asked to: a driver with little to do would keep them for long.
     """
     spark = tables[0].sparkSession
     jvm = spark.sparkContext._jvm
@@ -72,8 +72,13 @@ def unstage(*tables: DataFrame) -> None:
             if path.getParent().toUri().getPath() != root.toUri().getPath():
                 raise ValueError(f"not a staged table: {folder}")
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    free(spark)
+
+
+def free(spark: SparkSession) -> None:
+    """Let go of the shuffles and broadcasts of data frames that are no longer held."""
     gc.collect()
-    jvm.System.gc()
+    spark.sparkContext._jvm.System.gc()
 
 
 def stage_counting(df: DataFrame, label: str, **sums: Column) -> tuple[DataFrame, dict]:
