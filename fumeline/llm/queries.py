@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fumeline.llm import decontaminate, mixing, quality, secrets, simhash
+from fumeline.llm import anchors, decontaminate, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity
 from fumeline.llm.common import remainder, table
 
 
+def op1_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, remainder("doc_id", 3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op2_itq(spark, sf_dir):
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -18,6 +30,23 @@ def op4_simhash(spark, sf_dir):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_suffixes(spark, sf_dir):
+    return suffixes.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_anchors(spark, sf_dir):
+    return anchors.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_lattice(spark, sf_dir):
+    scored = lattice.scores(table(spark, sf_dir, "documents"), remainder("doc_id", 5) != 1)
+    return scored.select(
+        "doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op8_secrets(spark, sf_dir):
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -38,8 +67,13 @@ def queries():
     import corpus_pipeline
 
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_itq": op2_itq,
         "op3_mixing": op3_mixing,
         "op4_simhash": op4_simhash,
+        "op5_suffixes": op5_suffixes,
+        "op6_anchors": op6_anchors,
+        "op7_lattice": op7_lattice,
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
         "op10_decontaminate": op10_decontaminate,
