@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fumeline.llm import anchors, decontaminate, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity
 from fumeline.llm.common import remainder, table
+from fumeline.llm.sql import oracle_sql  # noqa: F401
 
 
 def op1_toxicity(spark, sf_dir):
@@ -79,7 +80,3 @@ def queries():
         "op10_decontaminate": op10_decontaminate,
         "pipeline": corpus_pipeline.run,
     }
-
-
-def oracle_sql():
-    return {}
