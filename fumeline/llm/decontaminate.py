@@ -349,11 +349,11 @@ def _arrow(spark, ddl: str) -> pa.Schema:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mask: str = " ") -> DataFrame:
     """The documents with every span that occurs in the benchmark cut out, in their own columns."""
-    found = contamination(docs, benchmark, window)
-    shape = docs.schema
-    cut = found.select(*docs.columns, "spans").mapInArrow(
-        lambda batches: _cut(batches, mask), shape)
-    return cut
+    # Under plain names while columns are added, as documents may have columns named like those.
+    plain = docs.toDF(*[n if n == "text" else f"c{k}" for k, n in enumerate(docs.columns)])
+    found = contamination(plain, benchmark, window)
+    return found.select(*plain.columns, "spans").mapInArrow(
+        lambda batches: _cut(batches, mask), plain.schema).toDF(*docs.columns)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
