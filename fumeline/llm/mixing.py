@@ -30,7 +30,7 @@ WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 MOST = 3  # a source gives at most so many times its words
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1 << 16
-BUCKET_ROWS = 20_000  # documents whose offsets are summed up in one task
+BUCKET_ROWS = 2000  # documents whose offsets are summed up in one task
 
 
 def _sizes(batches, keep_text: bool):
@@ -163,7 +163,8 @@ def slots(spark, sources: DataFrame, seed: int, shard_slots: int = SHARD_SLOTS)
     plan = dealt(spark, sources.orderBy("no").collect(), seed, shard_slots)
     each = plan.repartition("no", "shard").select(
         "no", "blocks", "shard", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("slot"))
-    return each.mapInArrow(lambda b: _mapped(b, seed), "no int, shard int, slot long, block long")
+    mapped = each.mapInArrow(lambda b: _mapped(b, seed), "no int, shard int, slot long, block long")
+    return stage(mapped, "slots")  # so that its true size decides how it is joined
 
 
 def _blocks_of(block_words: int):
@@ -177,7 +178,7 @@ def taken(docs: DataFrame, seed: int = 3, block_words: int = BLOCK_WORDS) -> Dat
     spark = docs.sparkSession
     sized = stage(sizes(docs), "sizes")
     sources = stage(targets(sized, block_words), "sources")
-    times = slots(spark, sources, seed).groupBy("no", "block").agg(F.count(F.lit(1)).alias("times"))
+    times = stage(slots(spark, sources, seed).groupBy("no", "block").agg(F.count(F.lit(1)).alias("times")), "times")
     rows = offsets(sized, sources).withColumn("block", F.explode_outer(_blocks_of(block_words)))
     low = F.greatest(F.col("offset"), F.col("block") * block_words)
     high = F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block_words)
