@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from fumeline.llm.common import (
     SPACES, Rolling, as_text, batch_of, delimiters, slices, text_bytes, word_bounds, word_hashes,
 )
-from fumeline.session import stage, unstage
+from fumeline.session import free, stage, unstage
 
 WINDOW = 35
 CHUNK = 8 << 20  # bytes of text in a chunk, about
@@ -200,6 +200,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, chunk: int = CHUNK, buck
     sent = dealt.groupBy("chunk").applyInArrow(lambda t: _send(t, width, buckets), _DDL["sent"])
     found = stage(sent.groupBy("bucket").applyInArrow(_repeated, _DDL["found"]), "blocks")
     del sent
+    free(docs.sparkSession)  # the probes' shuffles, before the texts are shuffled again
     judged = stage(dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
         lambda d, f: _candidates(d, f, window, width, buckets), _DDL["done"]), "candidates")
     unstage(found)
