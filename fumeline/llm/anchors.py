@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fumeline.llm.common import (
-    SPACES, Rolling, as_text, batch_of, delimiters, slices, text_bytes, word_bounds, word_hashes,
+    SPACES, Rolling, among, as_text, batch_of, delimiters, distinct, slices, text_bytes, word_bounds, word_hashes,
 )
 from fumeline.session import free, stage, unstage
 
@@ -70,13 +70,8 @@ def _parts(table: pa.Table):
         yield from slices(batch)
 
 
-def _twice(hashes: np.ndarray) -> np.ndarray:
-    """Sorted distinct values, those that occur several times twice."""
-    value, count = np.unique(hashes, return_counts=True)
-    return np.repeat(value, np.minimum(count, 2))
-
-
 def _by_bucket(hashes: np.ndarray, bucket: np.ndarray, buckets: int):
+    bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64)  # small numbers sort faster
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for k in range(buckets):
@@ -92,10 +87,10 @@ def _send(table: pa.Table, width: int, buckets: int) -> pa.Table:
         places, hashes = words.windows(width)
         probes.append(hashes)
         index.append(hashes[words.inside[places] % width == 0])
-    probes, index = np.concatenate(probes), np.unique(np.concatenate(index))
+    probes, index = np.concatenate(probes), distinct(np.concatenate(index))
     chunk = table.column("chunk")[0].as_py()
     share = {k: h for k, h in _by_bucket(index, index % np.uint64(buckets), buckets)}
-    rows = [(k, chunk, _twice(h).tobytes(), share.get(k, index[:0]).tobytes())
+    rows = [(k, chunk, distinct(h, 2).tobytes(), share.get(k, index[:0]).tobytes())
             for k, h in _by_bucket(probes, probes % np.uint64(buckets), buckets)]
     return pa.Table.from_batches([batch_of(_SENT, *(map(list, zip(*rows)) if rows else [[]] * 4))])
 
@@ -104,21 +99,12 @@ def _numbers(column) -> list[np.ndarray]:
     return [np.frombuffer(v, np.uint64) for v in column.to_pylist()]
 
 
-def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Which values are in a sorted table."""
-    if not len(table):
-        return np.zeros(len(values), bool)
-    at = np.searchsorted(table, values)
-    at[at == len(table)] = 0
-    return table[at] == values
-
-
 def _repeated(table: pa.Table) -> pa.Table:
     """For each chunk of a bucket, the indexed hashes that occur more than once in all chunks."""
     probes, index = _numbers(table.column("probes")), _numbers(table.column("index"))
-    everything = np.sort(np.concatenate(probes))
-    again = np.unique(everything[1:][everything[1:] == everything[:-1]])
-    rows = [(c, own[_among(own, again)].tobytes())
+    run = np.sort(np.concatenate(probes))
+    again = distinct(run[1:][run[1:] == run[:-1]])
+    rows = [(c, own[among(own, again)].tobytes())
             for c, own in zip(table.column("chunk").to_pylist(), index) if len(own)]
     rows = [r for r in rows if r[1]]
     return pa.Table.from_batches([batch_of(_FOUND, *(map(list, zip(*rows)) if rows else [[]] * 2))])
@@ -126,7 +112,7 @@ def _repeated(table: pa.Table) -> pa.Table:
 
 def _candidates(docs: pa.Table, found: pa.Table, window: int, width: int, buckets: int) -> pa.Table:
     """Texts without a repeated block are done; of the others, the windows to be compared."""
-    hits = np.unique(np.concatenate([np.zeros(0, np.uint64), *_numbers(found.column("hashes"))]))
+    hits = distinct(np.concatenate([np.zeros(0, np.uint64), *_numbers(found.column("hashes"))]))
     out, hashes, where = [], [], []
     chunk = docs.column("chunk")[0].as_py() if docs.num_rows else None
     for part in _parts(docs):
@@ -134,7 +120,7 @@ def _candidates(docs: pa.Table, found: pa.Table, window: int, width: int, bucket
         places, own = words.windows(width)
         aligned = words.inside[places] % width == 0
         hit = np.zeros(len(words.starts) + 2 * width, bool)
-        hit[places[aligned]] = _among(own[aligned], hits)
+        hit[places[aligned]] = among(own[aligned], hits)
         start, whole = words.windows(window)
         # The one aligned block that lies within the window.
         block = start + -words.inside[start] % width
@@ -156,18 +142,18 @@ def _candidates(docs: pa.Table, found: pa.Table, window: int, width: int, bucket
             [None if w else b" ".join(t.encode().split()).decode() for t, w in zip(texts, waiting)], none))
     if hashes:
         for k, own in _by_bucket(np.concatenate(hashes), np.concatenate(where), buckets):
-            out.append(batch_of(_DONE, [chunk], [k], [None], [None], [None], [None], [None], [_twice(own).tobytes()]))
+            out.append(batch_of(_DONE, [chunk], [k], [None], [None], [None], [None], [None], [distinct(own, 2).tobytes()]))
     return pa.Table.from_batches(out, _DONE)
 
 
 def _removed(docs: pa.Table, found: pa.Table, window: int) -> pa.Table:
     """Texts without the words of repeated windows."""
-    again = np.unique(np.concatenate([np.zeros(0, np.uint64), *_numbers(found.column("hashes"))]))
+    again = distinct(np.concatenate([np.zeros(0, np.uint64), *_numbers(found.column("hashes"))]))
     out = []
     for part in _parts(docs):
         words = Words(part)
         places, own = words.windows(window)
-        places = places[_among(own, again)]
+        places = places[among(own, again)]
         edge = np.zeros(len(words.starts) + 1, np.int64)
         edge[places] += 1
         edge[places + window] -= 1

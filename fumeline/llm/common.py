@@ -6,7 +6,6 @@ All of these delimiters are single bytes of UTF-8, so words can be cut from byte
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -157,8 +156,22 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: i
     return Rolling(byte_values(which)[data], which).of(starts, ends)
 
 
-def sha(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def distinct(values: np.ndarray, most: int = 1) -> np.ndarray:
+    """Sorted values, each up to ``most`` times (1 or 2). Sorting beats numpy's hashing here."""
+    run = np.sort(values)
+    keep = np.ones(len(run), bool)
+    if len(run) > most:
+        keep[most:] = run[most:] != run[:-most]
+    return run[keep]
+
+
+def among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted table."""
+    if not len(table):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(table, values)
+    at[at == len(table)] = 0
+    return table[at] == values
 
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:

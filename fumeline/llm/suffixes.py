@@ -27,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fumeline.llm.common import Rolling, as_text, batch_of, byte_values, slices, text_bytes
+from fumeline.llm.common import (
+    Rolling, among, as_text, batch_of, byte_values, distinct, slices, text_bytes,
+)
 from fumeline.session import free, stage
 
 LENGTH = 100
 # A perfect difference set modulo 57.
 MODULUS, COVER = 57, (1, 6, 7, 9, 19, 38, 42, 49)
-CHUNK = 8 << 20  # bytes of text in a chunk, about
+CHUNK = 4 << 20  # bytes of text in a chunk, about
 BUCKET = 12 << 20  # bytes of text for each bucket of names
 
 _SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("names", pa.binary())])
@@ -92,7 +94,7 @@ def _distinct(names: np.ndarray, bucket: np.ndarray, buckets: int) -> list[np.nd
     kind = np.uint16 if buckets <= 1 << 16 else np.int64
     order = np.argsort(bucket.astype(kind), kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    return [np.unique(names[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+    return [distinct(names[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _sent(chunk: int, names: list[np.ndarray]) -> pa.Table:
@@ -134,14 +136,6 @@ def _told(answer: pa.Table, names: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(values), bool)
-    at = np.searchsorted(table, values)
-    at[at == len(table)] = 0
-    return table[at] == values
-
-
 def _live(docs: pa.Table, answer: pa.Table, length: int, buckets: int):
     """For each slice of a chunk: (texts, places, names, buckets) of the suffixes that remain."""
     kept, names = [], []
@@ -151,15 +145,14 @@ def _live(docs: pa.Table, answer: pa.Table, length: int, buckets: int):
         names.append(own)
         kept.append((part, places))
     everything = np.concatenate([np.zeros(0, np.uint64), *names])
-    distinct = _distinct(everything, (everything % np.uint64(buckets)).astype(np.int64), buckets)
-    found = _told(answer, distinct)
-    value, count = np.unique(everything, return_counts=True)
-    again = np.unique(np.concatenate([value[count > 1], *found]))
-    del everything, value, count, distinct, found
+    held = _distinct(everything, (everything % np.uint64(buckets)).astype(np.int64), buckets)
+    run = distinct(everything, 2)
+    again = distinct(np.concatenate([run[1:][run[1:] == run[:-1]], *_told(answer, held)]))
+    del everything, held, run
     for (part, places), own in zip(kept, names):
         text = Bytes(part)
         hit = np.zeros(len(text.data), bool)
-        hit[places[_among(own, again)]] = True
+        hit[places[among(own, again)]] = True
         live, windows = text.windows(hit, length)
         yield part, text, live, windows, text.buckets(live, length, buckets) if len(live) else live
 
@@ -210,19 +203,23 @@ def _cut(docs: pa.Table, answers: pa.Table, length: int, buckets: int) -> pa.Tab
         own = order[cuts[k]:cuts[k + 1]]
         if not len(own):
             continue
-        gone[own] = _among(names[own], earlier[k])
-        _, at, back = np.unique(names[own], return_index=True, return_inverse=True)
-        # own is in place order but for rows of one id, so the least key is taken, not the first.
-        least = key[own][at]
-        np.minimum.at(least, back, key[own])
-        gone[own] |= key[own] > least[back]
+        mine = names[own]
+        gone[own] = among(mine, earlier[k])
+        # Of the others, those that the chunk holds several times stay at their least place.
+        run = distinct(mine, 2)
+        own = own[among(mine, run[1:][run[1:] == run[:-1]]) & ~gone[own]]
+        if len(own):
+            value, back = np.unique(names[own], return_inverse=True)
+            least = np.full(len(value), np.iinfo(np.int64).max)
+            np.minimum.at(least, back, key[own])
+            gone[own] = key[own] > least[back]
     out, at = [], 0
     for part, text, live, _, _ in held:
         here = live[gone[at:at + len(live)]]
         at += len(live)
         edge = np.zeros(len(text.data) + 1, np.int32)
-        np.add.at(edge, here, 1)
-        np.add.at(edge, here + length, -1)
+        edge[here] += 1  # places are distinct
+        edge[here + length] -= 1
         cut = np.cumsum(edge)[:-1] > 0
         opens = cut.copy()
         opens[1:] &= ~cut[:-1]
