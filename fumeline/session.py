@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,7 +33,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def stage_root(spark: SparkSession) -> str:
     """The folder for staged tables: ``spark.checkpoint.dir`` where it is set.
 
-    A local session without the setting gets a folder of its own. A cluster must
+    A local session without the setting gets a folder of its own, removed on exit. A cluster must
     name a shared one, or executors could not read each other's tables.
     """
     app = spark.sparkContext.applicationId
@@ -41,6 +44,7 @@ def stage_root(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="fumeline-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
@@ -58,11 +62,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def unstage(*tables: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more, and what their making left.
-
-    The files of shuffles go when the JVM collects the objects that name them, so it
-    is asked to: a driver with little to do would keep them for long.
-    """
+    """Delete staged tables that nothing reads any more."""
     spark = tables[0].sparkSession
     jvm = spark.sparkContext._jvm
     for table in tables:
@@ -72,12 +72,17 @@ def unstage(*tables: DataFrame) -> None:
             if path.getParent().toUri().getPath() != root.toUri().getPath():
                 raise ValueError(f"not a staged table: {folder}")
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    free(spark)
 
 
 def free(spark: SparkSession) -> None:
-    """Let go of the shuffles and broadcasts of data frames that are no longer held."""
+    """Let go of the shuffles and broadcasts of data frames that are no longer held.
+
+    Their files go when the JVM collects the objects that name them, so it is asked to: a
+    driver with little to do would keep them for long. Python's bridge tells the JVM only
+    about once a second which objects Python has dropped.
+    """
     gc.collect()
+    time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
 
 
