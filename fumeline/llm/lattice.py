@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fumeline.llm.common import Rolling, _powers, as_text, batch_of, byte_values, mix, slices, text_bytes
-from fumeline.session import stage
+from fumeline.session import free, stage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16 << 20
@@ -225,6 +225,7 @@ def scores(docs: DataFrame, train: Column, path: str = VOCABULARY) -> DataFrame:
     texts = coded.filter(F.col("codes").isNotNull()).select("chunk", "doc_id", "train", "codes")
     vocabulary = stage(words.groupBy("word").agg(F.sum("n_train").alias("c")).mapInArrow(
         lambda batches: _weighed(batches, table), "word string, c long, q double"), "vocabulary")
+    free(docs.sparkSession)
     count = vocabulary.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"),
         F.count(F.when(F.col("c") == 1, 1)).alias("once")).first()
