@@ -21,10 +21,10 @@ from fumeline.operators.lines import chain_vertices, chains, distinct_edges, sin
 from fumeline.operators.numbering import number  # noqa: E402
 from fumeline.operators.stats import describe, dissolve_attributes, distinct_count  # noqa: E402
 from fumeline.plans.air import air, area_means  # noqa: E402
-from fumeline.plans.roads import FIRST, KEYS, MEAN, dissolve, export_labelled, kept_2020, roads  # noqa: E402
-from fumeline.sinks.features import feature_json, labelled  # noqa: E402
+from fumeline.plans.roads import FIRST, KEYS, MEAN, dissolve, export_labelled, kept_2020, kept_2023, roads  # noqa: E402
+from fumeline.sinks.features import feature_documents, feature_json, labelled  # noqa: E402
 from fumeline.sources.features import (  # noqa: E402
-    list_sources, read_features, read_layouts, read_matching, source_value,
+    layout_of, list_sources, read_features, read_layouts, read_matching, source_value,
 )
 
 # The operators of training-data pipelines stand by themselves and may be left out.
@@ -59,10 +59,11 @@ def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_2020(_features(spark, sf_dir))
 
 
-def _layout(spark: SparkSession, sf_dir: str, states: str) -> DataFrame:
-    """The 2023 feature classes of some states, which share a layout."""
+def _layout(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    """The 2023 feature classes of one layout."""
     root = standins.feature_classes(spark, sf_dir, 2023)
-    return read_features(spark, [at for at, _ in list_sources(spark, root, f"state[{states}]_2023")])
+    found = [at for at, _ in list_sources(spark, root, "*_2023")]
+    return read_features(spark, [at for at in found if layout_of(spark.read.parquet(at).columns) == layout])
 
 
 def _segments_2023(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,12 +107,12 @@ def road_key_strict(spark, sf_dir):
 
 
 def road_filter_2023(spark, sf_dir):
-    rows = major_roads_text(_layout(spark, sf_dir, "012"))
+    rows = major_roads_text(_layout(spark, sf_dir, "named"))
     return rows.select("source", "OBJECTID", "F_SYSTEM", "URBAN_ID", "RouteID", "AADT")
 
 
 def road_filter_2023_pos(spark, sf_dir):
-    rows = major_roads_text(_layout(spark, sf_dir, "34"), "Field6", "Field8")
+    rows = major_roads_text(_layout(spark, sf_dir, "positional"), "Field6", "Field8")
     return rows.select("source", "OBJECTID", "Field6", "Field8", "RouteID", "AADT")
 
 
@@ -168,6 +169,35 @@ def road_chains_long(spark, sf_dir):
     ).drop("chain")
 
 
+def road_chains_paths(spark, sf_dir):
+    vertices = chain_vertices(standins.order_paths(spark, sf_dir), ["k"])
+    x, at = F.col("x") * 2, F.col("place")
+    return vertices.groupBy("k", "chain", "ring").agg(
+        F.min("x").alias("from_x"), F.max("x").alias("to_x"), F.max("place").cast("int").alias("edges"),
+        F.count(F.lit(1)).alias("vertices"),
+        # One if the places run along the line, vertex by vertex.
+        F.least(F.count_distinct(x + at), F.count_distinct(x - at)).alias("steps"),
+    ).drop("chain")
+
+
+def road_rejects(spark, sf_dir):
+    return kept_2023(standins.spoiled_segments(_segments_2023(spark, sf_dir)))[1].select("source", "OBJECTID")
+
+
+def road_sources_nested(spark, sf_dir):
+    rows = read_matching(spark, standins.nested_classes(spark, sf_dir), "*_2020", recursive=True)
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("OBJECTID").alias("first_id"))
+
+
+def road_mixed_types(spark, sf_dir):
+    rows = read_matching(spark, standins.nested_classes(spark, sf_dir), "*_2020", recursive=True)
+    return kept_2020(rows).select("source", "OBJECTID", "key", "aadt")
+
+
+def road_documents(spark, sf_dir):
+    return feature_documents(_exported(spark, sf_dir), wkid=4269)
+
+
 def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _features(spark, sf_dir)
     return labelled(export_labelled(dissolve(kept_2020(rows)), source_value(rows, "State_Code")))
@@ -206,7 +236,7 @@ def queries() -> dict[str, Query]:
         "pm_distinct_days": lambda s, d: distinct_count(standins.readings(s, d), "Date"),
         "pm_group_mean": lambda s, d: _rounded(area_means(standins.readings(s, d)), "pm25"),
         "pm_describe": _summary(lambda r: describe(area_means(r), "pm25")),
-        "pm_describe_ranked": _summary(lambda r: describe(area_means(r), "pm25", in_memory=0)),
+        "pm_describe_ranked": _summary(lambda r: describe(area_means(r), "pm25")),
         "air_summary": _summary(air),
         "road_scan": road_scan,
         "road_sources": road_sources,
@@ -225,6 +255,11 @@ def queries() -> dict[str, Query]:
         "road_union_edges": road_union_edges,
         "road_chains": road_chains,
         "road_chains_long": road_chains_long,
+        "road_chains_paths": road_chains_paths,
+        "road_rejects": road_rejects,
+        "road_sources_nested": road_sources_nested,
+        "road_mixed_types": road_mixed_types,
+        "road_documents": road_documents,
         "road_singlepart": road_singlepart,
         "road_ids": road_ids,
         "road_export": road_export,

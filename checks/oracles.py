@@ -113,6 +113,24 @@ _F3 = _F2 + """, f3 AS (
 _MAJOR_TEXT = """({0} IN ('1', '2', '3') OR ({0} = '4' AND {1} <> '99999'))"""
 _MAJOR_NAMED = _MAJOR_TEXT.format('"F_SYSTEM"', '"URBAN_ID"')
 
+# The opening of a document, as its readers want it.
+_OPENING = (
+    '{"geometryType":"esriGeometryPolyline","spatialReference":{"wkid":4269},"fields":['
+    '{"name":"state_code","type":"esriFieldTypeDouble","alias":"state_code"},'
+    '{"name":"urban_code","type":"esriFieldTypeDouble","alias":"urban_code"},'
+    '{"name":"f_system","type":"esriFieldTypeString","alias":"f_system","length":255},'
+    '{"name":"aadt","type":"esriFieldTypeDouble","alias":"aadt"},'
+    '{"name":"ID","type":"esriFieldTypeInteger","alias":"ID"}],"features":['
+)
+_NESTED = """CASE "State_Code" WHEN 4 THEN 'St.2_2020'
+  ELSE 'd' || ("State_Code" % 2) || '/St.' || ("State_Code" // 2) || '_2020' END"""
+
+_FEATURE = """'{"attributes":{"state_code":' || cast(first_state_code AS double)
+    || ',"urban_code":' || coalesce(cast(cast(first_urban_code AS double) AS varchar), 'null')
+    || ',"f_system":"' || first_f_system || '","aadt":' || mean_aadt || ',"ID":' || "ID"
+    || '},"geometry":{"paths":[[[' || replace(replace(path, ',', '],['), ' ', ',')
+    || ']]]}}'"""
+
 _RECURSIVE, _WITH = "WITH RECURSIVE ", "WITH "
 
 
@@ -197,6 +215,33 @@ FROM g GROUP BY k, island""",
     || ',"f_system":"' || first_f_system || '","aadt":' || mean_aadt || ',"ID":' || "ID"
     || '}},"geometry":{{"paths":[[[' || replace(replace(path, ',', '],['), ' ', ',')
     || ']]]}}}}' AS feature FROM numbered""",
+        "road_documents": f"""{lines}, named AS (SELECT {value} AS value, * FROM numbered)
+  SELECT value, cast("ID" AS bigint) AS place,
+         CASE WHEN "ID" = 1 THEN '' ELSE ',' END || {_FEATURE} AS line FROM named
+  UNION ALL SELECT DISTINCT value, 0, '{_OPENING}' FROM named
+  UNION ALL SELECT value, max("ID") + 1, ']}}' FROM named GROUP BY value""",
+        "road_chains_paths": """WITH r AS (
+  SELECT o_orderpriority AS k, o_orderkey,
+         row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM orders),
+g AS (
+  SELECT k, rn, rn - row_number() OVER (PARTITION BY k ORDER BY rn) AS island
+  FROM r WHERE o_orderkey % 97 <> 0)
+SELECT k, cast(min(rn) AS double) AS from_x, cast(max(rn) + 1 AS double) AS to_x,
+       cast(2 * count(*) AS int) AS edges, 2 * count(*) + 1 AS vertices, cast(1 AS bigint) AS steps, false AS ring
+FROM g GROUP BY k, island""",
+        "road_rejects": f"""{_WITH}{_F3}, s AS (
+  SELECT source, "OBJECTID" AS n, "F_SYSTEM", "OBJECTID" % 11 <> 0 AS counted, "OBJECTID" % 13 <> 0 AS routed,
+         "OBJECTID" % 17 <> 0 AND "OBJECTID" % 19 <> 0 AS coded,
+         CASE WHEN "OBJECTID" % 19 = 0 THEN '5y' ELSE "URBAN_ID" END AS "URBAN_ID",
+         cast("AADT" AS int) > 0 AND n1 <> n2 AS positive
+  FROM f3)
+  SELECT source, n AS "OBJECTID" FROM s
+  WHERE {_MAJOR_NAMED} AND (NOT counted OR (positive AND (NOT routed OR NOT coded)))""",
+        "road_sources_nested": f"""{_WITH}{_F2}
+  SELECT {_NESTED} AS source, count(*) AS n, min("OBJECTID") AS first_id FROM f2 GROUP BY 1""",
+        "road_mixed_types": f"""{_WITH}{_KEPT}
+  SELECT {_NESTED} AS source, "OBJECTID", coalesce("Route_ID", 'None') || cast("AADT" AS double) AS key,
+         cast("AADT" AS double) AS aadt FROM kept""",
         "roads_2020": f"{lines} {_EXPORTED.format(value=value)}",
         "roads_2023": f"{lines_2023} {_EXPORTED.format(value=value)}",
     }

@@ -128,3 +128,53 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number(orders, ["o_orderpriority"], ["o_orderkey"], "n").select(
         F.col("o_orderpriority").alias("k"), F.array(F.array(*points)).alias("paths")
     )
+
+
+def nested_classes(spark: SparkSession, sf_dir: str) -> str:
+    """The segments of 2020 in two dataset folders, with dots in names, equal names, and mixed columns.
+
+    Traffic is an int, a double or a long by state; one state has no length, one a null one.
+    """
+    slot = (spark.sparkContext.applicationId, sf_dir, "nested")
+    if slot not in _written:
+        root = f"{stage_root(spark)}/workspace-nested-{uuid.uuid4().hex}"
+        rows = spark.read.parquet(feature_classes(spark, sf_dir, 2020)).drop("feature_class")
+        for state in range(5):
+            own = rows.filter(F.col("State_Code") == state)
+            own = own.withColumn("AADT", F.col("AADT").cast(("int", "double", "long")[state % 3]))
+            if state == 3:
+                own = own.drop("Shape_Length")
+            elif state == 4:
+                own = own.withColumn("Shape_Length", F.lit(None).cast("double"))
+            own.write.parquet(f"{root}/d{state % 2}/St.{state // 2}_2020")
+        _written[slot] = root
+    return _written[slot]
+
+
+def spoiled_segments(rows: DataFrame) -> DataFrame:
+    """Segments of 2023 of which some have texts that are no numbers, no route, or spaces to trim."""
+    n = F.col("OBJECTID")
+    return rows.withColumns({
+        "AADT": F.when(n % 11 == 0, F.concat("AADT", F.lit("x"))).when(n % 7 == 0, F.concat(F.lit(" "), "AADT"))
+        .otherwise(F.col("AADT")),
+        "RouteID": F.when(n % 13 != 0, F.col("RouteID")),
+        "StateID": F.when(n % 17 == 0, "CA").when(n % 5 == 0, F.concat("StateID", F.lit(" "))).otherwise(F.col("StateID")),
+        "URBAN_ID": F.when(n % 19 == 0, "5y").otherwise(F.col("URBAN_ID")),
+    })
+
+
+def order_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as features of two paths with a vertex halfway, every other one drawn backwards.
+
+    Orders whose key is a multiple of 97 have no length, which cuts the line there.
+    """
+    line = F.col("paths")[0]
+    a, b = line[0]["x"], line[1]["x"]
+
+    def path(*xs):
+        return F.array(*[F.struct(x.alias("x"), F.lit(0.0).alias("y")) for x in xs])
+
+    middle = (a + b) / 2
+    forward = F.array(path(a, middle), path(middle, b))
+    backward = F.array(path(b, middle, a), path(a, a))
+    return order_lines(spark, sf_dir).withColumn("paths", F.when(a % 2 == 0, forward).otherwise(backward))

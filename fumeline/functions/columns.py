@@ -21,10 +21,9 @@ def line_length(paths: str = "paths") -> Column:
 
 
 def with_length(df: DataFrame, paths: str = "paths", name: str = "Shape_Length") -> DataFrame:
-    """Add the length of each line where the table does not come with it."""
-    if name.lower() in (c.lower() for c in df.columns):
-        return df
-    return df.withColumn(name, line_length(paths))
+    """Each line's length: the table's own, or computed where the table or the row has none."""
+    own = [F.col(c) for c in df.columns if c.lower() == name.lower()]
+    return df.withColumn(name, F.coalesce(*own, line_length(paths)))
 
 
 def number_text(c: Column, dtype: str) -> Column:

@@ -7,7 +7,7 @@ by that feature, and chains are followed by look-ups over ids, so a group holdin
 third of all rows spreads like any other rows.
 
 Ids. Groups get a number, which is what the vertex-level shuffles carry. An edge's
-number counts along its feature, so neighbours on a path differ by one. An edge end is
+number counts on from its feature's, so neighbours on a path differ by one. An edge end is
 ``2 * edge`` at its head (where the path enters) and ``2 * edge + 1`` at its tail. Edges
 joined within a feature form a piece; a piece end is also the arc that leaves the piece
 there.
@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumeline.session import stage, stage_counting
+from fumeline.session import stage, stage_counting, unstage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -51,12 +51,13 @@ def with_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(numbers, same).drop(*[f"_of_{k}" for k in keys])
 
 
-def _stage_features(
-    features: DataFrame, groups: DataFrame, keys: list[str], paths: str
-) -> tuple[DataFrame, int]:
-    """Stage (_group, line, feature), and the number of edge numbers each feature has.
+def _stage_features(features: DataFrame, groups: DataFrame, keys: list[str], paths: str) -> DataFrame:
+    """Stage (_group, line) and number them: (_group, line, feature).
 
-    ``line`` is the feature's paths one after the other, a gap before each.
+    ``line`` is the feature's paths one after the other, a gap before each. ``feature``
+    is the number of the line's first element; those of its others follow. A partition
+    takes as many numbers as its rows times its own longest line, so a long line in one
+    partition costs no numbers in the others.
     """
     gap = F.array(F.lit(None).cast(_POINT))
     line = F.flatten(F.transform(F.col(paths), lambda p: F.concat(gap, p)))
@@ -64,30 +65,32 @@ def _stage_features(
         "_group", line.alias("line"), F.monotonically_increasing_id().alias("_row")
     )
     part, row = F.shiftright("_row", _ROW_BITS), F.col("_row").bitwiseAND(_ROW_MASK)
-    staged, most = stage_counting(
-        rows, "features", part=F.max(part), row=F.max(row), points=F.max(F.size("line"))
-    )
-    parts, per_part, width = ((most[n] or 0) + 1 for n in ("part", "row", "points"))
-    if parts * per_part * width >= 1 << 62:
-        raise OverflowError("edge numbers do not fit 64 bits; stage fewer features per job")
-    return staged.select("_group", "line", (part * per_part + row).alias("feature")), width
-
-
-def _edge_rows(staged: DataFrame, width: int) -> DataFrame:
+    staged = stage(rows, "features").withColumn("_part", part)
+    size = F.greatest(F.size("line"), F.lit(1)).cast("long")
+    widths = staged.groupBy("_part").agg(F.max(size).alias("_width"), (F.max(row) + 1).alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition of the input.
+    bases = stage(widths.select(F.col("_part"), "_width", F.coalesce(
+        F.sum(F.col("_rows") * F.col("_width")).over(earlier), F.lit(0)).alias("_base")), "bases")
+    return staged.join(bases, "_part").select(
+        "_group", "line", (F.col("_base") + row * F.col("_width")).alias("feature"))
+
+
+def _edge_rows(staged: DataFrame) -> DataFrame:
     """All vertex pairs of the features' lines with their edge numbers."""
     pairs = F.zip_with("line", F.slice("line", 2, F.greatest(F.size("line"), F.lit(1))),
                        lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     exploded = staged.select("_group", "feature", F.posexplode(pairs).alias("_at", "_e"))
     # A pair over a gap has no point at one side.
     return exploded.select(
-        "_group", (F.col("feature") * width + F.col("_at")).alias("edge"),
+        "_group", "feature", (F.col("feature") + F.col("_at")).alias("edge"),
         F.col("_e.a.x").alias("hx"), F.col("_e.a.y").alias("hy"),
         F.col("_e.b.x").alias("tx"), F.col("_e.b.y").alias("ty"),
     ).filter("hx is not null and tx is not null and (hx <> tx or hy <> ty)")
 
 
 def _distinct(rows: DataFrame) -> DataFrame:
-    """One row per undirected edge: its two ends in coordinate order, and the end id at the first."""
+    """One row per undirected edge: its two ends in coordinate order, the end id at the first, its feature."""
     ahead = F.expr("hx < tx or (hx = tx and hy < ty)")
     ends = {
         "ax": F.when(ahead, F.col("hx")).otherwise(F.col("tx")),
@@ -97,7 +100,7 @@ def _distinct(rows: DataFrame) -> DataFrame:
     }
     first_end = F.col("edge") * 2 + F.when(ahead, 0).otherwise(1)
     return rows.groupBy("_group", *[c.alias(n) for n, c in ends.items()]).agg(
-        F.min(first_end).alias("end")
+        F.min(first_end).alias("end"), F.min_by("feature", first_end).alias("feature")
     )
 
 
@@ -119,36 +122,38 @@ def _keyed(lines: DataFrame, groups: DataFrame) -> DataFrame:
 def distinct_edges(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """The union of each group's lines as edges, coincident ones kept once."""
     groups = number_groups(features.select(*keys).distinct())
-    staged, width = _stage_features(features, groups, keys, paths)
-    return _keyed(_distinct(_edge_rows(staged, width)).drop("end"), groups)
+    staged = _stage_features(features, groups, keys, paths)
+    return _keyed(_distinct(_edge_rows(staged)).drop("end", "feature"), groups)
 
 
 def _joints(edges: DataFrame) -> DataFrame:
-    """Pairs of edge ends meeting at a vertex where nothing else meets."""
+    """Pairs of edge ends (and their features) meeting at a vertex where nothing else meets."""
     ends = _rows(
         "x y at", (F.col("ax"), F.col("ay"), F.col("end")),
         (F.col("bx"), F.col("by"), F.col("end").bitwiseXOR(1)),
     )
-    met = edges.select("_group", ends).groupBy("_group", "x", "y").agg(
-        F.count(F.lit(1)).alias("n"), F.min("at").alias("u"), F.max("at").alias("v")
+    met = edges.select("_group", "feature", ends).groupBy("_group", "x", "y").agg(
+        F.count(F.lit(1)).alias("n"), F.min("at").alias("u"), F.max("at").alias("v"),
+        F.min_by("feature", "at").alias("of_u"), F.max_by("feature", "at").alias("of_v"),
     )
-    return met.filter("n = 2").select("u", "v")
+    return met.filter("n = 2").select("u", "v", "of_u", "of_v")
 
 
 def _marks(joints: DataFrame) -> DataFrame:
     """What the joints say about each edge: it follows on, or an end leads to another end."""
     u, v = F.col("u"), F.col("v")
     inner = F.expr("u % 2 = 1 and v = u + 1")
-    ends = joints.select(inner.alias("inner"), _rows("at to", (u, v), (v, u)))
+    ends = joints.select(inner.alias("inner"), _rows(
+        "at to feature", (u, v, F.col("of_u")), (v, u, F.col("of_v"))))
     head = F.col("at") % 2 == 0
     return ends.filter(~F.col("inner") | head).select(
-        F.expr("at div 2").alias("edge"), F.col("inner").alias("follows"),
+        "feature", F.expr("at div 2").alias("edge"), F.col("inner").alias("follows"),
         F.when(~F.col("inner") & head, F.col("to")).alias("head_to"),
         F.when(~F.col("inner") & ~head, F.col("to")).alias("tail_to"),
     )
 
 
-def _pieces(edges: DataFrame, joints: DataFrame, staged: DataFrame, width: int) -> DataFrame:
+def _pieces(edges: DataFrame, joints: DataFrame, staged: DataFrame) -> DataFrame:
     """Runs of edges joined within one feature: (piece, last, head_to, tail_to, points, _group).
 
     A piece is named by its first edge; ``head_to`` and ``tail_to`` are the ends its
@@ -157,9 +162,8 @@ def _pieces(edges: DataFrame, joints: DataFrame, staged: DataFrame, width: int)
     the feature's line.
     """
     told = (
-        edges.select(F.expr("end div 2").alias("edge"))
-        .unionByName(_marks(joints), allowMissingColumns=True)
-        .withColumn("feature", F.expr(f"edge div {width}")).repartition("feature")
+        edges.select("feature", F.expr("end div 2").alias("edge"))
+        .unionByName(_marks(joints), allowMissingColumns=True).repartition("feature")
         .groupBy("feature", "edge").agg(
             F.coalesce(F.bool_or("follows"), F.lit(False)).alias("follows"),
             F.max("head_to").alias("head_to"), F.max("tail_to").alias("tail_to"),
@@ -176,7 +180,7 @@ def _pieces(edges: DataFrame, joints: DataFrame, staged: DataFrame, width: int)
             F.max("tail_to").alias("tail_to"),
         )
     )
-    start = (F.col("piece") - F.col("feature") * width + 1).cast("int")
+    start = (F.col("piece") - F.col("feature") + 1).cast("int")
     count = (F.col("last") - F.col("piece") + 2).cast("int")
     return runs.join(staged, "feature").select(
         "piece", "last", "head_to", "tail_to", "_group",
@@ -250,6 +254,7 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
     )
     before, changed = left + 1, 1
     while left and (left < before or changed):
+        # Pointers may still lead to arcs that ended in any earlier round.
         ends = reduce(DataFrame.unionByName, found).withColumns(
             {"low": F.lit(None).cast("long"), "done": F.lit(True)}
         )
@@ -315,15 +320,16 @@ def _settled(path: Column, ring: Column) -> Column:
     return F.when(backward, F.reverse(start)).otherwise(start)
 
 
-def _placed_pieces(staged: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+def _placed_pieces(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The pieces that are whole lines, and those that make up longer ones.
 
     Both come as (_group, chain, ring, dist, points): ``points`` run along the chain and
     ``dist`` edges of it follow after them.
     """
-    edges = stage(_distinct(_edge_rows(staged, width)), "edges")
+    edges = stage(_distinct(_edge_rows(staged)), "edges")
     joints = stage(_joints(edges), "joints")
-    pieces = stage(_pieces(edges, joints, staged, width), "pieces")
+    pieces = stage(_pieces(edges, joints, staged), "pieces")
+    unstage(edges, joints, staged)
     alone = pieces.filter(_ALONE).select(
         "_group", F.col("piece").alias("chain"), F.col("head_to").isNotNull().alias("ring"),
         F.lit(0).cast("long").alias("dist"), "points",
@@ -337,9 +343,9 @@ def _placed_pieces(staged: DataFrame, width: int) -> tuple[DataFrame, DataFrame]
     return alone, linked
 
 
-def _lines(staged: DataFrame, width: int) -> DataFrame:
+def _lines(staged: DataFrame) -> DataFrame:
     """The chains as (_group, ring, path)."""
-    alone, linked = _placed_pieces(staged, width)
+    alone, linked = _placed_pieces(staged)
     # Each piece after the first repeats the vertex it joins at.
     parts = F.sort_array(F.collect_list(F.struct((-F.col("dist")).alias("place"), "points")))
     joined = F.flatten(F.transform("parts", lambda p, i: F.when(
@@ -361,8 +367,7 @@ def single_part(
     ``groups`` has one row per key, usually with attributes of the group.
     """
     groups = number_groups(groups)
-    staged, width = _stage_features(features, groups, keys, paths)
-    return _keyed(_lines(staged, width), groups)
+    return _keyed(_lines(_stage_features(features, groups, keys, paths)), groups)
 
 
 def chains(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
@@ -378,8 +383,7 @@ def chain_vertices(features: DataFrame, keys: list[str], paths: str = "paths") -
     first vertex at both ends.
     """
     groups = number_groups(features.select(*keys).distinct())
-    staged, width = _stage_features(features, groups, keys, paths)
-    alone, linked = _placed_pieces(staged, width)
+    alone, linked = _placed_pieces(_stage_features(features, groups, keys, paths))
     rows = alone.unionByName(linked).select(
         "_group", "chain", "ring", "dist", F.size("points").alias("_n"),
         F.posexplode("points").alias("_at", "_p"),

@@ -15,14 +15,18 @@ _SLICE_BITS = 33  # monotonically_increasing_id keeps the row within its partiti
 def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID") -> DataFrame:
     """Number rows 1..n within each ``by`` group, in ``order``.
 
-    Rows are range-sorted over all partitions, so a group holding a third of them
-    is spread as widely as its share. Each slice then needs only the count of its
-    group's rows in earlier slices. ``by`` plus ``order`` must be unique for the
-    numbers to be the same on every run.
+    Rows are staged once; only their ``by`` and ``order`` columns are range-sorted over
+    all partitions, so a group holding a third of them is spread as widely as its share.
+    Each slice then needs only the count of its group's rows in earlier slices. ``by``
+    plus ``order`` must be unique for the numbers to be the same on every run.
     """
     place = F.monotonically_increasing_id()
+    sorts = [*dict.fromkeys([*by, *order])]
+    wide = len(sorts) < len(df.columns)
+    rows = stage(df.withColumn("_line", place) if wide else df, "rows")
+    narrow = rows.select(*sorts, "_line") if wide else rows
     placed = stage(
-        df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_at", place),
+        narrow.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_at", place),
         "sorted",
     ).withColumn("_slice", F.shiftright("_at", _SLICE_BITS))
     held = placed.groupBy(*by, "_slice").agg(
@@ -40,6 +44,7 @@ def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID") ->
         lambda acc, c: acc & F.col(c).eqNullSafe(F.col(f"_by_{c}")), by,
         F.col("_slice") == F.col("_of"),
     )
-    return placed.join(shifts, same).select(
-        *df.columns, (F.col("_at") + F.col("_shift")).alias(name)
-    )
+    numbered = placed.join(shifts, same).withColumn(name, F.col("_at") + F.col("_shift"))
+    if wide:
+        numbered = rows.join(numbered.select("_line", name), "_line")
+    return numbered.select(*df.columns, name)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumeline.session import stage, stage_counting
+from fumeline.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -74,42 +72,28 @@ def quantiles(df: DataFrame, value: str, probs: tuple[float, ...] = QUARTILES) -
     return hit.groupBy("prob").agg((low + (high - low) * share).alias("value"))
 
 
-def describe(df: DataFrame, value: str, in_memory: int = 100_000) -> DataFrame:
-    """Summary statistics of a column as (stat, value) rows (A3).
+def describe(df: DataFrame, value: str) -> DataFrame:
+    """Summary statistics of a column as eight (stat, value) rows (A3).
 
-    Quartiles are exact. ``percentile`` keeps every distinct value of a column in
-    one task, so it serves only up to ``in_memory`` rows; longer columns go through
-    :func:`quantiles`.
+    Quartiles are exact and come from :func:`quantiles` at every size. A statistic that
+    the column has no values for is a row with a null.
     """
-    column, seen = stage_counting(
-        df.select(F.col(value).cast("double").alias("v")), "column", rows=F.count(F.lit(1))
-    )
+    column = stage(df.select(F.col(value).cast("double").alias("v")), "column")
     moments = {
         "count": F.count("v").cast("double"), "mean": F.avg("v"), "std": F.stddev_samp("v"),
         "min": F.min("v"), "max": F.max("v"),
     }
-    names = {p: f"{p:.0%}" for p in QUARTILES}
-    order = ["count", "mean", "std", "min", *names.values(), "max"]
-    if seen["rows"] <= in_memory:
-        cuts = F.percentile("v", F.array(*[F.lit(p) for p in QUARTILES]))
-        summary = column.agg(*[c.alias(n) for n, c in moments.items()], cuts.alias("cuts"))
-        cells = {n: F.col(n) for n in moments}
-        cells |= {names[p]: F.col("cuts")[i] for i, p in enumerate(QUARTILES)}
-        return _long(summary, {n: cells[n] for n in order})
+    cells = {"count": None, "mean": None, "std": None, "min": None,
+             **{f"{p:.0%}": p for p in QUARTILES}, "max": None}
     summary = column.agg(*[c.alias(n) for n, c in moments.items()])
-    label = reduce(
-        lambda acc, p: acc.when(F.col("prob") == p, names[p]), QUARTILES, F.when(F.lit(False), "")
-    )
-    rows = _long(summary, {n: F.col(n) for n in moments}).unionByName(
-        quantiles(column, "v").select(label.alias("stat"), "value")
-    )
-    return rows.orderBy(F.array_position(F.array(*[F.lit(n) for n in order]), F.col("stat")))
-
-
-def _long(row: DataFrame, cells: dict[str, Column]) -> DataFrame:
-    """One row's columns as (stat, value) rows."""
-    pairs = [F.struct(F.lit(n).alias("stat"), c.alias("value")) for n, c in cells.items()]
-    return row.select(F.inline(F.array(*pairs)))
+    nothing = F.lit(None).cast("double")
+    rows = summary.select(F.inline(F.array(*[
+        F.struct(F.lit(place).alias("place"), F.lit(n).alias("stat"), F.lit(p).cast("double").alias("prob"),
+                 (nothing if p else F.col(n)).alias("moment"))
+        for place, (n, p) in enumerate(cells.items())
+    ])))
+    return rows.join(quantiles(column, "v"), "prob", "left").orderBy("place").select(
+        "stat", F.coalesce("moment", "value").alias("value"))
 
 
 def dissolve_attributes(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fumeline.functions.columns import parse_codes, route_key, with_length
 from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic
-from fumeline.operators.lines import single_part
+from fumeline.operators.lines import chain_vertices, single_part, snap
 from fumeline.operators.numbering import number
 from fumeline.operators.stats import dissolve_attributes
 from fumeline.sinks.features import export, labelled
@@ -41,13 +41,13 @@ def kept_2023(df: DataFrame, strict_key: bool = False) -> tuple[DataFrame, DataF
     no_route = rows.filter("RouteID is null").drop("aadt_num")
     rows, no_code = parse_codes(
         rows.filter("RouteID is not null"),
-        {"class_num": ("F_SYSTEM", "short"), "urban_num": ("URBAN_ID", "int")},
+        # A state number from here on: numeric FIRST values keep the group-by a hash aggregate.
+        {"class_num": ("F_SYSTEM", "short"), "urban_num": ("URBAN_ID", "int"), "state_num": ("StateID", "double")},
     )
     rows = route_key(rows, "RouteID", "AADT", strict=strict_key)
     good = rows.select(
         "source", "OBJECTID", "key",
-        # A number from here on: numeric FIRST values keep the group-by a hash aggregate.
-        F.col("StateID").try_cast("double").alias("state_code"),
+        F.col("state_num").alias("state_code"),
         F.col("urban_num").alias("urban_code"), F.col("class_num").alias("f_system"),
         F.col("aadt_num").alias("aadt"), "paths",
     )
@@ -64,20 +64,33 @@ def dissolve(kept: DataFrame) -> DataFrame:
 
 def roads(
     spark: SparkSession, root: str, year: int, value_field: str, recursive: bool = False,
-    strict_key: bool = False,
+    strict_key: bool = False, wide_ids: bool = False, tolerance: float | None = None,
+    fmt: str = "parquet", schema: str | None = None,
 ) -> DataFrame:
     """The whole job: every feature class ``*_<year>`` under ``root`` to exported lines.
 
     ``value_field`` names the column whose first value labels a source's output.
+    ``wide_ids`` numbers lines in 64 bits, ``tolerance`` moves vertices onto a grid first,
+    and ``fmt`` (with ``schema`` for 2020) reads features from another format.
     """
     if year == 2020:
-        rows = read_matching(spark, root, f"*_{year}", recursive)
+        rows = read_matching(spark, root, f"*_{year}", recursive, fmt, schema)
         kept = kept_2020(rows, strict_key)
     else:
-        rows = read_layouts(spark, root, f"*_{year}", recursive)
+        rows = read_layouts(spark, root, f"*_{year}", recursive, fmt)
         kept, _ = kept_2023(rows, strict_key)
-    lines = dissolve(kept)
-    return labelled(export_labelled(lines, source_value(rows, value_field)))
+    if tolerance:
+        kept = snap(kept, tolerance)
+    return labelled(export_labelled(dissolve(kept), source_value(rows, value_field), wide_ids))
+
+
+def road_vertices(
+    spark: SparkSession, root: str, recursive: bool = False, strict_key: bool = False,
+    tolerance: float | None = None,
+) -> DataFrame:
+    """The dissolved lines of 2020 as one row per vertex, for lines too long for a row."""
+    kept = kept_2020(read_matching(spark, root, "*_2020", recursive), strict_key)
+    return chain_vertices(snap(kept, tolerance) if tolerance else kept, KEYS)
 
 
 def rejected(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
@@ -85,5 +98,5 @@ def rejected(spark: SparkSession, root: str, recursive: bool = False) -> DataFra
     return kept_2023(read_layouts(spark, root, "*_2023", recursive))[1]
 
 
-def export_labelled(lines: DataFrame, labels: DataFrame) -> DataFrame:
-    return export(with_source_value(lines, labels))
+def export_labelled(lines: DataFrame, labels: DataFrame, wide_ids: bool = False) -> DataFrame:
+    return export(with_source_value(lines, labels), wide_ids)

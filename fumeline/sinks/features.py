@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fumeline.session import stage
+
 # The exported fields with their JSON field types, the longest text
 # kept, and the names given to the outputs of a year and value.
 FIELDS = {
@@ -48,11 +50,31 @@ def _name(form: str, year: int) -> Column:
     return F.coalesce(F.concat(F.lit(before), F.col("value"), F.lit(after)), F.lit(""))
 
 
+def _writable(df: DataFrame, out: str, form: str, year: int) -> DataFrame:
+    """The labelled lines with their output's name; refuses shared labels and outputs that are there (K4).
+
+    One short row per value comes to the driver.
+    """
+    rows = labelled(df)
+    values = rows.groupBy("value").agg(F.count_if(F.col("ID") == 1).alias("sources")).collect()
+    for r in values:
+        if r["sources"] > 1:
+            raise ValueError(f"two sources share the value {r['value']!r}")
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for r in values:
+        folder = f"{out.rstrip('/')}/name={escape(form.format(year=year, value=r['value']))}"
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(conf).exists(path):
+            raise FileExistsError(folder)
+    return rows.withColumn("name", _name(form, year))
+
+
 def write_tables(df: DataFrame, out: str, year: int) -> None:
-    """One feature table per value, refusing to overwrite (K2, K4, K5)."""
-    labelled(df).withColumn("name", _name(TABLE_NAME, year)).drop("value").write.mode(
-        "errorifexists"
-    ).partitionBy("name").parquet(out)
+    """One feature table per value, beside those of other values, overwriting none (K2, K4, K5)."""
+    rows = _writable(df, out, TABLE_NAME, year).drop("value")
+    rows.write.mode("append").partitionBy("name").parquet(out)
 
 
 def feature_json(paths: str = "paths") -> Column:
@@ -104,19 +126,15 @@ def feature_documents(df: DataFrame, wkid: int | None = None) -> DataFrame:
 
 
 def write_json(df: DataFrame, out: str, year: int, wkid: int | None = None) -> None:
-    """One JSON document per value in a folder of its name, refusing to overwrite (K3-K5).
+    """One JSON document per value in a folder of its name, overwriting none (K3-K5).
 
     Rows are range-sorted by value and place, so a value too big for one task is
     written by several. Their files, put together in name order, are the document;
     a value that fits one task is a single file.
     """
-    duplicates = (
-        labelled(df).filter("ID = 1").groupBy("value").count().filter("count > 1").take(1)
-    )
-    if duplicates:
-        raise ValueError(f"two sources share the value {duplicates[0]['value']!r}")
-    lines = feature_documents(df, wkid).withColumn("name", _name(JSON_NAME, year))
+    _writable(df, out, JSON_NAME, year)
+    lines = stage(feature_documents(df, wkid), "documents").withColumn("name", _name(JSON_NAME, year))
     (
         lines.repartitionByRange("name", "place").sortWithinPartitions("name", "place")
-        .select("line", "name").write.mode("errorifexists").partitionBy("name").text(out)
+        .select("line", "name").write.mode("append").partitionBy("name").text(out)
     )

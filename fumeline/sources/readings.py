@@ -30,14 +30,17 @@ def read_readings(
 
     Every column stays text (so area codes keep their leading zeros) except
     ``value_col``, which becomes a double called ``name``. ``columns`` names the
-    file's columns in order and saves the look at the header.
+    file's columns in order and saves the look at the header. A file whose header is
+    another, and a row with too many or too few cells, fails the read.
 
     A gzip file cannot be split, so one task unpacks it. The air job needs no
     help: its partial aggregates run in that task and shrink the rows before the
     first shuffle. For other uses ``spread`` deals the rows out to that many
     partitions.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    # Rows are checked whole, so their width is seen whatever columns are used.
+    reader = spark.read.options(
+        header=True, escape='"', enforceSchema=False, mode="FAILFAST", columnPruning=False)
     if columns:
         reader = reader.schema(
             T.StructType([T.StructField(c, T.StringType()) for c in columns])

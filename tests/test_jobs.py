@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from fumeline.plans.roads import dissolve, kept_2020, kept_2023, rejected, roads
 from fumeline.sinks.features import export, feature_json, labelled, write_json, write_tables
@@ -138,6 +139,62 @@ def test_strict_key_separates_routes(spark):
     assert dissolve(kept_2020(df, strict_key=True)).count() == 2
 
 
+def test_a_class_is_told_by_its_folder(spark, tmp_path):
+    """Any file names, dots, spaces and escapes in names, equal names in two dataset folders."""
+    root = tmp_path / "roads"
+    for folder in ("St.A_2020", "St.B_2020", "New York+1%_2020", "d1/S1_2020", "d2/S1_2020"):
+        at = root / folder
+        spark.createDataFrame(STATE_1[:2], ROW_2020).repartition(2).write.parquet(str(at))
+        for k, file in enumerate(sorted(at.glob("part-*"))):
+            file.rename(at / f"{k}.snappy.parquet")
+        for left in at.glob(".*"):
+            left.unlink()
+    flat = ["New York+1%_2020", "St.A_2020", "St.B_2020"]
+    assert names(list_sources(spark, str(root), "*_2020")) == flat
+    assert names(list_sources(spark, str(root), "*_2020", recursive=True)) == [
+        flat[0], *flat[1:], "d1/S1_2020", "d2/S1_2020"]
+    df = read_matching(spark, str(root), "*_2020", recursive=True)
+    assert {r["source"]: r["count"] for r in df.groupBy("source").count().collect()} == dict.fromkeys(
+        [*flat, "d1/S1_2020", "d2/S1_2020"], 2)
+
+
+def test_classes_of_other_types_and_without_length(spark, tmp_path):
+    """Whole, broken and text traffic values; one class has no length, one has a missing one."""
+    root = str(tmp_path / "roads")
+    kinds = {"A": "int", "B": "double", "C": "long"}
+    for name, kind in kinds.items():
+        df = spark.createDataFrame(STATE_1, ROW_2020).withColumn("AADT", F.col("AADT").cast(kind))
+        df = df.withColumn("State_Code", F.lit(ord(name)))
+        if name == "A":
+            df = df.drop("Shape_Length")
+        if name == "B":
+            df = df.withColumn("Shape_Length", F.lit(None).cast("double"))
+        df.write.parquet(f"{root}/{name}_2020")
+    df = read_matching(spark, root, "*_2020")
+    assert dict(df.dtypes)["AADT"] == "double"
+    got = roads(spark, root, 2020, "State_Code")
+    assert {r["value"]: r["count"] for r in got.groupBy("value").count().collect()} == {"65": 2, "66": 2, "67": 2}
+    wide = roads(spark, root, 2020, "State_Code", wide_ids=True, tolerance=0.5)
+    assert dict(wide.dtypes)["ID"] == "bigint" and wide.count() == 6
+
+
+def test_a_bad_state_text_is_rejected(spark, tmp_path):
+    root = str(tmp_path / "roads")
+    rows = [row_2023(1, " 6 ", "1", "5", "A", "10", (0, 0), (1, 0)),
+            row_2023(2, "CA", "1", "5", "A", "10", (1, 0), (2, 0))]
+    spark.createDataFrame(rows, NAMED).write.parquet(f"{root}/S1_2023")
+    good, _ = kept_2023(read_layouts(spark, root, "*_2023"))
+    assert [(r["OBJECTID"], r["state_code"]) for r in good.collect()] == [(1, 6.0)]
+    assert [r["OBJECTID"] for r in rejected(spark, root).collect()] == [2]
+
+
+def test_labels_of_text_do_not_sort_the_input(spark, workspace):
+    df = read_layouts(spark, workspace, "*_2023")
+    plan = source_value(df, "StateID")._jdf.queryExecution().executedPlan().toString()
+    firsts = df.groupBy("source").agg(F.min("OBJECTID"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in firsts and plan.count("SortAggregate") <= 2  # only over the rows looked up
+
+
 def exported(spark, rows):
     kinds = ("first_state_code double, first_urban_code int, first_f_system string, mean_aadt double, "
              "ID long, path array<struct<x:double,y:double>>, value string")
@@ -200,9 +257,12 @@ def test_json_documents(spark, tmp_path):
 def test_json_refuses_to_overwrite(spark, tmp_path):
     out = str(tmp_path / "json")
     write_json(exported(spark, [one("06", 1)]), out, 2020)
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
-        write_json(exported(spark, [one("07", 1)]), out, 2020)
-    assert sorted(documents(out)) == ["HPMS2020_06.json"]
+    before = documents(out)
+    write_json(exported(spark, [one("07", 1)]), out, 2020)  # another value beside it
+    with pytest.raises(FileExistsError, match="HPMS2020_06.json"):
+        write_json(exported(spark, [one("06", 1), one("08", 1)]), out, 2020)
+    assert sorted(documents(out)) == ["HPMS2020_06.json", "HPMS2020_07.json"]
+    assert documents(out)["HPMS2020_06.json"] == before["HPMS2020_06.json"]
 
 
 def test_json_refuses_a_shared_value(spark, tmp_path):
@@ -217,8 +277,13 @@ def test_tables_per_value(spark, tmp_path):
     back = read_matching(spark, out, "HPMS2020_*_forJSON")
     assert {r["source"]: r["count"] for r in back.groupBy("source").count().collect()} == {
         "HPMS2020_06_forJSON": 2, "HPMS2020_07_forJSON": 1}
-    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(FileExistsError, match="HPMS2020_06_forJSON"):
         write_tables(df, out, 2020)
+    write_tables(exported(spark, [one("08: x", 1)]), out, 2020)
+    with pytest.raises(FileExistsError):
+        write_tables(exported(spark, [one("08: x", 1)]), out, 2020)
+    with pytest.raises(ValueError, match="share the value"):
+        write_tables(exported(spark, [one("09", 1), one("09", 1)]), out, 2020)
 
 
 def test_unlabelled_lines_are_not_exported(spark):

@@ -188,6 +188,17 @@ def test_rounds_grow_with_the_logarithm(features, monkeypatch):
     assert rounds.count("round") == 0
 
 
+def test_one_long_line_among_many_short_ones(features):
+    long = [(k, k * k) for k in range(4000)]
+    rows = [("a", [[(k, -1), (k, -2)]]) for k in range(300)] + [("a", [long[:2500]]), ("a", [long[2499:]])]
+    df = features(rows).repartition(5)
+    assert chain_sets(chains(df, ["g"])) == expected(rows)
+    numbers = lines._stage_features(df, lines.number_groups(df.select("g").distinct()), ["g"], "paths")
+    got = sorted((r["feature"], len(r["line"])) for r in numbers.collect())
+    assert all(a + n <= b for (a, n), (b, _) in zip(got, got[1:]))  # no number is used twice
+    assert got[-1][0] < 302 * 2501  # a long line widens its own partition's numbers only
+
+
 def test_input_order_and_partitions_do_not_matter(features):
     rows = [("a", [[(i % 7, i % 5), ((i * 3) % 7, (i * 2) % 5)]]) for i in range(40)]
     one = chain_sets(chains(features(rows).coalesce(1), ["g"]))

@@ -7,7 +7,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fumeline.operators.stats import describe, distinct_count, group_mean, quantiles
-from fumeline.plans.air import air_from_file
+from fumeline.plans.air import air, air_from_file
+from fumeline.session import stage
 from fumeline.sources.readings import MISSING, read_readings
 
 HEADER = "FIPS,Date,pm25_daily_average(ug/m3),note"
@@ -46,6 +47,24 @@ def test_bad_number_fails(spark, gz):
         read_readings(spark, gz("01,d,abc,x")).collect()
 
 
+def test_another_header_fails(spark, gz):
+    path = gz("2020-01-01,01,7.5,x")
+    names = ["Date", "FIPS", "pm25_daily_average(ug/m3)", "note"]
+    with pytest.raises(Exception, match="header"):
+        read_readings(spark, path, columns=names).collect()
+    assert read_readings(spark, path, columns=HEADER.split(",")).count() == 1
+
+
+@pytest.mark.parametrize("line", ["01,d,7.5,x,extra", "01,d,7.5"])
+def test_rows_of_another_width_fail(spark, gz, line):
+    path = gz("01,d,7.5,x", line)
+    for columns in (None, HEADER.split(",")):
+        with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+            read_readings(spark, path, columns=columns).collect()
+        with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+            read_readings(spark, path, columns=columns).select("Date").collect()
+
+
 def test_missing_file_is_reported(spark):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_readings(spark, "/nowhere/daily.txt.gz")
@@ -78,11 +97,10 @@ def test_group_mean_in_key_order(spark):
     assert keys == sorted(keys) and len(keys) == 100
 
 
-@pytest.mark.parametrize("in_memory", [0, 100])
-def test_describe(spark, in_memory):
+def test_describe(spark):
     def stats(*values):
         df = spark.createDataFrame([(v,) for v in values], "v double")
-        rows = describe(df, "v", in_memory).collect()
+        rows = describe(df, "v").collect()
         assert [r["stat"] for r in rows] == ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
         return {r["stat"]: r["value"] for r in rows}
     got = stats(1.0, 2.0, 3.0, 10.0, None)
@@ -92,6 +110,8 @@ def test_describe(spark, in_memory):
     }
     lone = stats(7.0)
     assert lone["std"] is None and lone["25%"] == lone["75%"] == 7.0
+    for empty in (stats(), stats(None, None)):
+        assert empty.pop("count") == 0 and set(empty.values()) == {None}
 
 
 def test_quantiles_with_a_hot_value(spark):
@@ -110,3 +130,18 @@ def test_whole_air_job(spark, gz):
     got = {r["stat"]: r["value"] for r in air_from_file(spark, path).collect()}
     assert got["days"] == 3 and got["count"] == 2
     assert (got["min"], got["50%"], got["max"]) == (2.0, 3.5, 5.0)
+
+
+def test_the_air_job_unpacks_its_file_once(spark, gz, monkeypatch):
+    path = gz("01,2020-01-01,1.0,x", "02,2020-01-01,5.0,x")
+    rows = read_readings(spark, path)
+    scans = []
+
+    def staged(df, label):
+        scans.append((label, df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")))
+        return stage(df, label)
+
+    monkeypatch.setattr("fumeline.plans.air.stage", staged)
+    result = air(rows)
+    assert scans == [("readings", 1)]
+    assert "FileScan csv" not in result._jdf.queryExecution().executedPlan().toString()

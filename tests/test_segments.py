@@ -144,3 +144,18 @@ def test_number_without_groups_and_with_null_groups(spark):
     assert sorted(r["ID"] for r in number(df, [], ["s", "v"]).collect()) == [1, 2, 3]
     assert sorted((r["s"] or "", r["ID"]) for r in number(df, ["s"], ["v"]).collect()) == [
         ("", 1), ("", 2), ("a", 1)]
+
+
+def test_number_reads_its_input_once_and_sorts_narrow_rows(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    wide = spark.range(5000).selectExpr("id", "id % 3 as g", "repeat('x', 100) as body").mapInArrow(
+        counted, "id long, g long, body string")
+    got = number(wide, ["g"], ["id"], "place")
+    assert got.count() == 5000 and seen.value == 5000
+    assert got.columns == ["id", "g", "body", "place"]
