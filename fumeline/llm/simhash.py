@@ -184,7 +184,9 @@ def linked(distinct: DataFrame, fp: str = "fp") -> DataFrame:
         mask = sum(0xFF << (8 * k) for k in chosen)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     shared = F.array(*[F.col(fp).bitwiseAND(F.lit(m)) for m in masks])
-    keyed = distinct.select(fp, F.posexplode(shared).alias("choice", "bits"))
+    # A few bytes become 28 rows here, so the fingerprints are spread by number, not by size.
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), fp)
+    keyed = spread.select(fp, F.posexplode(shared).alias("choice", "bits"))
     groups = keyed.groupBy("choice", "bits").agg(F.collect_list(fp).alias("members"))
     # Distinct fingerprints that share 48 bits: 65,536 at most.
     return groups.filter(F.size("members") > 1).select("members").mapInArrow(_links, "a long, b long")
