@@ -129,7 +129,9 @@ def code_pairs(codes: DataFrame, tables: int, radius: int = RADIUS, longest: int
         own = F.shiftrightunsigned("code", KEY_BITS * t).bitwiseAND(F.lit(width - 1))
         keys += [F.struct(F.lit(t).alias("table"), own.bitwiseXOR(F.lit(flip)).cast("int").alias("key"))
                  for flip in [0, *(1 << b for b in range(KEY_BITS))]]
-    keyed = codes.select("code", F.inline(F.array(*keys)))
+    # A code becomes a row per key here, so the codes are spread by number, not by size.
+    spread = codes.repartition(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "code")
+    keyed = spread.select("code", F.inline(F.array(*keys)))
     long = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > longest)
     cut = F.coalesce(F.ceil(F.col("held") / F.lit(longest)).cast("int"), F.lit(1))
     split = keyed.join(long, ["table", "key"], "left").withColumn("cut", cut).withColumn(
@@ -190,8 +192,8 @@ def _links(nodes: DataFrame, size: int, least: float, sample_rows: int) -> DataF
     pairs = code_pairs(distinct.select("code"), -(-min(64, size) // KEY_BITS))
     several = distinct.filter(F.col("held") > 1).select(F.col("code").alias("a"), F.col("code").alias("b"))
     parts = F.ceil(F.col("held") / F.lit(BLOCK)).cast("long")
-    blocks = stage(coded.join(distinct, "code").withColumn("part", F.pmod(F.xxhash64("node"), parts)).groupBy(
-        "code", "part").agg(F.collect_list(F.struct("node", "n", "embedding")).alias("members")), "blocks")
+    blocks = stage(coded.join(distinct, "code").withColumn("part", F.pmod(F.xxhash64("node"), parts)).repartition(
+            "code", "part").groupBy("code", "part").agg(F.collect_list(F.struct("node", "n", "embedding")).alias("members")), "blocks")
     left = blocks.select(F.col("code").alias("a"), F.col("part").alias("p"), F.col("members").alias("left"))
     right = blocks.select(F.col("code").alias("b"), F.col("part").alias("q"), F.col("members").alias("right"))
     met = pairs.unionByName(several).join(left, "a").join(right, "b").filter(
