@@ -1,14 +1,16 @@
 """Language-model scores by a subword lattice (operator 7).
 
-A word is a lattice: its arcs are the pieces of an existing subword vocabulary, weighted
-by the vocabulary's scores, and one arc over the whole word that is learned from the
-training texts. The forward recursion, in log space, sums over all segmentations. As no
-piece reaches over a word's start, a text's marginal probability is the product of its
-words' and of its end's.
-
-The whole-word arc has the weight c / (N + a), pieces together a / (N + a), where c
-counts the word in the training texts, N all their tokens, and a, the number of words
-seen once, is the usual estimate of how often a new word comes.
+A word is a lattice: its arcs are the pieces of an existing subword vocabulary, and one
+arc over the whole word. The forward recursion, in log space, sums over all
+segmentations. As no piece reaches over a word's start, a text's marginal probability is
+the product of its words' and of its end's.
+
+The vocabulary is never changed. Its scores weigh the segmentations of all distinct
+words of the training texts; how often a piece is then expected (forward and backward
+recursion) is added to the scores, as to a prior, and gives the weights that texts are
+scored with. The whole-word arc has the weight c / (N + a), pieces together a / (N + a),
+where c counts the word in the training texts, N all their tokens, and a, the number of
+words seen once, is the usual estimate of how often a new word comes.
 
 Texts are coded once: each chunk of text becomes arrays of word numbers and a table of
 its distinct words. Counts, lattices and joins then work on distinct words.
@@ -21,6 +23,7 @@ null id counts as training. Columns other than ``doc_id`` and ``text`` are not r
 
 from __future__ import annotations
 
+import copy
 import math
 import re
 import uuid
@@ -31,11 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fumeline.llm.common import Rolling, _powers, as_text, batch_of, byte_values, mix, slices, text_bytes
-from fumeline.session import free, stage
+from fumeline.session import free, stage, unstage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16 << 20
 END_SHARE = 1e-3  # of what words not seen share: the end's part
+PRIOR = 10_000  # pieces that the vocabulary's own scores count as
+ROUNDS = 2  # of expectation and reweighing
 _LONG = 48  # bytes; longer words go one by one
 
 
@@ -50,13 +55,23 @@ class Pieces:
         values = np.array([weights[s] for s in strings])
         self.hashes, self.logs = hashes[order], np.log(values / values.sum())[order]
         self.longest = int(np.diff(at).max())
+        # Most stretches are no piece; a table of 2^20 marks tells them at once.
+        self.marks = np.zeros(1 << 20, bool)
+        self.marks[hashes & np.uint64((1 << 20) - 1)] = True
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are pieces, and their weights."""
-        at = np.searchsorted(self.hashes, hashes)
+        """Which hashes are pieces, and which."""
+        maybe = np.flatnonzero(self.marks[hashes & np.uint64((1 << 20) - 1)])
+        at = np.searchsorted(self.hashes, hashes[maybe])
         at[at == len(self.hashes)] = 0
-        known = np.flatnonzero(self.hashes[at] == hashes)
-        return known, self.logs[at[known]]
+        known = self.hashes[at] == hashes[maybe]
+        return maybe[known], at[known]
+
+    def reweighed(self, expected: np.ndarray) -> Pieces:
+        """The same pieces, their weights the prior's with ``expected`` counts added."""
+        out = copy.copy(self)
+        out.logs = np.log((np.exp(self.logs) * PRIOR + expected) / (PRIOR + expected.sum()))
+        return out
 
 
 def pieces(path: str = VOCABULARY) -> Pieces:
@@ -86,59 +101,111 @@ def pieces(path: str = VOCABULARY) -> Pieces:
     return Pieces(weights)
 
 
-def marginal(words: list[bytes], table: Pieces) -> np.ndarray:
-    """The natural log of the summed weight of all segmentations, per word."""
+def marginal(words: list[bytes], table: Pieces, expected: np.ndarray | None = None) -> np.ndarray:
+    """The natural log of the summed weight of all segmentations, per word.
+
+    ``expected``, if given, gets how often each piece is expected in the words.
+    """
     out = np.empty(len(words))
     sizes = np.array([len(w) for w in words], np.int64)
     for size in np.unique(sizes).tolist():
         own = np.flatnonzero(sizes == size)
         if size > _LONG:
-            out[own] = [_long(words[k], table) for k in own.tolist()]
+            out[own] = [_long(words[k], table, expected) for k in own.tolist()]
             continue
         for at in range(0, len(own), 20_000):
             some = own[at:at + 20_000]
             grid = np.frombuffer(b"".join(b" " + words[k] for k in some.tolist()), np.uint8).reshape(len(some), size + 1)
-            out[some] = _grid(grid, table)
+            out[some] = _grid(grid, table, expected)
     return out
 
 
-def _grid(grid: np.ndarray, table: Pieces) -> np.ndarray:
-    """Words of one length at a time: the forward recursion, column by column."""
+def _grid(grid: np.ndarray, table: Pieces, expected: np.ndarray | None) -> np.ndarray:
+    """Words of one length at a time: the recursions, column by column."""
     n = grid.shape[1]
     up, down = _powers(0, n + 1)
     sums = np.zeros((n + 1, len(grid)), np.uint64)
     np.cumsum(byte_values()[grid.T] * up[:n, None], axis=0, out=sums[1:])
     ahead = np.full((n + 1, len(grid)), -np.inf)
     ahead[0] = 0.0
+    arcs = []
     for end in range(1, n + 1):
         for start in range(max(0, end - table.longest), end):
-            known, logs = table.find(mix((sums[end] - sums[start]) * down[start]))
+            known, piece = table.find(mix((sums[end] - sums[start]) * down[start]))
             if len(known):
-                ahead[end, known] = np.logaddexp(ahead[end, known], ahead[start, known] + logs)
+                ahead[end, known] = np.logaddexp(ahead[end, known], ahead[start, known] + table.logs[piece])
+                arcs.append((start, end, known, piece))
+    if expected is not None:
+        behind = np.full((n + 1, len(grid)), -np.inf)
+        behind[n] = -ahead[n]
+        for start, end, known, piece in sorted(arcs, key=lambda a: -a[0]):
+            onward = behind[end, known] + table.logs[piece]
+            behind[start, known] = np.logaddexp(behind[start, known], onward)
+            np.add.at(expected, piece, np.exp(ahead[start, known] + onward))
     return ahead[n]
 
 
-def _long(word: bytes, table: Pieces) -> float:
-    """One word of any length: all arcs at once, then the recursion over them."""
+def _long(word: bytes, table: Pieces, expected: np.ndarray | None = None) -> float:
+    """One word of any length: all arcs at once, then the recursions over them."""
     data = np.frombuffer(b" " + word, np.uint8)
     roll = Rolling(byte_values()[data])
-    ends, starts, logs = [], [], []
+    ends, starts, pieces_ = [], [], []
     for size in range(1, min(table.longest, len(data)) + 1):
-        known, log = table.find(roll.windows(size))
+        known, piece = table.find(roll.windows(size))
         starts.append(known)
         ends.append(known + size)
-        logs.append(log)
-    start, end, log = np.concatenate(starts), np.concatenate(ends), np.concatenate(logs)
+        pieces_.append(piece)
+    start, end, piece = np.concatenate(starts), np.concatenate(ends), np.concatenate(pieces_)
     order = np.argsort(end, kind="stable")
-    ahead = [-math.inf] * (len(data) + 1)
+    start, end, piece = start[order], end[order], piece[order]
+    logs = table.logs[piece]
+    ahead = _summed(start.tolist(), end.tolist(), logs.tolist(), len(data))
+    if expected is not None:
+        # Backward is forward on the reversed lattice.
+        order = np.argsort(-start, kind="stable")
+        behind = np.array(_summed((len(data) - end[order]).tolist(), (len(data) - start[order]).tolist(),
+                                  logs[order].tolist(), len(data)))[::-1]
+        np.add.at(expected, piece, np.exp(np.array(ahead)[start] + logs + behind[end] - ahead[-1]))
+    return ahead[-1]
+
+
+def _summed(starts: list, ends: list, logs: list, size: int) -> list[float]:
+    """Per place, the log of the summed weight of all ways there; arcs come by their ends."""
+    ahead = [-math.inf] * (size + 1)
     ahead[0] = 0.0
-    for s, e, w in zip(start[order].tolist(), end[order].tolist(), log[order].tolist()):
+    for s, e, w in zip(starts, ends, logs):
         x, y = ahead[e], ahead[s] + w
         if x < y:
             x, y = y, x
         if x > -math.inf:
             ahead[e] = x + math.log1p(math.exp(y - x))
-    return ahead[-1]
+    return ahead
+
+
+_SCALE = 1 << 20  # expected counts are summed as whole numbers, so that their order does not show
+
+
+def _expected(batches, table: Pieces):
+    expected = np.zeros(len(table.hashes))
+    for batch in batches:
+        marginal([w.as_buffer().to_pybytes() for w in batch.column("word")], table, expected)
+    held = np.flatnonzero(expected)
+    out = pa.schema([("piece", pa.int32()), ("n", pa.int64())])
+    yield batch_of(out, held.astype(np.int32), np.rint(expected[held] * _SCALE).astype(np.int64))
+
+
+def trained(words: DataFrame, table: Pieces, rounds: int = ROUNDS) -> Pieces:
+    """Weights learned from distinct ``words`` (a column ``word``), each counting once."""
+    now = table
+    for _ in range(rounds):
+        counts = words.select("word").mapInArrow(
+            lambda batches, now=now: _expected(batches, now), "piece int, n long",
+        ).groupBy("piece").agg(F.sum("n").alias("n")).collect()  # a row per piece
+        expected = np.zeros(len(table.hashes))
+        for r in counts:
+            expected[r["piece"]] = r["n"] / _SCALE
+        now = table.reweighed(expected)
+    return now
 
 
 class _Coder(dict):
@@ -216,16 +283,19 @@ def _scored(docs: pa.Table, words: pa.Table, total: dict) -> pa.Table:
         _SCORED, docs.column("doc_id").combine_chunks(), docs.column("train").combine_chunks(), *columns)])
 
 
-def scores(docs: DataFrame, train: Column, path: str = VOCABULARY) -> DataFrame:
+def scores(docs: DataFrame, train: Column, path: str = VOCABULARY, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score) for every document."""
     table = pieces(path)
     read = docs.select(F.col("doc_id").cast("long"), as_text(), F.coalesce(train, F.lit(True)).alias("train"))
     coded = stage(read.mapInArrow(_coded, _CODED), "coded")
     words = coded.filter(F.col("word").isNotNull()).select(F.col("chunk").alias("of"), "word", "code", "n_train")
     texts = coded.filter(F.col("codes").isNotNull()).select("chunk", "doc_id", "train", "codes")
-    vocabulary = stage(words.groupBy("word").agg(F.sum("n_train").alias("c")).mapInArrow(
-        lambda batches: _weighed(batches, table), "word string, c long, q double"), "vocabulary")
+    counted = stage(words.groupBy("word").agg(F.sum("n_train").alias("c")), "counted")
     free(docs.sparkSession)
+    table = trained(counted.filter(F.col("c") > 0), table, rounds)
+    vocabulary = stage(counted.mapInArrow(
+        lambda batches: _weighed(batches, table), "word string, c long, q double"), "vocabulary")
+    unstage(counted)
     count = vocabulary.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"),
         F.count(F.when(F.col("c") == 1, 1)).alias("once")).first()

@@ -199,7 +199,6 @@ def test_anchors(docs):
 # Operator 7
 
 def test_lattice(docs):
-    table = lattice.pieces()
     count, given = Counter(), [(r[0], (r[1] or "").encode().lower().split()) for r in corpus.rows()]
     for doc, words in given:
         if doc is None or zlib.crc32(str(doc).encode()) % 5 != 1:
@@ -207,6 +206,8 @@ def test_lattice(docs):
     total, seen = sum(count.values()), len(count)
     once = sum(v == 1 for w, v in count.items() if w is not None)
     distinct = sorted({w for _, words in given for w in words})
+    learned = docs.sparkSession.createDataFrame([(w.decode(),) for w in count if w is not None], "word string")
+    table = lattice.trained(learned.repartition(2), lattice.pieces())
     spelled = dict(zip(distinct, np.exp(lattice.marginal(distinct, table))))
     spelled = {w: (1 - lattice.END_SHARE) * p for w, p in spelled.items()} | {None: lattice.END_SHARE}
     want = defaultdict(list)
@@ -223,7 +224,7 @@ def test_lattice(docs):
         assert r["train_tokens"] == total
     assert got.keys() == want.keys()
     for key, pairs in want.items():
-        assert np.allclose(sorted(got[key]), sorted(pairs), rtol=1e-9)
+        assert np.allclose(sorted(got[key]), sorted(pairs), rtol=1e-6)
 
 
 def test_lattice_sums_over_all_segmentations():
@@ -234,6 +235,24 @@ def test_lattice_sums_over_all_segmentations():
         return 1.0 if not x else sum(
             weights[x[:k]] / whole * summed(x[k:]) for k in range(1, len(x) + 1) if x[:k] in weights)
 
+    def ways(x):
+        return [()] if not x else [
+            (x[:k], *rest) for k in range(1, len(x) + 1) if x[:k] in weights for rest in ways(x[k:])]
+
+    order = {h: k for k, h in enumerate(table.hashes.tolist())}
+    for word in (b"ab", b"abba", b"aabab"):
+        share = Counter()
+        for way in ways(b" " + word):
+            for piece in way:
+                share[piece] += math.prod(weights[p] / whole for p in way) / summed(b" " + word)
+        for expect in (lambda out: lattice.marginal([word], table, out), lambda out: lattice._long(word, table, out)):
+            got = np.zeros(len(weights))
+            expect(got)
+            for piece in weights:
+                data = np.frombuffer(piece, np.uint8)
+                at = order[int(lattice.Rolling(lattice.byte_values()[data]).of(np.array([0]), np.array([len(data)]))[0])]
+                assert got[at] == pytest.approx(share[piece])
+
     for word in (b"ab", b"abba", b"aabab", b"bbb"):
         assert lattice.marginal([word], table)[0] == pytest.approx(math.log(summed(b" " + word)))
         assert lattice._long(word, table) == pytest.approx(math.log(summed(b" " + word)))
