@@ -79,11 +79,12 @@ def free(spark: SparkSession) -> None:
 
     Their files go when the JVM collects the objects that name them, so it is asked to: a
     driver with little to do would keep them for long. Python's bridge tells the JVM only
-    about once a second which objects Python has dropped.
+    about once a second which objects Python has dropped, and files go in the background.
     """
     gc.collect()
     time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
+    time.sleep(1.5)
 
 
 def stage_counting(df: DataFrame, label: str, **sums: Column) -> tuple[DataFrame, dict]:
