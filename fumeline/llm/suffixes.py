@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fumeline.llm.common import (
-    Rolling, among, as_text, batch_of, byte_values, distinct, slices, text_bytes,
+    PACKED, Rolling, among, as_text, batch_of, byte_values, distinct, packed, slices, text_bytes, unpacked,
 )
 from fumeline.session import free, stage
 
@@ -83,6 +83,7 @@ class Bytes:
 
 def _parts(table: pa.Table):
     """A chunk's texts in the order of their ids, in slices."""
+    table = unpacked(table)
     order = table.select(["doc_id"]).add_column(0, "row", pa.array(np.arange(table.num_rows))).sort_by(
         [("doc_id", "ascending")]).column("row")  # nulls last
     for batch in table.take(order).combine_chunks().to_batches():
@@ -248,8 +249,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, chunk: int = CHUNK, buck
         "doc_id", F.array(*[F.lit(k / chunks) for k in range(1, chunks)]) if chunks > 1 else F.array(F.lit(1.0)),
         max(10_000, 20 * chunks))).first()[0] or []
     bounds = sorted(set(bounds))
-    dealt = read.mapInArrow(lambda b: _numbered(b, np.array(bounds, np.int64)),
-                            "chunk long, doc_id long, text string")
+    dealt = read.mapInArrow(lambda b: packed(_numbered(b, np.array(bounds, np.int64))), PACKED)
 
     def answer(sent: DataFrame, earlier: bool, name: str) -> DataFrame:
         told = sent.groupBy("bucket").applyInArrow(lambda t: _again(t, earlier), _BITS_DDL)
