@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fumeline.llm.common import (
-    SPACES, Rolling, among, as_text, batch_of, delimiters, distinct, slices, text_bytes, word_bounds, word_hashes,
+    PACKED, SPACES, Rolling, among, as_text, batch_of, delimiters, distinct, packed, slices, text_bytes, unpacked,
+    word_bounds, word_hashes,
 )
 from fumeline.session import free, stage, unstage
 
@@ -35,7 +36,6 @@ WINDOW = 35
 CHUNK = 8 << 20  # bytes of text in a chunk, about
 BUCKET = 12 << 20  # bytes of text for each bucket of hashes
 
-_DOC = "chunk long, doc_id long, text string"
 _SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("probes", pa.binary()), ("index", pa.binary())])
 _FOUND = pa.schema([("chunk", pa.int64()), ("hashes", pa.binary())])
 _DONE = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()),
@@ -66,7 +66,7 @@ class Words:
 
 
 def _parts(table: pa.Table):
-    for batch in table.combine_chunks().to_batches():
+    for batch in unpacked(table).combine_chunks().to_batches():
         yield from slices(batch)
 
 
@@ -165,18 +165,18 @@ def _removed(docs: pa.Table, found: pa.Table, window: int) -> pa.Table:
                 words.starts[stay].tolist(), words.ends[stay].tolist())).decode())
             removed.append(b - a - len(stay))
         none = [None] * part.num_rows
-        out.append(batch_of(_DONE, part.column("chunk"), none, part.column("doc_id"), none,
+        out.append(batch_of(_DONE, none, none, part.column("doc_id"), none,
                             np.diff(words.first), removed, kept, none))
     return pa.Table.from_batches(out, _DONE)
 
 
 def chunks_of(docs: DataFrame, chunk: int = CHUNK, bucket: int = BUCKET) -> tuple[DataFrame, int]:
-    """(chunk, doc_id, text) dealt evenly by a hash, and the number of buckets for this much text."""
+    """Bundles of documents dealt evenly by a hash, and the number of buckets for this much text."""
     read = docs.select(F.col("doc_id").cast("long"), as_text())
     size = read.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     count = max(1, -(-int(size) // chunk))
     dealt = read.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(count)))
-    return dealt.select("chunk", "doc_id", "text"), max(1, -(-int(size) // bucket))
+    return dealt.select("chunk", "doc_id", "text").mapInArrow(packed, PACKED), max(1, -(-int(size) // bucket))
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
@@ -193,7 +193,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, chunk: int = CHUNK, buck
     windows = judged.filter(F.col("bucket").isNotNull()).select(
         "bucket", "chunk", F.col("hashes").alias("probes"), F.col("hashes").alias("index"))
     again = windows.groupBy("bucket").applyInArrow(_repeated, _DDL["found"])
-    waiting = judged.filter(F.col("text").isNotNull()).select("chunk", "doc_id", "text")
+    waiting = judged.filter(F.col("text").isNotNull()).select("chunk", "doc_id", "text").mapInArrow(packed, PACKED)
     cut = waiting.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(
         lambda d, f: _removed(d, f, window), _DDL["done"])
     done = judged.filter(F.col("kept").isNotNull())
