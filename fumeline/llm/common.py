@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 2 << 20  # bytes of text that a task turns into arrays at once
 
-_kept: dict = {}  # per Python worker: powers for rolling hashes
+
+class _Kept(dict):
+    """What a Python process keeps for itself; tasks are sent without it."""
+
+    def __reduce__(self):
+        return _Kept, ()
+
+
+_kept = _Kept()  # powers for rolling hashes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
