@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fumeline.operators import lines
 from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part, snap
+from fumeline.session import stage
 from tests import brute
 
 
@@ -127,10 +128,13 @@ def test_hot_group_is_split_when_it_gets_its_number(spark):
         joined = lines.with_group(df, groups, ["g"])
         assert len(joined.collect()) == 40_000
         text = joined._jdf.queryExecution().executedPlan().toString()
+        named = lines._keyed(stage(joined.select("_group", "line"), "joined"), groups)
+        assert len(named.collect()) == 40_000 and named.columns == ["g", "mean", "line"]
+        back = named._jdf.queryExecution().executedPlan().toString()
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-    assert "SortMergeJoin(skew=true)" in text
+    assert "SortMergeJoin(skew=true)" in text and "SortMergeJoin(skew=true)" in back
 
 
 point = st.tuples(st.integers(0, 4), st.integers(0, 3))
