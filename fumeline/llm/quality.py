@@ -125,16 +125,21 @@ def sample_labels(labels: DataFrame, label: str, learn: Column | None, sample_ro
     return given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
 
+def _probabilities(part: pa.RecordBatch, weights: np.ndarray, bits: int) -> np.ndarray:
+    """The probability of label 1 for each text of a batch."""
+    ids, first = features(*text_bytes(part.column("text")), bits)
+    n = np.diff(first)
+    row = np.repeat(np.arange(len(n)), n)
+    sums = np.bincount(row, weights[ids], len(n))  # each text's own sum, whatever its neighbours
+    margin = weights[-1] + sums / np.sqrt(np.maximum(n, 1))
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
 def _scores(batches, weights: np.ndarray, bits: int):
     out = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
     for batch in batches:
         for part in slices(batch):
-            ids, first = features(*text_bytes(part.column("text")), bits)
-            n = np.diff(first)
-            row = np.repeat(np.arange(len(n)), n)
-            sums = np.bincount(row, weights[ids], len(n))  # each text's own sum, whatever its neighbours
-            margin = weights[-1] + sums / np.sqrt(np.maximum(n, 1))
-            yield batch_of(out, part.column("doc_id"), 1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+            yield batch_of(out, part.column("doc_id"), _probabilities(part, weights, bits))
 
 
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
@@ -148,8 +153,7 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
 def _keep(batches, weights: np.ndarray, bits: int, least: float):
     for batch in batches:
         for part in slices(batch):
-            scored = next(_scores([part.select(["doc_id", "text"])], weights, bits))
-            yield part.filter(pa.array(scored.column("score").to_numpy() >= least))
+            yield part.filter(pa.array(_probabilities(part, weights, bits) >= least))
 
 
 def accepted(docs: DataFrame, weights: np.ndarray, least: float, bits: int = BITS) -> DataFrame:
