@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 2 << 20  # bytes of text that a task turns into arrays at once
+CHUNK_BYTES = 1 << 20  # bytes of text that a task turns into arrays at once
 
 
 class _Kept(dict):
@@ -31,6 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def batches_of(spark: SparkSession, size: str = "8m") -> None:
+    """Set how much a task hands to Python at once, from now on in this session.
+
+    By default that is 64 MB, which the JVM and Python each hold, whole and in parts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's text, modulo ``modulus``; -1 for a null id."""
     crc = F.crc32(F.col(column).cast("string").cast("binary"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fumeline.llm import anchors, decontaminate, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity
-from fumeline.llm.common import remainder, table
+from fumeline.llm.common import batches_of, remainder, table
 from fumeline.llm.sql import oracle_sql  # noqa: F401
 
 
@@ -67,7 +67,7 @@ def op10_decontaminate(spark, sf_dir):
 def queries():
     import corpus_pipeline
 
-    return {
+    found = {
         "op1_toxicity": op1_toxicity,
         "op2_itq": op2_itq,
         "op3_mixing": op3_mixing,
@@ -78,5 +78,14 @@ def queries():
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
         "op10_decontaminate": op10_decontaminate,
-        "pipeline": corpus_pipeline.run,
     }
+    return {name: _modest(query) for name, query in found.items()} | {"pipeline": corpus_pipeline.run}
+
+
+def _modest(query):
+    def run(spark, sf_dir):
+        # The lattice codes a batch's words by their own table; larger ones repeat fewer words.
+        batches_of(spark, "32m" if query is op7_lattice else "8m")
+        return query(spark, sf_dir)
+
+    return run
