@@ -212,8 +212,8 @@ def _pieces(batches, block_words: int, schema: pa.Schema):
 def mixture(docs: DataFrame, seed: int = 3, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix itself: (shard, source, slot, block, doc_id, place, words, text), a row per document in a slot."""
     spark = docs.sparkSession
-    sized = stage(sizes(docs, keep_text=True), "texts")
-    sources = stage(targets(sized.drop("text"), block_words), "sources")
+    sources = stage(targets(sizes(docs), block_words), "sources")
+    sized = sizes(docs, keep_text=True)  # counted again, which is cheaper than a copy of all texts
     schema = pa.schema([("no", pa.int32()), ("block", pa.int64()), ("place", pa.int64()), ("doc_id", pa.int64()),
                         ("words", pa.int64()), ("text", pa.string())])
     placed = offsets(sized, sources).select("doc_id", "no", "offset", "text")
