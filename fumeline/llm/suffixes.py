@@ -37,6 +37,7 @@ LENGTH = 100
 MODULUS, COVER = 57, (1, 6, 7, 9, 19, 38, 42, 49)
 CHUNK = 4 << 20  # bytes of text in a chunk, about
 BUCKET = 12 << 20  # bytes of text for each bucket of names
+TURNS = 2  # in which the second round's buckets are gone through
 
 _SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("names", pa.binary())])
 _SENT_DDL = "bucket long, chunk long, names binary"
@@ -158,11 +159,13 @@ def _live(docs: pa.Table, answer: pa.Table, length: int, buckets: int):
         yield part, text, live, windows, text.buckets(live, length, buckets) if len(live) else live
 
 
-def _second_round(docs: pa.Table, answer: pa.Table, length: int, buckets: int) -> list[np.ndarray]:
+def _second_round(docs: pa.Table, answer: pa.Table, length: int, buckets: int, turn: int) -> list[np.ndarray]:
+    """The names of the buckets whose turn it is."""
     names, bucket = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, _, own, of in _live(docs, answer, length, buckets):
-        names.append(own)
-        bucket.append(of)
+        chosen = of % TURNS == turn
+        names.append(own[chosen])
+        bucket.append(of[chosen])
     return _distinct(np.concatenate(names), np.concatenate(bucket), buckets)
 
 
@@ -258,9 +261,12 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, chunk: int = CHUNK, buck
     first = answer(dealt.groupBy("chunk").applyInArrow(
         lambda t: _sent(t.column("chunk")[0].as_py(), _first_round(t, length, buckets)), _SENT_DDL), False, "sampled")
     free(read.sparkSession)
-    second = answer(dealt.groupBy("chunk").cogroup(first.groupBy("of")).applyInArrow(
-        lambda t, a: _sent(t.column("chunk")[0].as_py() if t.num_rows else 0,
-                           _second_round(t, a, length, buckets)), _SENT_DDL), True, "remaining")
-    free(read.sparkSession)
-    return dealt.groupBy("chunk").cogroup(first.unionByName(second).groupBy("of")).applyInArrow(
+    answers = first
+    for turn in range(TURNS):  # half of the names at a time are on disk
+        second = answer(dealt.groupBy("chunk").cogroup(first.groupBy("of")).applyInArrow(
+            lambda t, a, turn=turn: _sent(t.column("chunk")[0].as_py() if t.num_rows else 0,
+                                          _second_round(t, a, length, buckets, turn)), _SENT_DDL), True, "remaining")
+        answers = answers.unionByName(second)
+        free(read.sparkSession)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(
         lambda t, a: _cut(t, a, length, buckets), _OUT_DDL)
