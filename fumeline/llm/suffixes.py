@@ -261,11 +261,14 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, chunk: int = CHUNK, buck
     first = answer(dealt.groupBy("chunk").applyInArrow(
         lambda t: _sent(t.column("chunk")[0].as_py(), _first_round(t, length, buckets)), _SENT_DDL), False, "sampled")
     free(read.sparkSession)
+    def remaining(turn: int):
+        return lambda t, a: _sent(t.column("chunk")[0].as_py() if t.num_rows else 0,
+                                  _second_round(t, a, length, buckets, turn))
+
     answers = first
     for turn in range(TURNS):  # half of the names at a time are on disk
         second = answer(dealt.groupBy("chunk").cogroup(first.groupBy("of")).applyInArrow(
-            lambda t, a, turn=turn: _sent(t.column("chunk")[0].as_py() if t.num_rows else 0,
-                                          _second_round(t, a, length, buckets, turn)), _SENT_DDL), True, "remaining")
+            remaining(turn), _SENT_DDL), True, "remaining")
         answers = answers.unionByName(second)
         free(read.sparkSession)
     return dealt.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(
