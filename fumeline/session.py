@@ -82,9 +82,10 @@ def free(spark: SparkSession) -> None:
     about once a second which objects Python has dropped, and files go in the background.
     """
     gc.collect()
-    time.sleep(1.5)
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(1.5)
+    for _ in range(2):
+        time.sleep(2)
+        spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
 
 
 def stage_counting(df: DataFrame, label: str, **sums: Column) -> tuple[DataFrame, dict]:
