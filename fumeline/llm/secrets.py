@@ -2,7 +2,8 @@
 
 Patterns: assignments to telling names, access keys, long hex runs. Spans are code
 points, end exclusive. Beyond them, every run of 20 or more characters of
-``A-Za-z0-9+/_=-`` that fits an encoding (hex, base 32, letters and digits, base 64) and is not a plain word
+``A-Za-z0-9+/_-`` (with up to two ``=`` as padding after it), whole or cut at its signs,
+that fits an encoding (hex, base 32, letters and digits, base 64) and is not a plain word
 or number is tested for being too random to be ordinary text. Three kinds of evidence
 multiply into one likelihood ratio of text against a random run of the encoding:
 
@@ -58,7 +59,9 @@ def _table(*ranges: bytes, extra: bytes = b"") -> np.ndarray:
 
 
 _HEX = _table(b"09", b"af")
-_RUN = _table(b"09", b"AZ", b"az", extra=b"+/_=-")
+_RUN = _table(b"09", b"AZ", b"az", extra=b"+/_-")
+# Ways to cut a run: not at all, at the signs of the one or the other base 64, at all signs; padding stays.
+_WAYS = [re.compile(rb"[A-Za-z0-9" + signs + rb"]+=*") for signs in (rb"+/_-", rb"+/", rb"_-", rb"")]
 # Encodings by growing alphabet; the first that holds a run is taken.
 ENCODINGS = (
     (b"0123456789abcdef", True), (b"0123456789ABCDEF", True),
@@ -156,6 +159,30 @@ def ordinary(run: bytes) -> float:
     return min(1.0, sum(math.exp(min(0.0, n * math.log(size) + x)) for x in (text, regular)))
 
 
+def parts(run: bytes) -> list[tuple[int, int, float]]:
+    """(start, end, p) of the parts of a run that may be random.
+
+    The run is taken whole, or cut at ``-_``, at ``+/`` or at all four signs, whichever way gives
+    the strongest evidence; each p-value is multiplied by the number of ways that differ.
+    """
+    ways = {tuple(m.span() for m in way.finditer(run) if m.end() - m.start() >= LEAST["random"]) for way in _WAYS}
+    ways.discard(())
+    best: list[tuple[int, int, float]] = []
+    for way in sorted(ways):
+        own = [(s, e, min(1.0, ordinary(run[s:e]) * len(ways))) for s, e in way]
+        if not best or min(p for *_, p in own) < min(p for *_, p in best):
+            best = own
+    return [(s, e, p) for s, e, p in best if p < 1]
+
+
+def padded(data: bytes, end: int, last: int) -> int:
+    """Where a run ends with its padding: at most two ``=`` that no further sign of a run or ``=`` follows."""
+    to = end
+    while to < last and data[to] == 0x3D:
+        to += 1
+    return to if to - end <= 2 and not (to < last and _RUN[data[to]]) else end
+
+
 def _found(part: pa.RecordBatch) -> tuple[list[list], list[list]]:
     """For each text its (start, kind, end) by pattern, and its (start, end, class, step) to be judged."""
     texts = part.column("text")
@@ -189,10 +216,9 @@ def _found(part: pa.RecordBatch) -> tuple[list[list], list[list]]:
             if kind == 2:
                 spans[k].append((span[0], kind, span[1]))
             else:
-                p = ordinary(whole[s:e])
-                if p < 1:
+                for from_, to, p in parts(whole[s:padded(whole, e, bounds[k + 1])]):
                     step = min(_STEPS, int(-math.log(max(p, 1e-300)) / _STEP))
-                    runs[k].append((*span, (e - s).bit_length(), step))
+                    runs[k].append((span[0] + from_, span[0] + to, (to - from_).bit_length(), step))
     return [sorted(s) for s in spans], runs
 
 

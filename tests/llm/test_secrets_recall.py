@@ -35,3 +35,20 @@ def test_keys_at_one_in_a_hundred(spark, length):
     found = {r["doc_id"] for r in secrets.secrets(df).collect() if f"random:4:{4 + len(made[r['doc_id']][1]) - 10}" in r["spans"]}
     assert len(found & set(range(20))) >= 19
     assert len(found - set(range(20))) <= 3
+
+
+def test_values_after_names_paths_and_prefixes(spark):
+    rng = np.random.default_rng(1)
+    before = ["aws_secret_access_key=", "auth_key=", "sig=", "pwd=", "/usr/local/my-dir/", "some-dashed_prefix/",
+              "a=b==", "https://host/path_to-it/"]
+    made, want = [], {}
+    for k, name in enumerate(before):
+        key = "".join(rng.choice(SIGNS, 40))
+        made.append((k, f"é {name}{key} x"))
+        want[k] = f"random:{2 + len(name)}:{2 + len(name) + 40}"
+    key = "".join(rng.choice(SIGNS, 42))
+    made.append((len(made), f"k={key}== x"))
+    want[len(made) - 1] = "random:2:46"
+    found = {r["doc_id"]: r["spans"] for r in secrets.secrets(
+        spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert all(want[k] in found[k] for k in want), found
