@@ -13,7 +13,9 @@ not grow with the benchmark.
 
 Cases: a null text or item has no words. An item with fewer than ten words is one
 window; one without words is never found. Repeated items each count; repeated rows of
-one item id are one item with the windows of all. Documents of any length are cut into
+one item id are one item with the windows of all. Items without an id are searched too and
+their words count as hit; all of them together add one to ``n_items``, last in ``items``, and
+nothing to ``items_sha256``. Documents of any length are cut into
 shards that overlap by a window less a word, so no place is lost. Item ids are compared
 as text. Columns other than ``doc_id``, ``text`` and ``item_id`` are not read.
 """
@@ -47,7 +49,7 @@ def _lower() -> np.ndarray:
 class Phrases:
     """Distinct windows of some items: by length, as rows of symbols; and the items of each."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         texts = pa.array([t for _, t in items], pa.string())
         data, at = text_bytes(texts)
         data = _lower()[data]
@@ -227,7 +229,11 @@ def _runs(hit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(opens), np.flatnonzero(shuts)
 
 
-def _find(batches, items: list[tuple[str, str]], window: int, schema: pa.Schema):
+def _nulls_last(item: str | None) -> tuple[bool, str]:
+    return item is None, item or ""
+
+
+def _find(batches, items: list[tuple[str | None, str]], window: int, schema: pa.Schema):
     phrases, lower, inside = Phrases(items, window), _lower(), delimiters(*PARTS)
     for batch in batches:
         for part in slices(batch):
@@ -275,14 +281,15 @@ def _find(batches, items: list[tuple[str, str]], window: int, schema: pa.Schema)
                 found[d].append(phrases.ids[k])
             sums = np.append(0, np.cumsum(hit))
             columns = {"n_words": np.diff(first), "n_hit": sums[first[1:]] - sums[first[:-1]],
-                       "spans": spans, "items": [sorted(set(i)) for i in found]}
+                       "spans": spans, "items": [sorted(set(i), key=_nulls_last) for i in found]}
             if "spans" in part.schema.names:  # of an earlier pass
                 for k in range(part.num_rows):
                     old = part.column("spans")[k].as_py()
                     if old:
                         columns["spans"][k], columns["n_hit"][k] = _merged(
                             columns["spans"][k] + old, data, at[k], starts[first[k]:first[k + 1]])
-                    columns["items"][k] = sorted({*columns["items"][k], *part.column("items")[k].as_py()})
+                    columns["items"][k] = sorted(
+                        {*columns["items"][k], *part.column("items")[k].as_py()}, key=_nulls_last)
             yield batch_of(schema, *[
                 columns[f.name] if f.name in columns else part.column(f.name) for f in schema])
 
@@ -323,14 +330,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     added = ("n_words", "n_hit", "spans", "items")
     df = docs.drop(*added).withColumn("text", as_text())
-    named = benchmark.select(F.col("item_id").cast("string").alias("item_id"), as_text()).filter(
-        F.col("item_id").isNotNull()).groupBy("item_id", "text").agg(F.lit(1))
+    named = benchmark.select(F.col("item_id").cast("string").alias("item_id"), as_text()).groupBy(
+        "item_id", "text").agg(F.lit(1))
     size = F.octet_length("text").cast("long") + 64
     total = named.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     passes = max(1, -(-int(total) * 5 // (4 * pass_bytes)))
     for k in range(passes):
-        own = named.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == k)
-        items = sorted((r["item_id"], r["text"]) for r in own.collect())  # about pass_bytes at most
+        own = named.filter(F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(passes)) == k)
+        items = sorted(((r["item_id"], r["text"]) for r in own.collect()), key=lambda i: (_nulls_last(i[0]), i[1]))  # about pass_bytes at most
         shape = df.drop(*added)
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape.schema)
         whole = f"{fields}, {_EXTRA}"
