@@ -8,6 +8,11 @@ from either. So every pair within 11 of 64 bits is compared, and most that are f
 Pairs within ``RADIUS`` bits are reranked by the cosine of the original vectors in
 double precision, in blocks of the vectors that hold the two codes.
 
+Links are told by the uncentred cosine, so the codes are tried on pairs at the least cosine
+made from the sample, and less of the mean is taken off, or the radius widened, until
+most of them are compared. Vectors of a strong common direction then have many
+candidates.
+
 Identical vectors are one node and equal codes one entry of the tables, so hot vectors
 cost one row; long lists under a key, and codes of many vectors, are cut into blocks
 that meet pairwise, each small.
@@ -31,7 +36,8 @@ from fumeline.llm.components import components
 from fumeline.session import stage
 
 LEAST_COSINE = 0.9
-RADIUS = 18  # bits of 64 in which the codes of a link differ at most
+RADIUS = 18  # bits of 64 in which the codes of a link differ at most, or some more where that misses links
+RECALL = 0.93  # share of pairs at the least cosine that must be compared
 SAMPLE_ROWS = 20_000  # vectors that the rotation is learned on, at most
 KEY_BITS = 16
 LIST = 4096  # codes under a key that are compared in one block
@@ -39,12 +45,12 @@ BLOCK = 256  # vectors of a code that are compared in one block
 _PAIRS = 1 << 20
 
 
-def learn(sample: np.ndarray, rounds: int = 50, seed: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, axes): codes are the signs of (unit vector - mean) @ axes."""
+def learn(sample: np.ndarray, rounds: int = 50, seed: int = 2, centred: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, axes): codes are the signs of (unit vector - mean) @ axes; of the mean a share is taken off."""
     size = sample.shape[1]
     bits = min(64, size)
     unit = sample / np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else sample
-    mean = unit.mean(0) if len(sample) else np.zeros(size)
+    mean = centred * unit.mean(0) if len(sample) else np.zeros(size)
     spread = (unit - mean).T @ (unit - mean)
     axes = np.linalg.eigh(spread)[1][:, ::-1][:, :bits]
     turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, bits)))[0]
@@ -68,10 +74,7 @@ def _codes(batches, mean: np.ndarray, axes: np.ndarray):
             continue
         rows = _matrix(batch.column("embedding"))
         unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
-        signs = np.zeros((len(rows), 64), bool)
-        signs[:, :axes.shape[1]] = (unit - mean) @ axes >= 0
-        code = np.packbits(signs, axis=1, bitorder="little").view("<i8")[:, 0]
-        yield batch_of(out, batch.column("node"), code)
+        yield batch_of(out, batch.column("node"), _signs(unit, mean, axes).view(np.int64))
 
 
 def _part(codes: np.ndarray, table: int) -> np.ndarray:
@@ -121,6 +124,47 @@ def _near(batches, tables: int, radius: int):
             at = to
 
 
+def _signs(unit: np.ndarray, mean: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    signs = np.zeros((len(unit), 64), bool)
+    signs[:, :axes.shape[1]] = (unit - mean) @ axes >= 0
+    return np.packbits(signs, axis=1, bitorder="little").view("<u8")[:, 0]
+
+
+def partners(sample: np.ndarray, least: float, most: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at the least cosine of a link: sampled ones, turned towards another of the sample."""
+    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    rng = np.random.default_rng(3)
+    a, b = unit[rng.integers(0, len(unit), most)], unit[rng.integers(0, len(unit), most)]
+    away = b - (a * b).sum(1, keepdims=True) * a
+    length = np.linalg.norm(away, axis=1, keepdims=True)
+    apart = length[:, 0] > 1e-6
+    a, away = a[apart], away[apart] / length[apart]
+    return a, least * a + np.sqrt(max(0.0, 1 - least * least)) * away
+
+
+def fitted(sample: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(mean, axes, radius): the first of growing reach by which enough pairs at the least cosine are compared.
+
+    Centring widens the angle of a pair if all vectors share a direction; less of the mean
+    is taken off then, and more pairs are candidates. If nothing holds, the best is taken.
+    """
+    best, chosen = -1.0, None
+    for centred in (1.0, 0.75, 0.5, 0.25, 0.0):
+        mean, axes = learn(sample, centred=centred)
+        a, b = partners(sample, least) if len(sample) else (sample, sample)
+        if not len(a):
+            return mean, axes, RADIUS
+        x, y = _signs(a, mean, axes), _signs(b, mean, axes)
+        met = meeting(x, y, -(-axes.shape[1] // KEY_BITS))[0] >= 0
+        for radius in (RADIUS, RADIUS + 4, RADIUS + 8):
+            recall = float((met & (np.bitwise_count(x ^ y) <= radius)).mean())
+            if recall > best:
+                best, chosen = recall, (mean, axes, radius)
+            if recall >= RECALL:
+                return chosen
+    return chosen
+
+
 def code_pairs(codes: DataFrame, tables: int, radius: int = RADIUS, longest: int = LIST) -> DataFrame:
     """(a, b), a < b: distinct codes to be reranked."""
     width = 1 << KEY_BITS
@@ -184,12 +228,12 @@ def _links(nodes: DataFrame, size: int, least: float, sample_rows: int) -> DataF
     """(node, links, root) from blocks, for vectors of one length."""
     own = nodes.filter(F.size("embedding") == size)
     sample = own.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("embedding").collect()
-    mean, axes = learn(np.array([r[0] for r in sample], np.float64).reshape(-1, size))
+    mean, axes, radius = fitted(np.array([r[0] for r in sample], np.float64).reshape(-1, size), least)
     coded = own.join(own.select("node", "embedding").mapInArrow(
         lambda b: _codes(b, mean, axes), "node long, code long"), "node")
     coded = stage(coded.select("code", "node", "n", "embedding"), "coded")
     distinct = coded.groupBy("code").agg(F.count(F.lit(1)).alias("held"))
-    pairs = code_pairs(distinct.select("code"), -(-min(64, size) // KEY_BITS))
+    pairs = code_pairs(distinct.select("code"), -(-min(64, size) // KEY_BITS), radius)
     several = distinct.filter(F.col("held") > 1).select(F.col("code").alias("a"), F.col("code").alias("b"))
     parts = F.ceil(F.col("held") / F.lit(BLOCK)).cast("long")
     blocks = stage(coded.join(distinct, "code").withColumn("part", F.pmod(F.xxhash64("node"), parts)).repartition(
