@@ -3,9 +3,10 @@
 A difference cover modulo 57 has eight residues such that any two positions reach, within
 56 steps, two sampled positions at the same time. So two equal strings of 100 bytes always
 hold two equal sampled strings of 44 bytes. In a first round the sampled suffixes of all
-documents are named, sorted and adjacent ones compared by their first 44 bytes; in the
-second round the remaining suffixes, those with a repeated sample within reach, are merged
-with all others in the order of their first 100 bytes, and adjacent ones compared.
+documents are named by a hash of their first 44 bytes; in the second round the remaining
+suffixes, those with a repeated sample within reach, are named by a hash of their first 100
+bytes. Equality of 64-bit hashes stands in for sorting suffixes: hashes are sorted and equal
+ones match. No suffix is ordered by its bytes, and matches are not compared byte by byte.
 
 Names are 64-bit fingerprints from one running sum (within a bucket that other bits of a
 second fingerprint choose, where they decide), not ranks: a name of any length costs the
