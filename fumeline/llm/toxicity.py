@@ -9,6 +9,10 @@ window pays for its first match and a telling word shows in full. The least savi
 counts is calibrated on ordinary windows, and the number, share and size of such savings
 in a text are turned into a probability by a logistic fit on the same sample.
 
+Limit: only the first 5 to 12 bytes of words parted by spaces are learned. In scripts without
+spaces (Chinese, Japanese, Thai) a word is a sentence, so a telling term after its first
+characters is not learned and cannot raise a score; nor can the second half of a long compound.
+
 Cases: a null or empty text has no window and scores as a text without evidence. Labels
 that are null, or whose document is missing, teach nothing; of several labels of a
 document the largest counts. If a class has no labelled text every score is the share of
