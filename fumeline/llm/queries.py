@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fumeline.llm import anchors, decontaminate, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity
+from fumeline.llm import alignment, anchors, decontaminate, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity
 from fumeline.llm.common import batches_of, remainder, table
 from fumeline.llm.sql import oracle_sql  # noqa: F401
 
@@ -64,6 +64,10 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_alignment(spark, sf_dir):
+    return alignment.linked(table(spark, sf_dir, "documents"))
+
+
 def queries():
     import corpus_pipeline
 
@@ -78,6 +82,7 @@ def queries():
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
         "op10_decontaminate": op10_decontaminate,
+        "op13_alignment": op13_alignment,
     }
     return {name: _modest(query) for name, query in found.items()} | {"pipeline": corpus_pipeline.run}
 
