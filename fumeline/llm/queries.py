@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fumeline.llm import alignment, anchors, decontaminate, forest, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity
+from fumeline.llm import alignment, anchors, decontaminate, forest, itq, lattice, mixing, quality, secrets, simhash, suffixes, toxicity, trie
 from fumeline.llm.common import batches_of, remainder, table
 from fumeline.llm.sql import oracle_sql  # noqa: F401
 
@@ -64,6 +64,10 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_trie(spark, sf_dir):
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_forest(spark, sf_dir):
     return forest.neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -86,6 +90,7 @@ def queries():
         "op8_secrets": op8_secrets,
         "op9_quality": op9_quality,
         "op10_decontaminate": op10_decontaminate,
+        "op11_trie": op11_trie,
         "op12_forest": op12_forest,
         "op13_alignment": op13_alignment,
     }

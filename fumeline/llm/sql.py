@@ -1,8 +1,8 @@
 """DuckDB SQL for the queries that SQL can express.
 
 Toxicity, quality and language-model scores come from trained models, the mix from
-random draws, added secret spans from a test battery, and fingerprints from a hash that
-DuckDB lacks; the tests compare those with brute force.
+random draws, added secret spans from a test battery, tokens from tokenizers, neighbours from a search that
+may miss some, and fingerprints from a hash that DuckDB lacks; the tests compare those with brute force.
 """
 
 _WORDS = r"'[\x20\x09-\x0D]+'"
@@ -95,6 +95,45 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coale
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
 
+# The check sum is spelled out, as DuckDB has no function for it.
+OP11 = f"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+         len(list_filter(string_split_regex(coalesce(text, ''), {_WORDS}), lambda x: x <> ''))::BIGINT AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc
+), whole AS (
+  SELECT c.conv_id, 0 AS own, place, m, words FROM convs c JOIN turns t ON t.conv_id = c.base AND place <= h
+  UNION ALL SELECT c.conv_id, 1, place, m, words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND place > h
+), paths AS (
+  SELECT conv_id, row_number() OVER o AS depth, list(m) OVER o AS key, words FROM whole
+  WINDOW o AS (PARTITION BY conv_id ORDER BY own, place ROWS UNBOUNDED PRECEDING)
+), steps AS (
+  SELECT conv_id, depth, key, words FROM paths UNION ALL SELECT conv_id, 0, []::VARCHAR[], 0 FROM convs
+), lengths AS (SELECT conv_id, max(depth) AS n FROM steps GROUP BY conv_id
+), nodes AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM steps JOIN lengths USING (conv_id) GROUP BY depth, key
+), children AS (SELECT key[:depth - 1] AS key, count(*) AS k FROM nodes WHERE depth > 0 GROUP BY 1
+), below AS (
+  SELECT key[:d] AS key, sum((k IS NULL)::BIGINT)::BIGINT AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM (SELECT key, k, n_convs, words, unnest(range(0, depth + 1)) AS d FROM nodes LEFT JOIN children USING (key)) GROUP BY 1
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k, 0) AS n_children, n_leaves,
+       saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (key) LEFT JOIN children USING (key)
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.key = n.key[:n.depth - 1]
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_itq": OP2, "op5_suffixes": OP5, "op6_anchors": OP6, "op10_decontaminate": OP10}
+    return {"op2_itq": OP2, "op5_suffixes": OP5, "op6_anchors": OP6, "op10_decontaminate": OP10, "op11_trie": OP11}
