@@ -51,8 +51,9 @@ SAMPLE = 16_384
 SAMPLE_BYTES = 64 << 20
 TUNED = 128  # queries whose recall sets the number of leaves
 RECALL = 0.95
-UNIT = 4  # levels of a unit's subtree
-BLOCK, CHUNK = 8192, 8192  # vectors held and queries streamed by a unit's part
+UNIT = 4  # levels of a unit's subtree, or more, so that a query comes to a few units a tree
+BLOCK, CHUNK = 32 << 20, 8192  # bytes of vectors held and queries streamed by a unit's part
+_CELLS = 1 << 21  # products taken at once
 _LEAST = 8  # sampled vectors that give a node its own median
 _SPARE = 4  # kept beyond those asked for until products are taken exactly
 
@@ -233,8 +234,9 @@ def _compared(batches, k: int):
             if held is None:
                 name, place = np.unique(np.concatenate(leaves), return_inverse=True)
                 held = np.concatenate(uids), np.concatenate(vectors), name, place
-            for low in range(0, part.num_rows, 256):
-                asked = part.slice(low, 256)
+            step = max(1, _CELLS // len(held[0]))
+            for low in range(0, part.num_rows, step):
+                asked = part.slice(low, step)
                 lists = asked.column("leaves")
                 flat = lists.flatten().to_numpy()
                 row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
@@ -242,9 +244,11 @@ def _compared(batches, k: int):
                 known = held[2][spot] == flat
                 visits = np.zeros((len(lists), len(held[2])), bool)
                 visits[row[known], spot[known]] = True
-                query, place, exact = _best(
-                    _matrix(asked.column("vector")), held[1], held[0], visits[:, held[3]], k)
-                yield batch_of(_FOUND, asked.column("uid").to_numpy()[query], held[0][place], exact)
+                some = np.flatnonzero(visits.any(0)[held[3]])  # what the leaves hold that any of these visits
+                if len(some):
+                    query, place, exact = _best(
+                        _matrix(asked.column("vector")), held[1][some], held[0][some], visits[:, held[3][some]], k)
+                    yield batch_of(_FOUND, asked.column("uid").to_numpy()[query], held[0][some][place], exact)
 
 
 def _usable(table: DataFrame) -> DataFrame:
@@ -315,13 +319,13 @@ def neighbours(table: DataFrame, every: int = 20, k: int = 20, trees: int = TREE
     for tree, own, held in zip(*(c.to_numpy() for c in counted.columns)):
         sizes[tree][own] = held
     probes = _tuned(placed, sampled(queries, TUNED, asked["n"]), queries, forest, k)
-    levels = min(UNIT, depth)
+    levels = min(depth, max(UNIT, math.ceil(math.log2(probes / trees))))
     schema = pa.schema([("tree", pa.int32()), ("unit", pa.int32()), ("uid", pa.int64()), ("vector", arrow),
                         ("leaves", pa.list_(pa.int32()))])
     asks = stage(queries.mapInArrow(
         lambda b: _probes(b, forest, probes, sizes, k + 1, levels, schema),
         f"tree int, unit int, uid long, vector {kind}, leaves array<int>"), "asks")
-    found = _met(placed, asks, levels, k + 1)
+    found = _met(placed, asks, levels, max(1, BLOCK // (8 * dimensions)), k + 1)
     # The same pair may come from several trees, with the same product.
     best = _up_to(found.groupBy("query", "uid").agg(F.max("score").alias("score")), k + 1, "query", F.desc("score"), "uid")
     ids = _up_to(members, k + 1, "uid", "vec_id", "row").select("uid", "vec_id", "row")
@@ -360,12 +364,12 @@ def _tuned(placed: DataFrame, some: DataFrame, queries: DataFrame, forest: Fores
     return 1 + sorted(places)[math.ceil(RECALL * len(places)) - 1] if places else 1
 
 
-def _met(placed: DataFrame, asks: DataFrame, levels: int, k: int) -> DataFrame:
+def _met(placed: DataFrame, asks: DataFrame, levels: int, block: int, k: int) -> DataFrame:
     """(query, uid, score): the best of each part of a unit for each of its queries."""
     unit = F.shiftright("leaf", levels)
     vectors = placed.select("uid", "vector", F.posexplode("leaves").alias("tree", "leaf")).select(
         "tree", unit.alias("unit"), "uid", "vector", F.array("leaf").alias("leaves"))
-    held = vectors.groupBy("tree", "unit").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    held = vectors.groupBy("tree", "unit").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     asked = asks.groupBy("tree", "unit").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     sizes = stage(held.join(asked, ["tree", "unit"]), "units")
     spread = F.xxhash64(F.lit(3), "uid")

@@ -102,7 +102,7 @@ def test_units_in_parts(spark, monkeypatch):
     rng = np.random.default_rng(6)
     vectors = list(enumerate(rng.standard_normal((1500, 8)).tolist()))
     whole = listed(forest.neighbours(table(spark, vectors), every=4, leaf=64))
-    monkeypatch.setattr(forest, "BLOCK", 50)
+    monkeypatch.setattr(forest, "BLOCK", 50 * 8 * 8)
     monkeypatch.setattr(forest, "CHUNK", 20)
     assert listed(forest.neighbours(table(spark, vectors), every=4, leaf=64)) == whole
 
