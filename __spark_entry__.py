@@ -180,6 +180,17 @@ def road_chains_paths(spark, sf_dir):
     ).drop("chain")
 
 
+def road_overlap_edges(spark, sf_dir):
+    return distinct_edges(standins.order_overlaps(spark, sf_dir), ["k"])
+
+
+def road_overlaps(spark, sf_dir):
+    path = F.col("path")
+    ends = {f"{n}{c}": F.element_at(path, at)[c] for n, at in (("a", 1), ("b", -1)) for c in "xy"}
+    return chains(standins.order_overlaps(spark, sf_dir), ["k"]).select(
+        "k", *[c.alias(n) for n, c in ends.items()], (F.size(path) - 1).alias("edges"))
+
+
 def road_rejects(spark, sf_dir):
     return kept_2023(standins.spoiled_segments(_segments_2023(spark, sf_dir)))[1].select("source", "OBJECTID")
 
@@ -256,6 +267,8 @@ def queries() -> dict[str, Query]:
         "road_chains": road_chains,
         "road_chains_long": road_chains_long,
         "road_chains_paths": road_chains_paths,
+        "road_overlap_edges": road_overlap_edges,
+        "road_overlaps": road_overlaps,
         "road_rejects": road_rejects,
         "road_sources_nested": road_sources_nested,
         "road_mixed_types": road_mixed_types,

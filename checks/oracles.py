@@ -131,6 +131,18 @@ _FEATURE = """'{"attributes":{"state_code":' || cast(first_state_code AS double)
     || '},"geometry":{"paths":[[[' || replace(replace(path, ',', '],['), ' ', ',')
     || ']]]}}'"""
 
+# Orders on seven supporting lines per priority; places along a line are whole numbers.
+_OVERLAPS = """r AS (
+  SELECT o_orderpriority AS k, o_orderkey % 7 AS j, o_custkey % 500 AS s, o_custkey % 500 + 1 + o_orderkey % 5 AS e FROM orders
+), points AS (SELECT k, j, s AS t FROM r UNION SELECT k, j, e FROM r
+), next AS (SELECT *, lead(t) OVER (PARTITION BY k, j ORDER BY t) AS u FROM points)"""
+
+
+def _overlap_point(place: str, name: str) -> str:
+    return (f"(j * 10000 + {place} * [1, 0, 1, 2, 1, 3, 1][j + 1])::DOUBLE AS {name}x, "
+            f"({place} * [0, 1, 1, -1, 2, 1, -3][j + 1])::DOUBLE AS {name}y")
+
+
 _RECURSIVE, _WITH = "WITH RECURSIVE ", "WITH "
 
 
@@ -220,6 +232,19 @@ FROM g GROUP BY k, island""",
          CASE WHEN "ID" = 1 THEN '' ELSE ',' END || {_FEATURE} AS line FROM named
   UNION ALL SELECT DISTINCT value, 0, '{_OPENING}' FROM named
   UNION ALL SELECT value, max("ID") + 1, ']}}' FROM named GROUP BY value""",
+        "road_overlap_edges": f"""{_WITH}{_OVERLAPS}
+  SELECT DISTINCT p.k, {_overlap_point("p.t", "a")}, {_overlap_point("p.u", "b")}
+  FROM next p WHERE EXISTS (SELECT 1 FROM r WHERE r.k = p.k AND r.j = p.j AND s <= p.t AND e >= p.u)""",
+        "road_overlaps": f"""{_WITH}{_OVERLAPS}, far AS (
+  SELECT *, max(e) OVER (PARTITION BY k, j ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f FROM r
+), runs AS (
+  SELECT *, sum(CASE WHEN s <= f THEN 0 ELSE 1 END) OVER (PARTITION BY k, j ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run
+  FROM far
+), spans AS (SELECT k, j, run, min(s) AS t, max(e) AS u FROM runs GROUP BY k, j, run
+)
+SELECT k, {_overlap_point("t", "a")}, {_overlap_point("u", "b")},
+  (SELECT count(*) - 1 FROM points p WHERE p.k = spans.k AND p.j = spans.j AND p.t BETWEEN spans.t AND spans.u)::INT AS edges
+FROM spans""",
         "road_chains_paths": """WITH r AS (
   SELECT o_orderpriority AS k, o_orderkey,
          row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM orders),

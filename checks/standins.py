@@ -178,3 +178,23 @@ def order_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     forward = F.array(path(a, middle), path(middle, b))
     backward = F.array(path(b, middle, a), path(a, a))
     return order_lines(spark, sf_dir).withColumn("paths", F.when(a % 2 == 0, forward).otherwise(backward))
+
+
+def order_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as straight lines that lie on seven supporting lines per priority and overlap there.
+
+    Line j starts at (10000 j, 0) and has its own direction; every third order is drawn backwards.
+    """
+    key = F.col("o_orderkey")
+    steps = [F.array(*[F.lit(float(d)) for d in way]) for way in ((1, 0, 1, 2, 1, 3, 1), (0, 1, 1, -1, 2, 1, -3))]
+    j = (key % 7).cast("int")
+    from_ = F.col("o_custkey") % 500
+
+    def at(place):
+        return F.struct((j * 10000 + place * steps[0][j]).cast("double").alias("x"),
+                        (place * steps[1][j]).cast("double").alias("y"))
+
+    ends = [at(from_), at(from_ + 1 + key % 5)]
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("k"),
+        F.array(F.when(key % 3 == 0, F.array(*ends[::-1])).otherwise(F.array(*ends))).alias("paths"))

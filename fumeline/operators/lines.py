@@ -1,7 +1,8 @@
 """Dissolve of line geometry: distinct edges, merged chains, single parts.
 
-The output line is a maximal chain: it passes through vertices where exactly two
-distinct edges of its group meet, and ends at all others. No step works on a whole
+Edges that coincide count once, and edges that overlap in part are cut at each other's
+ends first (:mod:`overlaps`). The output line is a maximal chain: it passes through vertices
+where exactly two distinct edges of its group meet, and ends at all others. No step works on a whole
 group. Edges and vertices are grouped by coordinates, runs within one input feature
 by that feature, and chains are followed by look-ups over ids, so a group holding a
 third of all rows spreads like any other rows.
@@ -20,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fumeline.operators.overlaps import EDGE, partly_overlapping
 from fumeline.session import stage, stage_counting, unstage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
@@ -122,8 +124,31 @@ def _keyed(lines: DataFrame, groups: DataFrame) -> DataFrame:
 def distinct_edges(features: DataFrame, keys: list[str], paths: str = "paths") -> DataFrame:
     """The union of each group's lines as edges, coincident ones kept once."""
     groups = number_groups(features.select(*keys).distinct())
-    staged = _stage_features(features, groups, keys, paths)
-    return _keyed(_distinct(_edge_rows(staged)).drop("end", "feature"), groups)
+    edges, _ = _union_edges(_stage_features(features, groups, keys, paths))
+    return _keyed(edges.drop("end", "feature"), groups)
+
+
+def _union_edges(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The edges of the union of each group's lines, and the features they are cut out of.
+
+    Edges that others end within are left out, which ends the pieces around them like any
+    edge kept elsewhere; what stands for them comes as features of one edge each, with
+    numbers after all others.
+    """
+    edges = stage(_distinct(_edge_rows(staged)), "edges")
+    found = partly_overlapping(edges)
+    if not found:
+        return edges, staged
+    gone, new = found
+    after = staged.agg(F.max(F.col("feature") + F.greatest(F.size("line"), F.lit(1)))).first()[0]
+    # The gap before the line, and its two points.
+    numbered = stage(new.withColumn("feature", F.lit(after) + 3 * F.monotonically_increasing_id()), "added")
+    a, b = (F.struct(F.col(f"{p}x").alias("x"), F.col(f"{p}y").alias("y")) for p in "ab")
+    lines = numbered.select("_group", F.array(F.lit(None).cast(_POINT), a, b).alias("line"), "feature")
+    made = numbered.select(*EDGE, ((F.col("feature") + 1) * 2).alias("end"), "feature")
+    whole = stage(edges.join(gone, EDGE, "left_anti").select(*EDGE, "end", "feature").unionByName(made), "union")
+    unstage(edges, gone, new)
+    return whole, staged.unionByName(lines)
 
 
 def _joints(edges: DataFrame) -> DataFrame:
@@ -326,7 +351,7 @@ def _placed_pieces(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     Both come as (_group, chain, ring, dist, points): ``points`` run along the chain and
     ``dist`` edges of it follow after them.
     """
-    edges = stage(_distinct(_edge_rows(staged)), "edges")
+    edges, staged = _union_edges(staged)
     joints = stage(_joints(edges), "joints")
     pieces = stage(_pieces(edges, joints, staged), "pieces")
     unstage(edges, joints, staged)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from fractions import Fraction
 
 
-def edges_of(paths):
+def drawn_edges(paths):
     found = set()
     for path in paths:
         for a, b in zip(path, path[1:]):
@@ -14,6 +15,32 @@ def edges_of(paths):
     return found
 
 
+def line_of(a, b):
+    """The supporting line of an edge, exactly: slope and offset."""
+    (ax, ay), (bx, by) = ((Fraction(repr(x)), Fraction(repr(y))) for x, y in (a, b))
+    if ax == bx:
+        return None, ax
+    slope = (by - ay) / (bx - ax)
+    return slope, ay - slope * ax
+
+
+def edges_of(paths):
+    """The edges of the union: on each line, neighbouring points that some edge covers."""
+    lines = defaultdict(set)
+    for a, b in drawn_edges(paths):
+        lines[line_of(a, b)].add((a, b))
+    out = set()
+    for edges in lines.values():
+        points = sorted({p for e in edges for p in e})
+        far, at = None, sorted(edges)
+        for p, q in zip(points, points[1:]):
+            while at and at[0][0] <= p:
+                far = max(at.pop(0)[1], far or p)
+            if far and far > p:
+                out.add((p, q))
+    return out
+
+
 def settled(line, ring):
     if ring:
         body = line[:-1]
