@@ -27,14 +27,13 @@ from __future__ import annotations
 
 import math
 import re
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fumeline.llm.common import as_text, batch_of, slices, text_bytes, word_bounds
+from fumeline.llm.common import _Kept, as_text, batch_of, slices, text_bytes, word_bounds
 from fumeline.session import stage
 
 # The patterns, their least lengths, and the order of kinds.
@@ -104,8 +103,16 @@ def _kinds(signs: bytes) -> np.ndarray:
                      for c in signs])
 
 
-@cache
+_laws = _Kept()  # plain: a decorated function would be sent by name, which executors need not know
+
+
 def _text_law(alphabet: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if alphabet not in _laws:
+        _laws[alphabet] = _make_law(alphabet)
+    return _laws[alphabet]
+
+
+def _make_law(alphabet: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Logarithms of how likely text starts with each sign, and goes on with each after each, within the alphabet."""
     pairs, single = np.zeros((26, 26)), np.ones(26)
     for word in _WORDS.encode().split():
