@@ -17,6 +17,7 @@ from checks import standins  # noqa: E402
 from checks.oracles import oracles  # noqa: E402
 from fumeline.functions.columns import line_length, parse_codes, route_key  # noqa: E402
 from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic  # noqa: E402
+from fumeline.operators.clustering import snap  # noqa: E402
 from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part  # noqa: E402
 from fumeline.operators.numbering import number  # noqa: E402
 from fumeline.operators.stats import describe, dissolve_attributes, distinct_count  # noqa: E402
@@ -191,6 +192,13 @@ def road_overlaps(spark, sf_dir):
         "k", *[c.alias(n) for n, c in ends.items()], (F.size(path) - 1).alias("edges"))
 
 
+def road_tolerance(spark, sf_dir):
+    path = F.col("path")
+    joined = chains(snap(standins.order_gaps(spark, sf_dir), 0.05), ["k"])
+    return _rounded(joined.select("k", F.element_at(path, 1)["x"].alias("from_x"), F.element_at(path, -1)["x"].alias("to_x"),
+                                  (F.size(path) - 1).alias("edges")), "from_x", "to_x")
+
+
 def road_rejects(spark, sf_dir):
     return kept_2023(standins.spoiled_segments(_segments_2023(spark, sf_dir)))[1].select("source", "OBJECTID")
 
@@ -269,6 +277,7 @@ def queries() -> dict[str, Query]:
         "road_chains_paths": road_chains_paths,
         "road_overlap_edges": road_overlap_edges,
         "road_overlaps": road_overlaps,
+        "road_tolerance": road_tolerance,
         "road_rejects": road_rejects,
         "road_sources_nested": road_sources_nested,
         "road_mixed_types": road_mixed_types,

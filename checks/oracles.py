@@ -245,6 +245,18 @@ FROM g GROUP BY k, island""",
 SELECT k, {_overlap_point("t", "a")}, {_overlap_point("u", "b")},
   (SELECT count(*) - 1 FROM points p WHERE p.k = spans.k AND p.j = spans.j AND p.t BETWEEN spans.t AND spans.u)::INT AS edges
 FROM spans""",
+        "road_tolerance": """WITH r AS (
+  SELECT o_orderpriority AS k, o_orderkey AS key, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS n
+  FROM orders
+), kept AS (
+  SELECT k, n, n::DOUBLE + (key % 5 - 2)::DOUBLE * 0.002::DOUBLE AS a, n::DOUBLE + 1 + (key % 7 - 3)::DOUBLE * 0.002::DOUBLE AS b
+  FROM r WHERE key % 97 <> 0
+), met AS (SELECT m, min(x) AS x FROM (SELECT n AS m, a AS x FROM kept UNION ALL SELECT n + 1, b FROM kept) GROUP BY m
+), runs AS (SELECT k, n, n - row_number() OVER (PARTITION BY k ORDER BY n) AS run FROM kept
+), spans AS (SELECT k, min(n) AS f, max(n) + 1 AS t, count(*)::INT AS edges FROM runs GROUP BY k, run
+)
+SELECT k, round(p.x, 6) AS from_x, round(q.x, 6) AS to_x, edges
+FROM spans JOIN met p ON p.m = f JOIN met q ON q.m = t""",
         "road_chains_paths": """WITH r AS (
   SELECT o_orderpriority AS k, o_orderkey,
          row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM orders),

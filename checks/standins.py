@@ -198,3 +198,16 @@ def order_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("k"),
         F.array(F.when(key % 3 == 0, F.array(*ends[::-1])).otherwise(F.array(*ends))).alias("paths"))
+
+
+def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines whose ends miss each other by up to 0.01: the n-th of a priority runs from about n to n + 1.
+
+    Those whose key is a multiple of 97 are left out.
+    """
+    key = F.col("o_orderkey")
+    orders = number(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], ["o_orderkey"], "n")
+    n = F.col("n").cast("double")
+    ends = [n + (key % 5 - 2).cast("double") * 0.002, n + 1 + (key % 7 - 3).cast("double") * 0.002]
+    points = [F.struct(x.alias("x"), F.lit(0.0).alias("y")) for x in ends]
+    return orders.filter(key % 97 != 0).select(F.col("o_orderpriority").alias("k"), F.array(F.array(*points)).alias("paths"))

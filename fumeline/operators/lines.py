@@ -106,14 +106,6 @@ def _distinct(rows: DataFrame) -> DataFrame:
     )
 
 
-def snap(df: DataFrame, tolerance: float, paths: str = "paths") -> DataFrame:
-    """Move vertices onto a grid, so that ends nearly meeting do meet."""
-    def to_grid(p: Column) -> Column:
-        return F.struct((F.round(p["x"] / tolerance) * tolerance).alias("x"),
-                        (F.round(p["y"] / tolerance) * tolerance).alias("y"))
-    return df.withColumn(paths, F.transform(F.col(paths), lambda path: F.transform(path, to_grid)))
-
-
 def _keyed(lines: DataFrame, groups: DataFrame) -> DataFrame:
     """Give every row its group's columns instead of the group's number."""
     return lines.join(groups, "_group").select(

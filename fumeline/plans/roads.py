@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from fumeline.functions.columns import parse_codes, route_key, with_length
 from fumeline.functions.predicates import major_roads, major_roads_text, with_traffic
-from fumeline.operators.lines import chain_vertices, single_part, snap
+from fumeline.operators.clustering import snap
+from fumeline.operators.lines import chain_vertices, single_part
 from fumeline.operators.numbering import number
 from fumeline.operators.stats import dissolve_attributes
 from fumeline.sinks.features import export, labelled
@@ -70,7 +71,7 @@ def roads(
     """The whole job: every feature class ``*_<year>`` under ``root`` to exported lines.
 
     ``value_field`` names the column whose first value labels a source's output.
-    ``wide_ids`` numbers lines in 64 bits, ``tolerance`` moves vertices onto a grid first,
+    ``wide_ids`` numbers lines in 64 bits, ``tolerance`` moves vertices that nearly meet together first,
     and ``fmt`` (with ``schema`` for 2020) reads features from another format.
     """
     if year == 2020:

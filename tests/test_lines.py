@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fumeline.operators import lines
-from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part, snap
+from fumeline.operators.clustering import snap
+from fumeline.operators.lines import chain_vertices, chains, distinct_edges, single_part
 from fumeline.session import stage
 from tests import brute
 
