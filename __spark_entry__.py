@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -23,7 +24,8 @@ from fumeline.operators.numbering import number  # noqa: E402
 from fumeline.operators.stats import describe, dissolve_attributes, distinct_count  # noqa: E402
 from fumeline.plans.air import air, area_means  # noqa: E402
 from fumeline.plans.roads import FIRST, KEYS, MEAN, dissolve, export_labelled, kept_2020, kept_2023, roads  # noqa: E402
-from fumeline.sinks.features import feature_documents, feature_json, labelled  # noqa: E402
+from fumeline.session import stage_root  # noqa: E402
+from fumeline.sinks.features import feature_documents, feature_json, labelled, write_json, write_tables  # noqa: E402
 from fumeline.sources.features import (  # noqa: E402
     layout_of, list_sources, read_features, read_layouts, read_matching, source_value,
 )
@@ -222,6 +224,54 @@ def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(export_labelled(dissolve(kept_2020(rows)), source_value(rows, "State_Code")))
 
 
+def _written(spark: SparkSession, write) -> str:
+    out = f"{stage_root(spark)}/out-{uuid.uuid4().hex}"
+    write(out)
+    return out
+
+
+def _file_name() -> Column:
+    return F.url_decode(F.substring_index(F.col("_metadata.file_path"), "/", -1))
+
+
+def road_json_files(spark, sf_dir):
+    out = _written(spark, lambda at: write_json(_exported(spark, sf_dir), at, 2020, wkid=4269))
+    attributes = "struct<state_code:double,urban_code:double,f_system:string,aadt:double,ID:int>"
+    document = F.from_json("value", f"geometryType string, features array<struct<attributes:{attributes}>>", {"mode": "FAILFAST"})
+    files = spark.read.text(out, wholetext=True).select(_file_name().alias("name"), document.alias("d"))
+    ids = F.transform("d.features", lambda f: f["attributes"]["ID"])
+    return files.select(
+        "name", F.size("d.features").alias("features"), F.col("d.geometryType").alias("kind"),
+        # In order, and none missing.
+        (ids == F.sequence(F.lit(1), F.size(ids))).alias("in_order"),
+        F.round(F.aggregate("d.features", F.lit(0.0), lambda s, f: s + f["attributes"]["aadt"]), 3).alias("aadt"))
+
+
+def road_tables(spark, sf_dir):
+    lines = _unlabelled(spark, sf_dir)
+    out = _written(spark, lambda at: write_tables(lines.filter("value is null or value < '1'"), at, 2020))
+    refused = 0
+    write_tables(lines.filter("value > '0' or value = ''"), out, 2020)  # other values, beside the first
+    try:
+        write_tables(lines, out, 2020)
+    except FileExistsError:
+        refused = 1
+    rows = read_matching(spark, out, "HPMS2020_*_forJSON")
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.max("ID").alias("last")).withColumn("refused", F.lit(refused))
+
+
+def _unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported lines, those of state 3 with an empty label and those of state 4 without one."""
+    rows = _features(spark, sf_dir)
+    labels = source_value(rows, "State_Code").withColumn(
+        "value", F.when(F.col("value") == "3", "").when(F.col("value") != "4", F.col("value")))
+    return export_labelled(dissolve(kept_2020(rows)), labels)
+
+
+def road_unlabelled(spark, sf_dir):
+    return labelled(_unlabelled(spark, sf_dir)).groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.max("ID").alias("last"))
+
+
 def road_export(spark, sf_dir):
     return _rounded(_drawn(_exported(spark, sf_dir)), "aadt")
 
@@ -286,6 +336,9 @@ def queries() -> dict[str, Query]:
         "road_ids": road_ids,
         "road_export": road_export,
         "road_features_json": road_features_json,
+        "road_json_files": road_json_files,
+        "road_tables": road_tables,
+        "road_unlabelled": road_unlabelled,
         "roads_2020": _roads(2020, "State_Code"),
         "roads_2023": _roads(2023, "StateID"),
         **(llm.queries() if llm else {}),

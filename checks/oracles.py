@@ -232,6 +232,14 @@ FROM g GROUP BY k, island""",
          CASE WHEN "ID" = 1 THEN '' ELSE ',' END || {_FEATURE} AS line FROM named
   UNION ALL SELECT DISTINCT value, 0, '{_OPENING}' FROM named
   UNION ALL SELECT value, max("ID") + 1, ']}}' FROM named GROUP BY value""",
+        "road_json_files": f"""{lines}
+  SELECT 'HPMS2020_' || {value} || '.json' AS name, count(*)::INT AS features, 'esriGeometryPolyline' AS kind,
+         max("ID") = count(*) AS in_order, round(sum(mean_aadt), 3) AS aadt FROM numbered GROUP BY source""",
+        "road_tables": f"""{lines}
+  SELECT 'HPMS2020_' || {value} || '_forJSON' AS source, count(*) AS n, max("ID") AS last, 1 AS refused
+  FROM numbered WHERE {value} < '3' GROUP BY ALL""",
+        "road_unlabelled": f"""{lines}
+  SELECT {value} AS value, count(*) AS n, max("ID") AS last FROM numbered WHERE {value} < '3' GROUP BY ALL""",
         "road_overlap_edges": f"""{_WITH}{_OVERLAPS}
   SELECT DISTINCT p.k, {_overlap_point("p.t", "a")}, {_overlap_point("p.u", "b")}
   FROM next p WHERE EXISTS (SELECT 1 FROM r WHERE r.k = p.k AND r.j = p.j AND s <= p.t AND e >= p.u)""",

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatchcase
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,10 +58,16 @@ def list_sources(
 
     A feature class is the first folder or file below ``root`` whose name matches, whatever
     its own files are called. Names that several have get their dataset folder before them.
-    Only file metadata is read, and one row per feature class comes back.
+    Only file metadata is read, and one row per feature class comes back. Nothing that
+    matches gives an empty list.
     """
     base = _location(spark, root)
-    files = spark.read.format("binaryFile").load(_globs(root, pattern, recursive))
+    try:
+        files = spark.read.format("binaryFile").load(_globs(root, pattern, recursive))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
     path = F.regexp_replace("path", "^file:/+", "file:/")
     below = F.split(F.substring(path, len(base) + 2, 1 << 20), "/")
     rows = files.select(F.slice(below, 1, 2).alias("below")).distinct().collect()
@@ -80,6 +87,13 @@ def list_sources(
     return sorted(out, key=lambda s: (s[1], s[0]))
 
 
+def _some_sources(spark: SparkSession, root: str, pattern: str, recursive: bool) -> list[tuple[str, str]]:
+    found = list_sources(spark, root, pattern, recursive)
+    if not found:
+        raise FileNotFoundError(f"no feature class named {pattern!r} in {root}")
+    return found
+
+
 def _literal(path: str) -> str:
     """A path that a reader takes as it is, not as a pattern."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
@@ -146,7 +160,7 @@ def read_matching(
     schema: str | None = None,
 ) -> DataFrame:
     """Every feature class named ``pattern``, in one scan if their columns agree."""
-    found = list_sources(spark, root, pattern, recursive)
+    found = _some_sources(spark, root, pattern, recursive)
     return read_features(spark, [at for at, _ in found], fmt, schema, [name for _, name in found])
 
 
@@ -173,7 +187,7 @@ def read_layouts(
 
     Planning looks at each feature class's column names, which is metadata only.
     """
-    found = list_sources(spark, root, pattern, recursive)
+    found = _some_sources(spark, root, pattern, recursive)
     with ThreadPoolExecutor(8) as pool:
         layouts = list(pool.map(
             lambda f: layout_of(spark.read.format(fmt).load(_literal(f[0])).columns), found))

@@ -4,7 +4,6 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fumeline.plans.roads import dissolve, kept_2020, kept_2023, rejected, roads
@@ -69,8 +68,7 @@ def test_listing_by_pattern(spark, workspace):
     assert names(list_sources(spark, workspace, "*_2020")) == ["S1_2020", "S2_2020"]
     assert names(list_sources(spark, workspace, "*_2020", recursive=True)) == [
         "S1_2020", "S2_2020", "S3_2020"]
-    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
-        list_sources(spark, workspace, "*_1999")
+    assert list_sources(spark, workspace, "*_1999") == []
 
 
 def test_matching_sources_are_one_scan(spark, workspace):
@@ -225,12 +223,8 @@ def test_feature_json_text(spark):
 
 
 def documents(out):
-    """Each named document: its files put together in name order."""
-    return {
-        folder.name.removeprefix("name="): json.loads(
-            "".join(f.read_text() for f in sorted(folder.glob("part-*"))))
-        for folder in Path(out).glob("name=*")
-    }
+    """Each file that is there, parsed."""
+    return {file.name: json.loads(file.read_text()) for file in Path(out).glob("*.json")}
 
 
 def test_json_documents(spark, tmp_path):
@@ -248,12 +242,47 @@ def test_json_documents(spark, tmp_path):
     assert big["geometryType"] == "esriGeometryPolyline"
     assert big["spatialReference"] == {"wkid": 4269}
     assert [f["name"] for f in big["fields"]] == ["state_code", "urban_code", "f_system", "aadt", "ID"]
-    # The big value was written by several tasks, the small one by one.
-    assert len(list(Path(out, "name=HPMS2020_06.json").glob("part-*"))) > 1
-    assert len(list(Path(out, "name=HPMS2020_07.json").glob("part-*"))) == 1
+    # Nothing but the files, though the values lay over several tasks.
+    assert sorted(f.name for f in Path(out).iterdir() if not f.name.endswith(".crc")) == sorted(found)
     assert found["HPMS2020_07.json"]["features"][0]["attributes"]["urban_code"] is None
 
 
+def test_json_of_many_features_becomes_several_documents(spark, tmp_path):
+    out = str(tmp_path / "json")
+    df = exported(spark, [one("06", i) for i in range(1, 26)] + [one("07", i) for i in range(1, 11)])
+    write_json(df.repartition(3), out, 2020, most=10)
+    found = {name: [f["attributes"]["ID"] for f in d["features"]] for name, d in documents(out).items()}
+    assert found == {"HPMS2020_06.json": list(range(1, 11)), "HPMS2020_06_2.json": list(range(11, 21)),
+                     "HPMS2020_06_3.json": list(range(21, 26)), "HPMS2020_07.json": list(range(1, 11))}
+
+
+def test_json_that_fails_leaves_nothing(spark, tmp_path, monkeypatch):
+    from fumeline.sinks import features as sink
+
+    out = str(tmp_path / "json")
+    df = exported(spark, [one("06", i) for i in range(1, 20)] + [one("07", 1)])
+    kept = sink.feature_json
+    monkeypatch.setattr(sink, "feature_json", lambda *a: F.when(F.col("ID") == 15, F.raise_error(F.lit("no"))).otherwise(kept(*a)))
+    with pytest.raises(Exception, match="no"):
+        write_json(df, out, 2020)
+    monkeypatch.undo()
+    assert not list(Path(out).glob("*"))
+    # One of the files is there already when they are moved.
+    write_json(exported(spark, [one("06_2", 1)]), out, 2020)
+    with pytest.raises(FileExistsError):
+        write_json(df, out, 2020, most=10)
+    assert list(documents(out)) == ["HPMS2020_06_2.json"]
+
+
+def test_no_feature_class_matches(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    for root in (str(tmp_path / "empty"), str(tmp_path / "nowhere")):
+        assert list_sources(spark, root, "*_2020") == []
+        for year, field in ((2020, "State_Code"), (2023, "StateID")):
+            with pytest.raises(FileNotFoundError, match=rf"\*_{year}.*{root}"):
+                roads(spark, root, year, field)
+
+
 def test_json_refuses_to_overwrite(spark, tmp_path):
     out = str(tmp_path / "json")
     write_json(exported(spark, [one("06", 1)]), out, 2020)
