@@ -56,3 +56,45 @@ def test_keys_meet_at_four_fifths():
         hashes = rng.integers(0, 1 << 63, 90, np.uint64) * np.uint64(2)
         a, b = hashes[:81], hashes[9:]  # 72 of 90
         assert set(copies.keys(a)) & set(copies.keys(b))
+
+
+def kept_by_brute_force(texts):
+    sets, root = [parts_of(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return sorted(set(root))
+
+
+def test_family_in_blocks(spark, monkeypatch):
+    """Many sets that share keys, most of them not similar enough, in one block or many."""
+    rng = random.Random(11)
+    base = corpus.words(rng, 200)
+    texts = [" ".join(changed(rng, base, rng.randint(1, 9))) for _ in range(160)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = kept_by_brute_force(texts)
+    assert 10 < len(want) < 150
+    for most in (copies.BLOCK_SETS, 25):
+        monkeypatch.setattr(copies, "BLOCK_SETS", most)
+        assert sorted(r["doc_id"] for r in copies.first_of_each(docs).collect()) == want
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, mark string")
+    found = copies.first_of_each(docs)
+    assert found.count() == 0 and found.columns == docs.columns
+
+
+def test_staged_tables_are_dropped(spark):
+    from pathlib import Path
+
+    from fumeline.session import stage_root
+
+    root = Path(stage_root(spark))
+    before = set(root.iterdir())
+    copies.first_of_each(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")], "doc_id long, text string")).collect()
+    # The numbered rows and what is kept of them are still read.
+    left = sorted(p.name.partition("-")[0] for p in set(root.iterdir()) - before if any(p.glob("*.parquet")))
+    assert left == ["kept", "marked"]
