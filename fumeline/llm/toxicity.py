@@ -1,17 +1,19 @@
 """Toxicity by compression distance with two zstandard dictionaries (operator 1).
 
-Two dictionaries are trained on labelled text, one on toxic, one on ordinary text: each
-holds the beginnings of words that significantly more documents of its class hold than
-the other class would lead one to expect. A text is cut into windows of a few words, and
-every window is compressed with either dictionary; what the toxic one saves over the
-other is the window's evidence. Dictionaries and windows share a primer, so that every
-window pays for its first match and a telling word shows in full. The least saving that
-counts is calibrated on ordinary windows, and the number, share and size of such savings
-in a text are turned into a probability by a logistic fit on the same sample.
-
-Limit: only the first 5 to 12 bytes of words parted by spaces are learned. In scripts without
-spaces (Chinese, Japanese, Thai) a word is a sentence, so a telling term after its first
-characters is not learned and cannot raise a score; nor can the second half of a long compound.
+Two dictionaries are trained on labelled text. What is peculiar to the toxic one are byte
+strings, from anywhere in a text and across words, that significantly more toxic documents
+hold than the ordinary ones would lead one to expect. The ordinary dictionary is trained by
+zstandard on those ordinary windows that such strings shorten by chance; the toxic one holds
+it too, so that only what is peculiar remains as a difference. A text is cut into windows of
+a few words, and every window is compressed with either dictionary; what the toxic one saves
+over the other is the window's evidence. Dictionaries and windows share a primer, so that
+every window pays for its first match and a telling string shows in full. How many and what
+share of a text's windows save as much as each of some thresholds is turned into a
+probability by a logistic fit on the same sample, which calibrates the thresholds. Near copies in
+the sample teach once, or their chance wording would look telling.
+
+Windows longer than ``MOST`` bytes (scripts without spaces, run-together text) are cut into
+overlapping ones, so a telling string counts wherever it stands.
 
 Cases: a null or empty text has no window and scores as a text without evidence. Labels
 that are null, or whose document is missing, teach nothing; of several labels of a
@@ -23,78 +25,162 @@ other than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumeline.llm.common import SPACES, as_text, batch_of, delimiters, slices, text_bytes, word_bounds
+from fumeline.llm.common import (SPACES, Rolling, among, as_text, batch_of, byte_values, delimiters, mix, slices,
+                                 text_bytes, word_bounds)
 from fumeline.session import stage, unstage
 
 SAMPLE_ROWS = 3000  # labelled documents of each class that are learned from, at most
+SEED_ROWS = 600  # of these, toxic documents whose strings may become part of the dictionary
+HARD_ROWS = 50_000  # ordinary windows that the ordinary dictionary is trained on, at most
+HARD = 2  # bytes that toxic strings save in such a window, at least
+SIZE, SEGMENT, GRAM = 32_768, 8, 6  # of the trained dictionary, of its segments, of what they are chosen by, in bytes
+THRESHOLDS = (2, 3, 4, 5, 6, 8, 10)  # bytes saved; how much each counts for is calibrated
 WORDS = 4  # of a window
-HEADS = (5, 6, 8, 10, 12)  # bytes of a word's beginning that may become a segment
-LEAST_DOCS = 5  # of its class that hold a segment
-LEAST_Z = 8.0  # standard deviations above what the other class leads one to expect
-CANDIDATES = 5000  # segments of a class that are looked at, at most
+MOST, STEP = 96, 64  # bytes of a window, and from one to the next where a longer one is cut
+SIZES = (5, 6, 7, 8, 9, 10, 12, 15, 18, 24)  # bytes of strings that are counted
+LEAST_DOCS = 5  # of its class that hold a string
+LEAST_Z = 7.0  # standard deviations above what the other class leads one to expect
+LEAST_RATIO = 6.0  # times as frequent as in the other class
+LONGER = 2.0  # how much more telling a string must be than one within it that is taken
+PARTS = 64  # that the strings' hashes are dealt to
 LEVEL = 1
+MATCH = 5  # bytes of the shortest match
 PRIMER = bytes([1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16, 17, 18, 19, 20, 21])
+TAIL = b" " + bytes(range(22, 30))  # matches are not looked for in the last eight bytes
 
 
 class Model(NamedTuple):
     toxic: bytes
     ordinary: bytes
-    least: int
     weights: tuple[float, ...]
 
 
-def _lowered(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+_PLAIN = np.where(delimiters(*SPACES), np.arange(256), 0x20).astype(np.uint8)
+
+
+def _lowered(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     data, at = text_bytes(part.column("text"))
-    data = np.frombuffer(data.tobytes().lower(), np.uint8)  # bytes: only A-Z change
-    return data, at, *word_bounds(data, at, delimiters(*SPACES))
+    return _PLAIN[np.frombuffer(data.tobytes().lower(), np.uint8)], at  # bytes: only A-Z change
+
+
+def _strings(data: np.ndarray, sizes=SIZES):
+    """(size, starts, hashes) of a text's strings that begin and end between characters."""
+    roll, edge = Rolling(byte_values()[data]), np.append((data & 0xC0) != 0x80, True)
+    for size in sizes:
+        n = len(data) - size + 1
+        if n > 0:
+            starts = np.flatnonzero(edge[:n] & edge[size:size + n])
+            yield size, starts, roll.windows(size)[starts] + np.uint64(size)
+
+
+def _distinct(data: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in _strings(data))]))
+
+
+_MARKED = "doc_id long, text string, label int, one long, two long"
 
 
-def _segments(batches):
-    """Each document's distinct word beginnings, counted per batch and class."""
-    out = pa.schema([("segment", pa.binary()), ("t", pa.int64()), ("o", pa.int64())])
+def _marked(batches):
+    """Rows with two marks, each of which most near copies share: least hashes of their strings of 12 bytes."""
+    out = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32()), ("one", pa.int64()),
+                     ("two", pa.int64())])
     for batch in batches:
         for part in slices(batch):
-            data, _, starts, ends, first = _lowered(part)
-            whole, counts = data.tobytes(), (Counter(), Counter())
+            data, at = _lowered(part)
+            marks = np.zeros((2, part.num_rows), np.uint64)
+            for k in range(part.num_rows):
+                own = data[at[k]:at[k + 1]]
+                held = Rolling(byte_values()[own]).windows(min(12, len(own)))
+                if len(held):
+                    marks[:, k] = held.min(), mix(held ^ np.uint64(1)).min()
+            yield batch_of(out, *(part.column(n) for n in ("doc_id", "text", "label")), *marks.view(np.int64))
+
+
+def _seeds(batches):
+    """Each document's distinct strings as hashes, dealt to parts."""
+    out = pa.schema([("part", pa.int32()), ("held", pa.binary())])
+    for batch in batches:
+        for part in slices(batch):
+            data, at = _lowered(part)
+            held = np.concatenate([_distinct(data[s:e]) for s, e in zip(at[:-1].tolist(), at[1:].tolist())])
+            held.sort()
+            cuts = np.searchsorted(held, np.arange(1, PARTS, dtype=np.uint64) * np.uint64((1 << 64) // PARTS))
+            yield batch_of(out, list(range(PARTS)), [r.tobytes() for r in np.split(held, cuts)])
+
+
+def _frequent(rows: pa.Table) -> pa.Table:
+    """The strings that enough documents hold."""
+    held, n = np.unique(np.frombuffer(b"".join(rows.column("held").to_pylist()), np.uint64), return_counts=True)
+    return pa.table({"hash": pa.array(held[n >= LEAST_DOCS].view(np.int64), pa.int64())})
+
+
+def _counted(batches, seeds: np.ndarray):
+    """How many documents of either class hold each of the seeds, in this task."""
+    counts = np.zeros((2, len(seeds)), np.int64)
+    for batch in batches:
+        for part in slices(batch):
+            data, at = _lowered(part)
             for k, label in enumerate(part.column("label").to_pylist()):
-                own = slice(first[k], first[k + 1])
-                words = {whole[s:e] for s, e in zip(starts[own].tolist(), ends[own].tolist()) if e - s > 2}
-                counts[label].update({w[:n] for w in words for n in HEADS})
-            found = sorted({*counts[0], *counts[1]})
-            yield batch_of(out, found, [counts[1][w] for w in found], [counts[0][w] for w in found])
+                held = _distinct(data[at[k]:at[k + 1]])
+                counts[label, np.searchsorted(seeds, held[among(held, seeds)])] += 1
+    met = np.flatnonzero(counts.sum(0))
+    out = pa.schema([("hash", pa.int64()), ("t", pa.int64()), ("o", pa.int64())])
+    yield batch_of(out, seeds[met].view(np.int64), counts[1, met], counts[0, met])
 
 
-def savings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray,
-            model: Model, coders: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """(text, saving) of every window: bytes that the toxic dictionary saves over the ordinary one."""
-    n = np.diff(first)
-    inside = np.arange(len(starts)) - np.repeat(first[:-1], n)
+def _named(batches, wanted: np.ndarray):
+    """The bytes behind hashes, as far as this task's texts hold them."""
+    found: dict[int, bytes] = {}
+    for batch in batches:
+        for part in slices(batch):
+            data, at = _lowered(part)
+            for k in range(part.num_rows):
+                own = data[at[k]:at[k + 1]]
+                for size, starts, hashes in _strings(own):
+                    hit = np.flatnonzero(among(hashes, wanted))
+                    for h, s in zip(hashes[hit].tolist(), starts[hit].tolist()):
+                        if h not in found:
+                            found[h] = own[s:s + size].tobytes()
+    out = pa.schema([("hash", pa.int64()), ("string", pa.binary())])
+    yield batch_of(out, np.array(list(found), np.uint64).view(np.int64), list(found.values()))
+
+
+def windows(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the windows of all texts."""
+    starts, ends, first = word_bounds(data, at, delimiters(*SPACES))
+    inside = np.arange(len(starts)) - np.repeat(first[:-1], np.diff(first))
     begin = np.flatnonzero(inside % WORDS == 0)
     text = np.searchsorted(first, begin, "right") - 1
-    last = np.minimum(begin + WORDS, first[text + 1]) - 1
-    if not len(begin):
-        return text, np.zeros(0, np.int64)
-    whole = data.tobytes()
-    sizes = []
-    windows = [PRIMER + b" " + whole[s:e] + b" " for s, e in zip(starts[begin].tolist(), ends[last].tolist())]
+    start, end = starts[begin], ends[np.minimum(begin + WORDS, first[text + 1]) - 1]
+    pieces = np.maximum(0, -(-(end - start - MOST) // STEP)) + 1
+    number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    text, start, end = (np.repeat(x, pieces) for x in (text, start, end))
+    start = start + number * STEP
+    return text, start, np.where(end - start > MOST, start + MOST, end)
+
+
+def savings(data: np.ndarray, at: np.ndarray, coders: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(text, saving) of every window: bytes that the toxic dictionary saves over the ordinary one."""
+    text, start, end = windows(data, at)
+    whole, sizes = data.tobytes(), []
+    held = [PRIMER + b" " + whole[s:e] + TAIL for s, e in zip(start.tolist(), end.tolist())]
     for coder in coders:
-        sizes.append(np.fromiter((len(coder.compress(w)) for w in windows), np.int64, len(windows)))
+        sizes.append(np.fromiter((len(coder.compress(w)) for w in held), np.int64, len(held)))
     return text, sizes[1] - sizes[0]
 
 
 def _coders(model: Model):
     made = []
     setting = zstandard.ZstdCompressionParameters.from_level(
-        LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False)
+        LEVEL, min_match=MATCH, write_checksum=False, write_content_size=False, write_dict_id=False)
     for content in (model.toxic, model.ordinary):
         given = zstandard.ZstdCompressionDict(content + PRIMER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         given.precompute_compress(compression_params=setting)
@@ -102,16 +188,12 @@ def _coders(model: Model):
     return tuple(made)
 
 
-def _evidence(text: np.ndarray, saving: np.ndarray, texts: int, least: int) -> np.ndarray:
-    """Per text: a constant; of the savings that count their log number, share of windows, log sum; the greatest."""
-    counts = saving >= least
-    count = np.bincount(text[counts], minlength=texts)
-    total = np.bincount(text[counts], saving[counts], texts)
+def _evidence(text: np.ndarray, saving: np.ndarray, texts: int) -> np.ndarray:
+    """Per text: a constant; the log numbers of its windows, and of those that save as much as each threshold; shares."""
     windows = np.bincount(text, minlength=texts)
-    most = np.zeros(texts)
-    np.maximum.at(most, text[counts], saving[counts])
-    return np.stack([np.ones(texts), np.log1p(count), 10 * count / np.maximum(windows, 1), np.log1p(total),
-                     most / 10], axis=1)
+    counts = [np.bincount(text[saving >= least], minlength=texts) for least in THRESHOLDS]
+    shares = [10 * c / np.maximum(windows, 1) for c in counts]
+    return np.stack([np.ones(texts), np.log1p(windows), *map(np.log1p, counts), *shares], axis=1)
 
 
 def _histograms(batches, model: Model):
@@ -120,8 +202,7 @@ def _histograms(batches, model: Model):
     coders = _coders(model)
     for batch in batches:
         for part in slices(batch):
-            data, _, starts, ends, first = _lowered(part)
-            text, saving = savings(data, starts, ends, first, model, coders)
+            text, saving = savings(*_lowered(part), coders)
             held = np.zeros((part.num_rows, 32), np.int64)
             np.add.at(held, (text, np.clip(saving, 0, 31)), 1)
             yield batch_of(out, part.column("label"), held.tolist())
@@ -140,35 +221,39 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 6
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_rows: int = SAMPLE_ROWS,
+        seed_rows: int = SEED_ROWS) -> Model:
     """Dictionaries and calibration from at most ``sample_rows`` labelled documents of each class."""
     usable = F.lit(True) if learn is None else learn
     chosen = _class(labels, usable, 1, sample_rows).unionByName(_class(labels, usable, 0, sample_rows))
-    given = stage(docs.select(F.col("doc_id").cast("long"), as_text()).join(
-        F.broadcast(chosen), "doc_id").select("text", "label"), "labelled")
+    marked = docs.select(F.col("doc_id").cast("long"), as_text()).join(
+        F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").mapInArrow(_marked, _MARKED)
+    given = stage(_apart(_apart(marked, "one"), "two").select("doc_id", "text", "label"), "labelled")
     held = {r["label"]: r["count"] for r in given.groupBy("label").count().collect()}
     toxic, ordinary = held.get(1, 0), held.get(0, 0)
     if not toxic or not ordinary:
         share = 1 - 1e-9 if toxic else 1e-9
-        return Model(b"", b"", 1 << 30, (math.log(share / (1 - share)), 0.0, 0.0, 0.0, 0.0))
-    counts = stage(given.mapInArrow(_segments, "segment binary, t long, o long").groupBy("segment").agg(
-        F.sum("t").alias("t"), F.sum("o").alias("o")), "segments")
-    model = Model(_content(counts, "t", toxic, "o", ordinary), _content(counts, "o", ordinary, "t", toxic),
-                  1, (0.0,) * 5)
+        return Model(b"", b"", (math.log(share / (1 - share)), *[0.0] * (1 + 2 * len(THRESHOLDS))))
+    telling = _telling(given, toxic, ordinary, seed_rows)
+    usual = _trained(given.filter("label = 0"), Model(telling, b"", ()))
+    model = Model(usual + telling, usual, ())
     rows = sorted((r["label"], r["held"]) for r in given.mapInArrow(
         lambda b: _histograms(b, model), "label int, held array<int>").collect())
     y, h = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows], np.int64)
-    # The least saving that at most one ordinary window in 500 reaches.
-    clean = h[y == 0].sum(0)[::-1].cumsum()[::-1]
-    rare = np.flatnonzero(clean <= max(1, clean[0]) / 500)
-    model = model._replace(least=max(1, int(rare[0]) if len(rare) else 31))
     steps = [np.repeat(np.arange(32), own) for own in h]
     text = np.repeat(np.arange(len(h)), h.sum(1))
-    x = _evidence(text, np.concatenate(steps) if len(steps) else text, len(h), model.least)
-    unstage(given, counts)
+    x = _evidence(text, np.concatenate(steps) if len(steps) else text, len(h))
+    unstage(given)
     return model._replace(weights=tuple(_logistic(x, y).tolist()))
 
 
+def _apart(given: DataFrame, mark: str) -> DataFrame:
+    """One document of each class and mark."""
+    names = given.columns
+    return given.groupBy("label", mark).agg(
+        F.min_by(F.struct(*names), F.struct(F.xxhash64("doc_id"), "doc_id", "text")).alias("row")).select("row.*")
+
+
 def _class(labels: DataFrame, usable: Column, value: int, rows: int) -> DataFrame:
     """A bounded table: labelled documents of one class, the first by a hash of the id."""
     known = labels.filter(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -176,26 +261,73 @@ def _class(labels: DataFrame, usable: Column, value: int, rows: int) -> DataFram
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def _content(counts: DataFrame, own: str, held: int, other: str, rest: int) -> bytes:
-    """A class's dictionary, the most telling segments last, where references are cheapest.
+def _telling(given: DataFrame, toxic: int, ordinary: int, seed_rows: int) -> bytes:
+    """Strings that tell toxic documents from ordinary ones.
 
-    Of word beginnings that are all significant the shortest is taken, and made longer
-    as long as four fifths of its documents go along.
+    What comes to the driver is bounded by the seed documents: hashes of strings that
+    several of them hold, then the bytes of those that tell the classes apart.
     """
-    expected = (F.col(other) + 0.5) / (rest + 1) * held
-    spread = F.sqrt((F.col(other) + 1) / (rest + 1) * held + 1)
-    rows = counts.filter(F.col(own) >= LEAST_DOCS).withColumn("z", (F.col(own) - expected) / spread).filter(
-        F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "segment").limit(CANDIDATES).collect()
-    docs = {bytes(r["segment"]): r[own] for r in rows}
-    z = {bytes(r["segment"]): r["z"] for r in rows}
-    taken = set()
-    for word in sorted(docs, key=lambda w: (len(w), w)):
-        if any(word[:n] in docs for n in range(1, len(word))):
-            continue
-        while longer := [w for w in docs if len(w) > len(word) and w.startswith(word) and docs[w] >= 0.8 * docs[word]]:
-            word = min(longer, key=lambda w: (len(w), w))
-        taken.add(word)
-    return b" " + b"".join(w + b" " for w in sorted(taken, key=lambda w: (z[w], w)))
+    chosen = given.filter("label = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(seed_rows).select("doc_id")
+    seeds = given.join(F.broadcast(chosen), "doc_id").select("text")
+    frequent = seeds.mapInArrow(_seeds, "part int, held binary").groupBy("part").applyInArrow(
+        _frequent, "hash long").toPandas()
+    hashes = np.sort(frequent["hash"].to_numpy().astype(np.int64).view(np.uint64))
+    share = (F.col("t") + F.col("o")) / (toxic + ordinary)
+    z = (F.col("t") / toxic - F.col("o") / ordinary) / F.sqrt(share * (1 - share) * (1 / toxic + 1 / ordinary))
+    ratio = (F.col("t") + 0.5) / (toxic + 1) / ((F.col("o") + 0.5) / (ordinary + 1))
+    told = given.mapInArrow(lambda b: _counted(b, hashes), "hash long, t long, o long").groupBy("hash").agg(
+        F.sum("t").alias("t"), F.sum("o").alias("o")).select("hash", z.alias("z"), ratio.alias("ratio")).filter(
+        (F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO)).collect()
+    wanted = np.sort(np.array([r["hash"] for r in told], np.int64).view(np.uint64))
+    names = {r["hash"]: bytes(r["string"]) for r in seeds.mapInArrow(
+        lambda b: _named(b, wanted), "hash long, string binary").groupBy("hash").agg(
+        F.min("string").alias("string")).collect()}
+    return _content({names[r["hash"]]: (r["z"], r["ratio"]) for r in told})
+
+
+def _hard(batches, model: Model):
+    """Ordinary windows that toxic strings shorten."""
+    out, coders = pa.schema([("window", pa.binary())]), _coders(model)
+    for batch in batches:
+        for part in slices(batch):
+            data, at = _lowered(part)
+            _, start, end = windows(data, at)
+            _, saving = savings(data, at, coders)
+            own = np.flatnonzero(saving >= HARD)
+            yield batch_of(out, [b" " + data[s:e].tobytes() + b" " for s, e in zip(start[own], end[own])])
+
+
+def _trained(ordinary: DataFrame, model: Model) -> bytes:
+    """A dictionary that zstandard trains on such windows; the windows themselves where they are too few."""
+    held = ordinary.mapInArrow(lambda b: _hard(b, model), "window binary").groupBy("window").count().orderBy(
+        F.xxhash64("window"), "window").limit(HARD_ROWS).collect()
+    samples = sorted((bytes(r["window"]) for r in held for _ in range(min(r["count"], 8))), key=lambda w: (len(w), w))
+    if sum(map(len, samples)) <= SIZE:
+        return b"".join(samples)
+    try:
+        return zstandard.train_dictionary(SIZE, samples, k=SEGMENT, d=GRAM, level=3).as_bytes()
+    except zstandard.ZstdError:  # too few or too much alike
+        return b"".join(samples)[-SIZE:]
+
+
+def _content(strings: dict[bytes, tuple[float, float]]) -> bytes:
+    """The strings to keep, the most telling ones last, where references are cheapest.
+
+    Taken by significance, the longer first; a string that shares half of its bytes with a
+    taken one, within it or over its edge, adds nothing unless it is more telling by far.
+    """
+    taken: list[bytes] = []
+    for string in sorted(strings, key=lambda s: (-round(strings[s][0], 6), -len(s), s)):
+        if all(strings[string][1] >= LONGER * strings[t][1] or not _shared(string, t) for t in taken):
+            taken.append(string)
+    return b" ".join([b"", *taken[::-1], b""])
+
+
+def _shared(string: bytes, other: bytes) -> bool:
+    half = len(string) // 2
+    within = any(string[k:k + half + 2] in other for k in range(len(string) - half - 1))
+    return within or other in string or any(
+        string.endswith(other[:n]) or string.startswith(other[-n:]) for n in range(half, min(len(string), len(other))))
 
 
 def _scores(batches, model: Model):
@@ -203,9 +335,8 @@ def _scores(batches, model: Model):
     coders, weights = _coders(model), np.array(model.weights)
     for batch in batches:
         for part in slices(batch):
-            data, _, starts, ends, first = _lowered(part)
-            text, saving = savings(data, starts, ends, first, model, coders)
-            x = _evidence(text, np.minimum(saving, 31), part.num_rows, model.least)
+            text, saving = savings(*_lowered(part), coders)
+            x = _evidence(text, saving, part.num_rows)
             margin = (x * weights).sum(1)
             yield batch_of(out, part.column("doc_id"), 1 / (1 + np.exp(-np.clip(margin, -30, 30))))
 
