@@ -3,20 +3,28 @@
 Patterns: assignments to telling names, access keys, long hex runs. Spans are code
 points, end exclusive. Beyond them, every run of 20 or more characters of
 ``A-Za-z0-9+/_-`` (with up to two ``=`` as padding after it), whole or cut at its signs,
-that fits an encoding (hex, base 32, letters and digits, base 64) and is not a plain word
-or number is tested for being too random to be ordinary text. Three kinds of evidence
-multiply into one likelihood ratio of text against a random run of the encoding:
-
-* uniformity: text's uneven letters against the encoding's alphabet;
-* runs: how seldom text changes between lower case, upper case, digits and signs;
-* serial correlation: text's letters depend on their neighbours.
-
-A ratio below x has a probability below x in such text, so the ratio itself is the run's
-p-value. To it comes the same ratio for regular runs (repeated or counting). Text is
-described by a fixed word list and fixed rates of change, of English, German, French,
-Spanish and identifiers. The share of false discoveries is held by Benjamini-Hochberg
-over all runs of the corpus, separately per length class (doublings). P-values are
-rounded up to steps of exp(-0.25) first, so that counts per step decide exactly.
+that holds a letter goes through a battery of tests within the smallest encoding that fits it
+(hex, base 32, letters of one case, letters, letters and digits, base 64):
+
+* chi-squared: how far its characters are from equal shares of the alphabet (both cases of
+  a letter count as one);
+* runs: how often neighbours differ in class (lower case, upper case, digit, sign; for
+  letters of one case vowel or not); upper case goes with lower case after it and a sign
+  with anything, as in words and between them;
+* serial correlation: that of neighbours' places in the alphabet, and that of vowels and
+  other letters.
+
+How these statistics spread, at every length, is measured on drawn runs of two kinds:
+equal shares, and ordinary text (letters after one another as in a fixed word list,
+changes of class at fixed rates). A run that differs from equal shares by more than
+``APART`` standard deviations in any test is not random. For the others each test's
+p-value says how likely ordinary text comes as near to equal shares; they are put together
+by Fisher's sum, whose spread under ordinary text, with the tests' covariance, is measured
+on the same draws. Runs of over ``BLOCK`` characters are tested in blocks whose deviations
+add up. Uneven letters alone are weak evidence, so keys of one case need to be longer.
+The share of false discoveries is held by Benjamini-Hochberg over all runs of the corpus,
+separately per length class (doublings). P-values are rounded up to steps of exp(-0.25)
+first, so that counts per step decide exactly.
 
 Cases: a null or empty text has no spans and the hash of the empty string. Repeated
 documents are scanned each by itself. Columns other than ``doc_id`` and ``text`` are
@@ -27,6 +35,7 @@ from __future__ import annotations
 
 import math
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +74,9 @@ _WAYS = [re.compile(rb"[A-Za-z0-9" + signs + rb"]+=*") for signs in (rb"+/_-", r
 ENCODINGS = (
     (b"0123456789abcdef", True), (b"0123456789ABCDEF", True),
     (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", True),
+    (b"abcdefghijklmnopqrstuvwxyz", False), (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", False),
     (b"0123456789abcdefghijklmnopqrstuvwxyz", True),
+    (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", False),
     (b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", False),
     (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", False),
     (b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", False),
@@ -95,7 +106,9 @@ hasta hay donde quien desde todo nos durante todos uno ciudad tiempo trabajo nue
 # From each class (lower case, upper case, digits, signs) to each.
 _TURNS = np.array([[.85, .07, .03, .05], [.55, .35, .05, .05], [.12, .08, .65, .15], [.50, .20, .25, .05]])
 _FIRST = np.array([.55, .30, .10, .05])
-_SAME = 0.9  # how surely a regular run goes on as foreseen
+DRAWS = 4000  # runs of either kind that the tests' spread is measured on
+BLOCK = 256  # characters that are tested at once, at most
+APART = 4.0  # standard deviations from equal shares that tell a run is not random
 
 
 def _kinds(signs: bytes) -> np.ndarray:
@@ -103,17 +116,12 @@ def _kinds(signs: bytes) -> np.ndarray:
                      for c in signs])
 
 
-_laws = _Kept()  # plain: a decorated function would be sent by name, which executors need not know
+# Plain: a decorated function would be sent by name, which executors need not know.
+_drawn, _spreads = _Kept(), _Kept()
 
 
 def _text_law(alphabet: bytes) -> tuple[np.ndarray, np.ndarray]:
-    if alphabet not in _laws:
-        _laws[alphabet] = _make_law(alphabet)
-    return _laws[alphabet]
-
-
-def _make_law(alphabet: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Logarithms of how likely text starts with each sign, and goes on with each after each, within the alphabet."""
+    """How likely text starts with each sign, and goes on with each after each, within the alphabet."""
     pairs, single = np.zeros((26, 26)), np.ones(26)
     for word in _WORDS.encode().split():
         at = np.frombuffer(word, np.uint8).astype(int) - 0x61
@@ -126,16 +134,14 @@ def _make_law(alphabet: bytes) -> tuple[np.ndarray, np.ndarray]:
     flat = np.where(kind < 2, single[letter], np.where(kind == 2, 0.1, 0.5))
     after = np.where((kind[:, None] < 2) & (kind < 2), pairs[letter[:, None], letter], flat)
     first, law = _FIRST[kind] * flat, _TURNS[kind[:, None], kind] * after
-    return np.log(first / first.sum()), np.log(law / law.sum(1, keepdims=True))
+    return first / first.sum(), law / law.sum(1, keepdims=True)
 
 
 def encoding(run: bytes) -> bytes | None:
-    """The alphabet of the smallest encoding that fits; None for words and numbers."""
-    body = run.rstrip(b"=")
-    have = set(body)
+    """The alphabet of the smallest encoding that fits; None for runs without letters."""
+    have = set(run.rstrip(b"="))
     digits = any(0x30 <= c <= 0x39 for c in have)
-    letters = any(c >= 0x41 for c in have)
-    if not letters or (not digits and (body.islower() or body.isupper() or body[1:].islower())):
+    if not any(c >= 0x41 and c != 0x5F for c in have):
         return None
     for alphabet, needs_digit in ENCODINGS:
         if have <= set(alphabet) and (digits or not needs_digit):
@@ -143,31 +149,119 @@ def encoding(run: bytes) -> bytes | None:
     return None
 
 
+def _classes(alphabet: bytes) -> np.ndarray:
+    kind = _kinds(alphabet)
+    return 4 + np.isin(list(alphabet.lower()), list(b"aeiouy")) if len(set(kind.tolist())) == 1 else kind
+
+
+def statistics(places: np.ndarray, alphabet: bytes) -> np.ndarray:
+    """Of runs of one length, a row of places in the alphabet each: chi-squared (both cases of a letter are one
+    cell, as a short run fills few), runs of a class, serial correlation of places, and of vowels (1) with
+    other letters (-1) and the rest (0)."""
+    rows, n = places.shape
+    _, cell, width = np.unique(list(alphabet.lower()), return_inverse=True, return_counts=True)
+    counts = np.bincount((cell[places] + len(width) * np.arange(rows)[:, None]).ravel(),
+                         minlength=rows * len(width)).reshape(rows, -1)
+    expected = n * width / len(alphabet)
+    chi = ((counts - expected) ** 2 / expected).sum(1)
+    kind = _classes(alphabet)[places]
+    before, after = kind[:, :-1], kind[:, 1:]
+    changes = ((before != after) & (before != 3) & ~((before == 1) & (after == 0))).sum(1)
+    off = places - places.mean(1, keepdims=True)
+    square = (off * off).sum(1)
+    serial = np.where(square > 0, (off[:, 1:] * off[:, :-1]).sum(1) / np.where(square > 0, square, 1), 1.0)
+    sound = _sounds(alphabet)[places]
+    return np.stack([chi, changes, serial, (sound[:, 1:] * sound[:, :-1]).mean(1)], axis=1)
+
+
+def _sounds(alphabet: bytes) -> np.ndarray:
+    return np.array([1 if c in b"aeiouy" else -1 if 0x61 <= c <= 0x7A else 0 for c in alphabet.lower()])
+
+
+def _draws(alphabet: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``BLOCK`` places: of equal shares, and as ordinary text goes. Their beginnings are shorter runs."""
+    if alphabet not in _drawn:
+        rng, size = np.random.default_rng(8), len(alphabet)
+        equal = rng.integers(0, size, (DRAWS, BLOCK))
+        text = np.empty((DRAWS, BLOCK), np.int64)
+        first, law = (x.cumsum(-1) for x in _text_law(alphabet))
+        text[:, 0] = np.minimum(np.searchsorted(first, rng.random(DRAWS)), size - 1)
+        for k in range(1, BLOCK):
+            text[:, k] = np.minimum((law[text[:, k - 1]] < rng.random(DRAWS)[:, None]).sum(1), size - 1)
+        _drawn[alphabet] = equal, text
+    return _drawn[alphabet]
+
+
+class Spread(NamedTuple):
+    """Of the statistics at one length: means and deviations of either kind, and moments of Fisher's sum."""
+
+    equal: np.ndarray
+    equal_by: np.ndarray
+    text: np.ndarray
+    text_by: np.ndarray
+    side: np.ndarray  # where equal shares lie as seen from text
+    mean: float
+    variance: float
+
+
+def spread(alphabet: bytes, n: int) -> Spread:
+    if (alphabet, n) not in _spreads:
+        equal, text = (statistics(places[:, :n], alphabet) for places in _draws(alphabet))
+        text_by = np.maximum(text.std(0), 1e-9)
+        side = np.sign(equal.mean(0) - text.mean(0))
+        sums = _fisher((text - text.mean(0)) / text_by * side)
+        _spreads[alphabet, n] = Spread(equal.mean(0), np.maximum(equal.std(0), 1e-9), text.mean(0), text_by, side,
+                                       float(sums.mean()), float(sums.var()))
+    return _spreads[alphabet, n]
+
+
+def _log_tail(z: float) -> float:
+    """The log of the normal distribution's upper tail."""
+    if z < 30:
+        return math.log(0.5 * math.erfc(z / math.sqrt(2)))
+    return -z * z / 2 - math.log(z * math.sqrt(2 * math.pi))
+
+
+def _fisher(deviations: np.ndarray) -> np.ndarray:
+    """-2 times the sum of the log p-values of each row of deviations."""
+    return np.array([-2 * sum(map(_log_tail, row)) for row in deviations.tolist()])
+
+
+def battery(run: bytes) -> tuple[np.ndarray, np.ndarray, float] | None:
+    """(deviations from equal shares, deviations from text towards them, p) of a run; None without an encoding.
+
+    A sum of Fisher's is taken as a multiple of a chi-squared variable with the measured
+    mean and variance, its tail by the cube root's normal law.
+    """
+    alphabet, body = encoding(run), run.rstrip(b"=")
+    if alphabet is None or len(body) < LEAST["random"]:
+        return None
+    lookup = np.zeros(256, np.int64)
+    lookup[list(alphabet)] = np.arange(len(alphabet))
+    blocks = np.array_split(lookup[np.frombuffer(body, np.uint8)], -(-len(body) // BLOCK))
+    off, toward = np.zeros(4), np.zeros(4)
+    for block in blocks:
+        own, law = statistics(block[None], alphabet)[0], spread(alphabet, len(block))
+        off += (own - law.equal) / law.equal_by
+        toward += (own - law.text) / law.text_by * law.side
+    off, toward = off / math.sqrt(len(blocks)), toward / math.sqrt(len(blocks))
+    law = spread(alphabet, len(blocks[0]))
+    scale, freedom = law.variance / (2 * law.mean), 2 * law.mean ** 2 / law.variance
+    root = (float(_fisher(toward[None])[0]) / (scale * freedom)) ** (1 / 3)
+    by = 2 / (9 * freedom)
+    return off, toward, math.exp(max(-690.0, _log_tail((root - 1 + by) / math.sqrt(by))))
+
+
 def ordinary(run: bytes) -> float:
-    """How likely ordinary text looks as random as this run; 1 if it fits no encoding."""
-    alphabet = encoding(run)
-    body = run.rstrip(b"=")
-    n = len(body)
-    if alphabet is None or n < LEAST["random"]:
+    """How likely ordinary text looks as random as this run; 1 if it fits no encoding or is not random."""
+    tested = battery(run)
+    if tested is None or np.abs(tested[0]).max() > APART:
         return 1.0
-    size = len(alphabet)
-    places = {c: k for k, c in enumerate(alphabet)}
-    place = [places[c] for c in body]
-    first, law = _text_law(alphabet)
-    text = float(first[place[0]] + law[place[:-1], place[1:]].sum())
-    # A regular run: a sign is followed by what followed it last, or else by its neighbour in the alphabet.
-    followed: dict[int, int] = {}
-    met = 0
-    for before, now in zip(place, place[1:]):
-        met += followed.get(before, before + 1) == now
-        followed[before] = now
-    regular = met * math.log(_SAME + (1 - _SAME) / size) + (n - 1 - met) * math.log((1 - _SAME) / size)
-    regular -= math.log(size)
-    return min(1.0, sum(math.exp(min(0.0, n * math.log(size) + x)) for x in (text, regular)))
+    return tested[2]
 
 
 def parts(run: bytes) -> list[tuple[int, int, float]]:
-    """(start, end, p) of the parts of a run that may be random.
+    """(start, end, p) of the parts of a run that are tested; all count where the share of false ones is held.
 
     The run is taken whole, or cut at ``-_``, at ``+/`` or at all four signs, whichever way gives
     the strongest evidence; each p-value is multiplied by the number of ways that differ.
@@ -179,7 +273,7 @@ def parts(run: bytes) -> list[tuple[int, int, float]]:
         own = [(s, e, min(1.0, ordinary(run[s:e]) * len(ways))) for s, e in way]
         if not best or min(p for *_, p in own) < min(p for *_, p in best):
             best = own
-    return [(s, e, p) for s, e, p in best if p < 1]
+    return [(s, e, p) for s, e, p in best if encoding(run[s:e])]
 
 
 def padded(data: bytes, end: int, last: int) -> int:
