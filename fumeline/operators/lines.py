@@ -59,10 +59,14 @@ def _stage_features(features: DataFrame, groups: DataFrame, keys: list[str], pat
     ``line`` is the feature's paths one after the other, a gap before each. ``feature``
     is the number of the line's first element; those of its others follow. A partition
     takes as many numbers as its rows times its own longest line, so a long line in one
-    partition costs no numbers in the others.
+    partition costs no numbers in the others. Zero gets one sign, as grouping gives it: a line
+    looks the same whether its edges are the features' own or were cut.
     """
     gap = F.array(F.lit(None).cast(_POINT))
-    line = F.flatten(F.transform(F.col(paths), lambda p: F.concat(gap, p)))
+    zero = F.lit(0.0)  # minus zero plus zero is zero
+    points = F.transform(F.flatten(F.transform(F.col(paths), lambda p: F.concat(gap, p))), lambda p: F.when(
+        p.isNotNull(), F.struct((p["x"] + zero).alias("x"), (p["y"] + zero).alias("y"))))
+    line = points.cast(f"array<{_POINT}>")
     rows = with_group(features.select(*keys, paths), groups, keys).select(
         "_group", line.alias("line"), F.monotonically_increasing_id().alias("_row")
     )

@@ -209,3 +209,10 @@ def test_input_order_and_partitions_do_not_matter(features):
     one = chain_sets(chains(features(rows).coalesce(1), ["g"]))
     many = chain_sets(chains(features(rows[::-1]).repartition(7, F.rand(1)), ["g"]))
     assert one == many == expected(rows)
+
+
+def test_zero_has_one_sign(features):
+    rows = [("a", [[(-0.0, -0.0), (1, 0)]]), ("b", [[(1, -0.0), (2, 3)], [(-0.0, 5), (1, 0.0)]])]
+    for made in (chains(features(rows), ["g"]).selectExpr("inline(path)"), chain_vertices(features(rows), ["g"])):
+        found = [v for r in made.select("x", "y").collect() for v in r]
+        assert len(found) == 10 and not any(str(v) == "-0.0" for v in found)
