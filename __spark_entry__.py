@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The entry file may be loaded from anywhere.
@@ -234,17 +234,55 @@ def _file_name() -> Column:
     return F.url_decode(F.substring_index(F.col("_metadata.file_path"), "/", -1))
 
 
-def road_json_files(spark, sf_dir):
-    out = _written(spark, lambda at: write_json(_exported(spark, sf_dir), at, 2020, wkid=4269))
+def _document_pieces(spark: SparkSession, at: str) -> DataFrame:
+    """The written documents' lines, one row per file and slice of it: no task holds a document."""
+    line, row = F.col("value"), F.col("row")
     attributes = "struct<state_code:double,urban_code:double,f_system:string,aadt:double,ID:int>"
-    document = F.from_json("value", f"geometryType string, features array<struct<attributes:{attributes}>>", {"mode": "FAILFAST"})
-    files = spark.read.text(out, wholetext=True).select(_file_name().alias("name"), document.alias("d"))
-    ids = F.transform("d.features", lambda f: f["attributes"]["ID"])
-    return files.select(
-        "name", F.size("d.features").alias("features"), F.col("d.geometryType").alias("kind"),
+    opens, closes = line.startswith('{"geometryType"'), line == "]}"
+    comma, strict = line.startswith(","), {"mode": "FAILFAST"}
+    lines = spark.read.text(at).select(
+        _file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
+    read = lines.select(
+        "file", "block", "row", opens.alias("opens"), closes.alias("closes"), (~opens & ~closes & ~comma).alias("bare"),
+        F.from_json(F.when(opens, F.concat(line, F.lit("]}"))), "geometryType string, features array<string>", strict)["geometryType"].alias("kind"),
+        F.from_json(F.when(~opens & ~closes, F.when(comma, F.substring(line, 2, 1 << 30)).otherwise(line)),
+                    f"attributes {attributes}", strict)["attributes"].alias("a"))
+    place = F.col("a.ID") - row  # one number if the features follow one another
+    return read.groupBy("file", "block").agg(
+        F.count("a").alias("features"), F.count("a.ID").alias("numbered"), F.sum("a.aadt").alias("aadt"), F.max("kind").alias("kind"),
+        F.min("a.ID").alias("low"), F.max("a.ID").alias("high"), (F.min(place) == F.max(place)).alias("steady"),
+        F.count_if("opens").alias("opened"), F.count_if("closes").alias("closed"), F.count_if("bare").alias("bare"),
+        F.min(F.when(F.col("bare"), F.col("a.ID"))).alias("first"),
+        F.coalesce(F.min(F.when(F.col("opens"), row)) == F.min("row"), F.lit(True)).alias("begins"),
+        F.coalesce(F.max(F.when(F.col("closes"), row)) == F.max("row"), F.lit(True)).alias("ends"))
+
+
+def _documents(spark: SparkSession, at: str) -> DataFrame:
+    """One row per value: its features, whether they are whole and in order, and their traffic."""
+    # Slices of a document, a few rows each; a value's further documents count with its first.
+    in_file = Window.partitionBy("file").orderBy("block")
+    last = F.max("high").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    slices = _document_pieces(spark, at).withColumn("before", last).withColumn(
+        "fits", F.coalesce(F.col("low") == F.col("before") + 1, F.lit(True)) & F.coalesce("steady", F.lit(True)) & F.col("begins") & F.col("ends"))
+    files = slices.groupBy("file").agg(
+        F.sum("features").alias("features"), F.sum("numbered").alias("numbered"), F.sum("aadt").alias("aadt"), F.max("kind").alias("kind"),
+        F.min("low").alias("low"), F.max("high").alias("high"), (F.bool_and("fits") & (F.sum("opened") == 1) & (F.sum("closed") == 1)
+         & (F.sum("bare") == 1) & (F.min("first") == F.min("low"))
+         & (F.min_by("opened", "block") == 1) & (F.max_by("closed", "block") == 1)).alias("whole"))
+    part = F.regexp_extract("file", r"^HPMS2020_[^_]*_(\d+)\.json$", 1)  # none in a value's first
+    documents = files.withColumns({
+        "name": F.regexp_replace("file", r"^(HPMS2020_[^_]*)_\d+\.json$", "$1.json"),
+        "part": F.coalesce(part.try_cast("int"), F.lit(1))})
+    follows = F.max("high").over(Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    return documents.withColumn("follows", F.col("low") == F.coalesce(follows, F.lit(0)) + 1).groupBy("name").agg(
+        F.sum("features").cast("int").alias("features"), F.max("kind").alias("kind"),
         # In order, and none missing.
-        (ids == F.sequence(F.lit(1), F.size(ids))).alias("in_order"),
-        F.round(F.aggregate("d.features", F.lit(0.0), lambda s, f: s + f["attributes"]["aadt"]), 3).alias("aadt"))
+        (F.bool_and(F.col("whole") & F.col("follows")) & (F.sum("numbered") == F.max("high")) & (F.sum("features") == F.max("high"))).alias("in_order"),
+        F.round(F.sum("aadt"), 3).alias("aadt"))
+
+
+def road_json_files(spark, sf_dir):
+    return _documents(spark, _written(spark, lambda at: write_json(_exported(spark, sf_dir), at, 2020, wkid=4269)))
 
 
 def road_tables(spark, sf_dir):

@@ -256,6 +256,33 @@ def test_json_of_many_features_becomes_several_documents(spark, tmp_path):
                      "HPMS2020_06_3.json": list(range(21, 26)), "HPMS2020_07.json": list(range(1, 11))}
 
 
+def test_documents_are_read_in_slices(spark, tmp_path):
+    """No task reads a whole document, and what is missing, misplaced or out of order is seen."""
+    import __spark_entry__ as entry
+
+    out = str(tmp_path / "json")
+    write_json(exported(spark, [one("06", i) for i in range(1, 200)] + [one("07", 1)]), out, 2020, most=150)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        pieces = entry._document_pieces(spark, out).groupBy("file").count().collect()
+        assert max(r["count"] for r in pieces) > 5
+        found = {r["name"]: r[1:] for r in entry._documents(spark, out).collect()}
+        kind = "esriGeometryPolyline"
+        assert found == {"HPMS2020_06.json": (199, kind, True, 497.5), "HPMS2020_07.json": (1, kind, True, 2.5)}
+        own = (Path(out) / "HPMS2020_06.json").read_text().splitlines()
+        bad = {"swapped": own[:9] + [own[10], own[9]] + own[11:], "lost": own[:70] + own[71:], "open": own[:-1],
+               "early": own[:60] + [own[-1]] + own[60:-1], "uncut": own[:50] + [own[50][1:]] + own[51:]}
+        for name, lines in bad.items():
+            folder = tmp_path / name
+            folder.mkdir()
+            (folder / "HPMS2020_06.json").write_text("\n".join(lines) + "\n")
+            assert [r["in_order"] for r in entry._documents(spark, str(folder)).collect()] == [False], name
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_json_that_fails_leaves_nothing(spark, tmp_path, monkeypatch):
     from fumeline.sinks import features as sink
 
