@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fumeline.functions.columns import line_length
 from fumeline.operators.numbering import number
 from fumeline.session import stage_root
+from fumeline.sources.features import list_sources
 from fumeline.sources.readings import AREA, DAY, READING, read_readings
 
 _written: dict[tuple[str, str, str], str] = {}
@@ -98,20 +99,18 @@ def feature_classes(spark: SparkSession, sf_dir: str, year: int) -> str:
         order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                  "l_extendedprice"]
         lines = table(spark, sf_dir, "lineitem").select(*order)
-        rows = segment_columns(number(lines, [], order, "OBJECTID")).withColumn(
+        rows = segment_columns(number(lines, [], order, "OBJECTID", staged=True)).withColumn(
             "Shape_Length", line_length("paths")
         )
-        name = F.concat(F.lit("state"), F.col("State_Code").cast("string"), F.lit("_2020"))
-        rows.withColumn("feature_class", name).write.partitionBy("feature_class").parquet(root)
+        # A class at a time: writing all at once would sort whole segments by class.
+        state = (F.col("l_orderkey") % 5).cast("int").alias("state")
+        for own, in lines.select(state).distinct().filter("state is not null").orderBy("state").collect():
+            rows.filter(F.col("State_Code") == own).write.parquet(f"{root}/feature_class=state{own}_2020")
     else:
-        rows = spark.read.parquet(feature_classes(spark, sf_dir, 2020))
-        rows = text_segments(rows).withColumn(
-            "feature_class", F.concat(F.lit("state"), F.col("StateID"), F.lit("_2023"))
-        )
-        positional = F.col("StateID").isin("3", "4")
-        for part, other in ((rows.filter(~positional), ("Field6", "Field8")),
-                            (rows.filter(positional), ("F_SYSTEM", "URBAN_ID"))):
-            part.drop(*other).write.mode("append").partitionBy("feature_class").parquet(root)
+        for at, name in list_sources(spark, feature_classes(spark, sf_dir, 2020), "*_2020"):
+            other = ("F_SYSTEM", "URBAN_ID") if name in ("state3_2020", "state4_2020") else ("Field6", "Field8")
+            text_segments(spark.read.parquet(at)).drop(*other).write.parquet(
+                f"{root}/feature_class={name.replace('_2020', '_2023')}")
     _written[slot] = root
     return root
 
@@ -125,7 +124,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n").cast("double")
     end = n + F.when(F.col("o_orderkey") % 97 == 0, 0).otherwise(1)
     points = [F.struct(x.alias("x"), F.lit(0.0).alias("y")) for x in (n, end)]
-    return number(orders, ["o_orderpriority"], ["o_orderkey"], "n").select(
+    return number(orders, ["o_orderpriority"], ["o_orderkey"], "n", staged=True).select(
         F.col("o_orderpriority").alias("k"), F.array(F.array(*points)).alias("paths")
     )
 
@@ -206,7 +205,8 @@ def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     Those whose key is a multiple of 97 are left out.
     """
     key = F.col("o_orderkey")
-    orders = number(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], ["o_orderkey"], "n")
+    orders = number(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], ["o_orderkey"], "n",
+                    staged=True)
     n = F.col("n").cast("double")
     ends = [n + (key % 5 - 2).cast("double") * 0.002, n + 1 + (key % 7 - 3).cast("double") * 0.002]
     points = [F.struct(x.alias("x"), F.lit(0.0).alias("y")) for x in ends]

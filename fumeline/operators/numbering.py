@@ -7,28 +7,28 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fumeline.session import stage
+from fumeline.session import stage, unstage
 
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
 
 
-def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID") -> DataFrame:
+def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID", staged: bool = False) -> DataFrame:
     """Number rows 1..n within each ``by`` group, in ``order``.
 
-    Rows are staged once; only their ``by`` and ``order`` columns are range-sorted over
-    all partitions, so a group holding a third of them is spread as widely as its share.
+    Rows are staged once, unless they are plain files already (``staged``), as the sort looks
+    at them twice. They are range-sorted whole over all partitions, so they are shuffled once and
+    a group holding a third of them is spread as widely as its share.
     Each slice then needs only the count of its group's rows in earlier slices. ``by``
     plus ``order`` must be unique for the numbers to be the same on every run.
     """
-    place = F.monotonically_increasing_id()
-    sorts = [*dict.fromkeys([*by, *order])]
-    wide = len(sorts) < len(df.columns)
-    rows = stage(df.withColumn("_line", place) if wide else df, "rows")
-    narrow = rows.select(*sorts, "_line") if wide else rows
+    rows = df if staged else stage(df, "rows")
     placed = stage(
-        narrow.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_at", place),
+        rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn(
+            "_at", F.monotonically_increasing_id()),
         "sorted",
     ).withColumn("_slice", F.shiftright("_at", _SLICE_BITS))
+    if not staged:
+        unstage(rows)
     held = placed.groupBy(*by, "_slice").agg(
         F.min("_at").alias("_start"), F.count(F.lit(1)).alias("_held")
     )
@@ -44,7 +44,4 @@ def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID") ->
         lambda acc, c: acc & F.col(c).eqNullSafe(F.col(f"_by_{c}")), by,
         F.col("_slice") == F.col("_of"),
     )
-    numbered = placed.join(shifts, same).withColumn(name, F.col("_at") + F.col("_shift"))
-    if wide:
-        numbered = rows.join(numbered.select("_line", name), "_line")
-    return numbered.select(*df.columns, name)
+    return placed.join(shifts, same).withColumn(name, F.col("_at") + F.col("_shift")).select(*df.columns, name)

@@ -345,3 +345,33 @@ def test_tables_per_value(spark, tmp_path):
 def test_unlabelled_lines_are_not_exported(spark):
     df = exported(spark, [one("06", 1), one(None, 1), one("", 1)])
     assert [r["value"] for r in labelled(df).collect()] == ["06"]
+
+
+def test_numbering_shuffles_rows_once(spark):
+    """What is numbered is sorted whole: no copy of it is kept to be joined again."""
+    from fumeline.operators.numbering import number
+    from fumeline.session import stage_root
+
+    root = Path(stage_root(spark))
+    before = set(root.iterdir())
+    df = spark.range(100).selectExpr("id % 3 as g", "(id * 7) % 100 as o", "repeat('x', 50) as wide").repartition(4)
+    numbered = number(df, ["g"], ["o"])
+    assert sorted((r["g"], r["ID"]) for r in numbered.collect()) == sorted(
+        (g, i) for g, n in ((0, 34), (1, 33), (2, 33)) for i in range(1, n + 1))
+    left = sorted(p.name.partition("-")[0] for p in set(root.iterdir()) - before if any(p.glob("*.parquet")))
+    assert left == ["shifts", "sorted"]
+
+
+def test_feature_classes_are_written_unsorted(spark):
+    """No task sorts whole segments to deal them to classes: each class keeps the order it is read in."""
+    from checks import standins
+
+    root = standins.feature_classes(spark, "/root/testdata/sf0.001", 2020)
+    files = spark.read.parquet(root).select(F.col("_metadata.file_path").alias("file"), "OBJECTID", "State_Code")
+    mixed = files.groupBy("file").agg(F.count_distinct("State_Code").alias("states"), F.min("State_Code").alias("state"))
+    assert mixed.filter("states > 1 or file not like concat('%feature_class=state', state, '_2020/%')").count() == 0
+    for year in (2020, 2023):
+        # One writing job a class: a success mark in each, none above.
+        folder = Path(standins.feature_classes(spark, "/root/testdata/sf0.001", year))
+        marks = [p.parent for p in folder.rglob("_SUCCESS")]
+        assert len(marks) == 5 and folder not in marks
