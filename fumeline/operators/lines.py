@@ -16,8 +16,12 @@ there.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -213,26 +217,103 @@ def _pieces(edges: DataFrame, joints: DataFrame, staged: DataFrame) -> DataFrame
 _ALONE = "coalesce(head_to = last * 2 + 1, head_to is null and tail_to is null)"
 
 
-def _arcs(pieces: DataFrame) -> DataFrame:
-    """Every end of the pieces that lead on, as the arc leaving there, and the next arc.
+_SLICE_PIECES, _SLICE_BYTES = 400_000, 32 << 20  # that a task puts together at once
+_SLICED = (
+    f"_group long, points array<{_POINT}>, chain long, ring boolean, dist long, backward boolean, "
+    "entry0 long, back0 long, entry1 long, back1 long, arc long, other long, edges long, inside long, enters long")
 
-    ``hop`` is the number of edges the next arc runs along.
+
+def _jumped(onto: np.ndarray, cost: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The last place of every way along ``onto`` (-1: none), what it costs to get there, and the lowest on the way.
+
+    Ways without an end stop somewhere once all of them has been seen.
     """
-    head, tail = F.col("piece") * 2, F.col("last") * 2 + 1
-    ends = pieces.filter(f"not {_ALONE}").select("piece", "last", _rows(
-        "arc other enters", (head, tail, F.col("head_to")), (tail, head, F.col("tail_to"))
-    ))
+    to = np.where(onto < 0, np.arange(len(onto)), onto)
+    cost = np.where(onto < 0, 0, cost)
+    low = np.minimum(low, low[to])
+    for _ in range(len(onto).bit_length() + 1):
+        further = to[to]
+        if (further == to).all():
+            break
+        cost, low, to = cost + cost[to], np.minimum(low, low[to]), further
+    return to, cost, low
+
+
+def _joined(table: pa.Table) -> pa.Table:
+    """A slice's pieces put together as far as they meet in it (the columns of ``_SLICED``).
+
+    Chains that are whole come as their pieces. Those that lead out of the slice come as their pieces with
+    the arc where each way along them begins, and one row per such arc: ``enters`` is the end it leads to at last.
+    """
+    n = table.num_rows
+    ids = {c: table.column(c).fill_null(-1).to_numpy() for c in ("piece", "last", "head_to", "tail_to")}
+    arc, enters = np.empty(2 * n, np.int64), np.empty(2 * n, np.int64)
+    arc[::2], arc[1::2] = ids["piece"] * 2, ids["last"] * 2 + 1
+    enters[::2], enters[1::2] = ids["head_to"], ids["tail_to"]
+    edges = np.repeat(ids["last"] - ids["piece"] + 1, 2)
+    order = np.argsort(arc)
+    at = order[np.minimum(np.searchsorted(arc, enters, sorter=order), 2 * n - 1)]
     # Entering a piece at one end leads to leaving it at the other.
-    onward = ends.select(
-        F.col("arc").alias("enters"), F.col("other").alias("next"),
-        (F.col("last") - F.col("piece") + 1).alias("hop"),
-    )
-    leading = ends.filter("enters is not null").join(onward, "enters")
+    onto = np.where(arc[at] == enters, at ^ 1, -1)
+    cost = np.where(onto < 0, 0, edges[onto])
+    last, inside, low = _jumped(onto, cost, arc)
+    ring = onto[last] >= 0
+    if ring.any():
+        # A ring is cut after its lowest arc.
+        onto[ring & (arc == low)] = -1
+        last, inside, _ = _jumped(onto, cost, arc)
+    before = np.full(2 * n, -1)
+    before[onto[onto >= 0]] = np.flatnonzero(onto >= 0)
+    first, _, _ = _jumped(before, cost, arc)
+    out = ~ring & (enters[last] >= 0)
+    open_ = out[::2] | out[1::2]
+    name = arc[first]
+    back = inside[first] - inside
+    ahead = name[1::2] < name[::2]  # the way whose name is lower, left by the tail
+    own = np.arange(n) * 2 + ahead
+    done = np.flatnonzero(~open_)
+    whole = pa.table({
+        **{c: table.column(c).take(pa.array(done)) for c in ("_group", "points")},
+        "chain": pa.array(name[own[done]]), "ring": pa.array(ring[own[done]]), "dist": pa.array(inside[own[done]]),
+        "backward": pa.array(~ahead[done])})
+    left = np.flatnonzero(open_)
+    parts = pa.table({
+        **{c: table.column(c).take(pa.array(left)) for c in ("_group", "points")},
+        **{f"{c}{k}": pa.array(v[left * 2 + k]) for c, v in (("entry", name), ("back", back)) for k in (0, 1)}})
+    begins = np.flatnonzero((first == np.arange(2 * n)) & np.repeat(open_, 2))
+    leads = enters[last[begins]]
+    ways = pa.table({
+        "arc": pa.array(arc[begins]), "other": pa.array(arc[begins ^ 1]), "edges": pa.array(edges[begins]),
+        "inside": pa.array(inside[begins]), "enters": pa.array(leads, mask=leads < 0)})
+    return pa.concat_tables([whole, parts, ways], promote_options="default")
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in re.split(r", (?=\w+ )", _SLICED)]
+
+    def put_together(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _joined(pa.Table.from_batches(held))
+        return iter(table.select(names).combine_chunks().to_batches(max_chunksize=10_000))
+
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= most or size >= _SLICE_BYTES:
+            yield from put_together(held)
+            held, rows, size = [], 0, 0
+    if held:
+        yield from put_together(held)
+
+
+def _ways(begins: DataFrame) -> DataFrame:
+    """(arc, inside, next, hop) of ways through slices: the way that follows, and the edges until its first arc's end."""
+    onward = begins.select(F.col("other").alias("enters"), F.col("arc").alias("next"), F.col("edges").alias("more"))
+    leading = begins.filter("enters is not null").join(onward, "enters")
     nothing = F.lit(None).cast("long")
-    return leading.select("arc", "piece", "next", "hop").unionByName(
-        ends.filter("enters is null").select(
-            "arc", "piece", nothing.alias("next"), nothing.alias("hop"))
-    )
+    return leading.select("arc", "inside", "next", (F.col("inside") + F.col("more")).alias("hop")).unionByName(
+        begins.filter("enters is null").select("arc", "inside", nothing.alias("next"), nothing.alias("hop")))
 
 
 # Look-ups per round. They share one layout of the arcs looked up, so a round with
@@ -249,7 +330,7 @@ def _hop(step: DataFrame, there: DataFrame) -> DataFrame:
     done = F.col("done")
     met = step.withColumn("at", F.when(done, F.col("arc")).otherwise(F.col("ptr"))).join(there, "at")
     return met.select(
-        "arc", "piece", F.when(done, F.col("ptr")).otherwise(F.col("far")).alias("ptr"),
+        "arc", F.when(done, F.col("ptr")).otherwise(F.col("far")).alias("ptr"),
         (F.col("dist") + F.when(done, 0).otherwise(F.col("more"))).alias("dist"),
         F.when(done, F.col("low")).otherwise(F.least("low", "far_low")).alias("low"),
         (done | F.col("far_done")).alias("done"), "was",
@@ -259,7 +340,7 @@ def _hop(step: DataFrame, there: DataFrame) -> DataFrame:
 def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
     """Follow ``next`` from every arc to its chain's last arc, by moving pointers.
 
-    ``left`` is the number of arcs that lead on. Returns (arc, piece, last, dist)
+    ``left`` is the number of arcs that lead on. Returns (arc, last, dist)
     for arcs that have an end, ``dist`` counting the edges still to come, and (arc, low) for arcs on rings, if there are any,
     ``low`` being the ring's lowest arc.
     Each round extends the reach fourfold, so there are about log4(longest chain) of
@@ -268,10 +349,10 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
     """
     arc = F.col("arc")
     found = [arcs.filter("next is null").select(
-        "arc", "piece", arc.alias("ptr"), F.lit(0).cast("long").alias("dist")
+        "arc", arc.alias("ptr"), F.col("inside").alias("dist")
     )]
     open_ = arcs.filter("next is not null").select(
-        "arc", "piece", F.col("next").alias("ptr"), F.col("hop").alias("dist"), arc.alias("low"),
+        "arc", F.col("next").alias("ptr"), F.col("hop").alias("dist"), arc.alias("low"),
     )
     before, changed = left + 1, 1
     while left and (left < before or changed):
@@ -292,33 +373,58 @@ def _follow(arcs: DataFrame, left: int) -> tuple[DataFrame, DataFrame | None]:
             left=F.count_if(~F.col("done")),
             changed=F.count_if(~F.col("done") & (F.col("low") != F.col("was"))),
         )
-        found.append(step.filter("done").select("arc", "piece", "ptr", "dist"))
-        open_ = step.filter("not done").select("arc", "piece", "ptr", "dist", "low")
+        found.append(step.filter("done").select("arc", "ptr", "dist"))
+        open_ = step.filter("not done").select("arc", "ptr", "dist", "low")
         before, left, changed = left, seen["left"], seen["changed"]
     ended = reduce(DataFrame.unionByName, found).withColumnRenamed("ptr", "last")
     return ended, open_.select("arc", "low") if left else None
 
 
-def _ranked(arcs: DataFrame) -> DataFrame:
-    """One row per piece: its chain, the arc it is left by, its distance to the end, ring or not."""
+def _followed(begins: DataFrame) -> DataFrame:
+    """(arc, last, dist, ring) of every way through a slice: the last of its chain, and the edges until there."""
     leading = F.count("next")
-    arcs, seen = stage_counting(arcs, "arcs", left=leading)
+    arcs, seen = stage_counting(_ways(begins), "arcs", left=leading)
     ended, rings = _follow(arcs, seen["left"])
     every = ended.withColumn("ring", F.lit(False))
     if rings is not None:
         # A ring is cut after its lowest arc and followed like any other chain.
         leads = F.when(F.col("arc") != F.col("low"), F.col("next"))
         cut, seen = stage_counting(
-            rings.join(arcs, "arc").select("arc", "piece", leads.alias("next"), "hop"), "cut",
-            left=leading,
-        )
+            rings.join(arcs, "arc").select("arc", "inside", leads.alias("next"), "hop"), "cut", left=leading)
         opened, _ = _follow(cut, seen["left"])
         every = every.unionByName(opened.withColumn("ring", F.lit(True)))
-    # Each chain is followed both ways; keep the way whose last arc is lower.
-    return every.groupBy("piece").agg(
-        F.min("last").alias("chain"), F.min_by("arc", "last").alias("arc"),
-        F.min_by("dist", "last").alias("dist"), F.bool_or("ring").alias("ring"),
-    )
+    return stage(every, "followed")
+
+
+def _linked(pieces: DataFrame) -> DataFrame:
+    """(_group, chain, ring, dist, backward, points) of pieces that make up longer lines.
+
+    Pieces are range-sorted by where they lie, so most of a chain meets in one slice and is put together
+    there. Only chains that go through several slices are followed, as one arc per slice and way.
+    Each chain is known both ways; the way whose name is lower is kept.
+    """
+    place = {f"_{c}": F.col("points")[0][c] for c in "xy"}
+    most = _SLICE_PIECES
+    near = pieces.select("_group", "piece", "last", "head_to", "tail_to", "points").withColumns(place)
+    order = ["_group", *place]
+    sliced, seen = stage_counting(
+        near.repartitionByRange(*order).sortWithinPartitions(*order).drop(*place).mapInArrow(lambda batches: _slices(batches, most), _SLICED),
+        "sliced", left=F.count("arc"))
+    columns = ["_group", "chain", "ring", "dist", "backward", "points"]
+    whole = sliced.filter("chain is not null").select(*columns)
+    if not seen["left"]:
+        return whole
+    ends = _followed(sliced.filter("arc is not null").select("arc", "other", "edges", "inside", "enters"))
+    parts = sliced.filter("entry0 is not null").select("_group", "points", "entry0", "back0", "entry1", "back1")
+    for k in (0, 1):
+        parts = parts.join(ends.select(
+            F.col("arc").alias(f"entry{k}"), F.col("last").alias(f"last{k}"), F.col("dist").alias(f"dist{k}"),
+            F.col("ring").alias(f"ring{k}")), f"entry{k}")
+    by_head = F.col("last0") < F.col("last1")
+    return whole.unionByName(parts.select(
+        "_group", F.least("last0", "last1").alias("chain"), F.col("ring0").alias("ring"),
+        F.when(by_head, F.col("dist0") - F.col("back0")).otherwise(F.col("dist1") - F.col("back1")).alias("dist"),
+        by_head.alias("backward"), "points"))
 
 
 def _settled(path: Column, ring: Column) -> Column:
@@ -355,11 +461,10 @@ def _placed_pieces(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
         "_group", F.col("piece").alias("chain"), F.col("head_to").isNotNull().alias("ring"),
         F.lit(0).cast("long").alias("dist"), "points",
     )
-    backward = F.col("arc") % 2 == 0
-    linked = pieces.filter(f"not {_ALONE}").join(_ranked(_arcs(pieces)), "piece").select(
+    linked = _linked(pieces.filter(f"not {_ALONE}")).select(
         # Chains are named by an arc: below zero, they never meet a lone piece's name.
         "_group", (-1 - F.col("chain")).alias("chain"), "ring", "dist",
-        F.when(backward, F.reverse("points")).otherwise(F.col("points")).alias("points"),
+        F.when(F.col("backward"), F.reverse("points")).otherwise(F.col("points")).alias("points"),
     )
     return alone, linked
 

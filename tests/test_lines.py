@@ -211,6 +211,22 @@ def test_input_order_and_partitions_do_not_matter(features):
     assert one == many == expected(rows)
 
 
+def test_chains_through_many_slices(spark, features, monkeypatch):
+    """Chains and rings that are cut into slices of a few pieces come out as those in one slice."""
+    rng = random.Random(5)
+    long = [[(i, i % 7), (i + 1, (i + 1) % 7)][:: rng.choice((1, -1))] for i in range(60)]
+    ring = [[(i, 100 + i * i), ((i + 1) % 31, 100 + ((i + 1) % 31) ** 2)] for i in range(31)]
+    rows = [("a", [p]) for p in long] + [("a", [p]) for p in ring] + [("b", [p]) for p in ring[:-1]]
+    rows += [("c", [p]) for p in SHAPES["ring of reversed pieces"] + SHAPES["lollipop"]]
+    rng.shuffle(rows)
+    monkeypatch.setattr(lines, "_SLICE_PIECES", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert chain_sets(chains(features(rows), ["g"])) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_zero_has_one_sign(features):
     rows = [("a", [[(-0.0, -0.0), (1, 0)]]), ("b", [[(1, -0.0), (2, 3)], [(-0.0, 5), (1, 0.0)]])]
     for made in (chains(features(rows), ["g"]).selectExpr("inline(path)"), chain_vertices(features(rows), ["g"])):
