@@ -99,7 +99,8 @@ def feature_classes(spark: SparkSession, sf_dir: str, year: int) -> str:
         order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                  "l_extendedprice"]
         lines = table(spark, sf_dir, "lineitem").select(*order)
-        rows = segment_columns(number(lines, [], order, "OBJECTID", staged=True)).withColumn(
+        numbered = number(lines, [], order, "OBJECTID", staged=True, drop=("l_extendedprice",))
+        rows = segment_columns(numbered).withColumn(
             "Shape_Length", line_length("paths")
         )
         # A class at a time: writing all at once would sort whole segments by class.

@@ -52,9 +52,12 @@ def with_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     key's rows over tasks only where the join reads both sides straight from their
     shuffles.
     """
-    numbers = groups.select("_group", *[F.col(k).alias(f"_of_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-    return df.join(numbers, same).drop(*[f"_of_{k}" for k in keys])
+    of = [f"_of_{k}" for k in keys]
+    numbers = groups.select("_group", *[F.col(k).alias(o) for k, o in zip(keys, of)])
+    # The hash comes first: a merge join then sorts by a number that tells keys apart, not by texts.
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, of)],
+                  F.xxhash64(*keys) == F.xxhash64(*of))
+    return df.join(numbers, same).drop(*of)
 
 
 def _stage_features(features: DataFrame, groups: DataFrame, keys: list[str], paths: str) -> DataFrame:
@@ -109,8 +112,9 @@ def _distinct(rows: DataFrame) -> DataFrame:
         "by": F.when(ahead, F.col("ty")).otherwise(F.col("hy")),
     }
     first_end = F.col("edge") * 2 + F.when(ahead, 0).otherwise(1)
+    # Features' numbers do not overlap, so the lowest end is the lowest feature's.
     return rows.groupBy("_group", *[c.alias(n) for n, c in ends.items()]).agg(
-        F.min(first_end).alias("end"), F.min_by("feature", first_end).alias("feature")
+        F.min(first_end).alias("end"), F.min("feature").alias("feature")
     )
 
 
@@ -159,7 +163,7 @@ def _joints(edges: DataFrame) -> DataFrame:
     )
     met = edges.select("_group", "feature", ends).groupBy("_group", "x", "y").agg(
         F.count(F.lit(1)).alias("n"), F.min("at").alias("u"), F.max("at").alias("v"),
-        F.min_by("feature", "at").alias("of_u"), F.max_by("feature", "at").alias("of_v"),
+        F.min("feature").alias("of_u"), F.max("feature").alias("of_v"),  # in the order of their ends
     )
     return met.filter("n = 2").select("u", "v", "of_u", "of_v")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fumeline.session import stage, unstage
@@ -12,19 +12,24 @@ from fumeline.session import stage, unstage
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
 
 
-def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID", staged: bool = False) -> DataFrame:
+def number(
+    df: DataFrame, by: list[str], order: list[str | Column], name: str = "ID", staged: bool = False,
+    drop: tuple[str, ...] = (),
+) -> DataFrame:
     """Number rows 1..n within each ``by`` group, in ``order``.
 
     Rows are staged once, unless they are plain files already (``staged``), as the sort looks
     at them twice. They are range-sorted whole over all partitions, so they are shuffled once and
     a group holding a third of them is spread as widely as its share.
     Each slice then needs only the count of its group's rows in earlier slices. ``by``
-    plus ``order`` must be unique for the numbers to be the same on every run.
+    plus ``order`` must be unique for the numbers to be the same on every run. ``order`` may hold
+    expressions, which are not shuffled or written; ``drop`` names columns only needed for the order.
     """
     rows = df if staged else stage(df, "rows")
+    kept = [c for c in df.columns if c not in drop]
     placed = stage(
-        rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn(
-            "_at", F.monotonically_increasing_id()),
+        rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).select(
+            *kept, F.monotonically_increasing_id().alias("_at")),
         "sorted",
     ).withColumn("_slice", F.shiftright("_at", _SLICE_BITS))
     if not staged:
@@ -44,4 +49,4 @@ def number(df: DataFrame, by: list[str], order: list[str], name: str = "ID", sta
         lambda acc, c: acc & F.col(c).eqNullSafe(F.col(f"_by_{c}")), by,
         F.col("_slice") == F.col("_of"),
     )
-    return placed.join(shifts, same).withColumn(name, F.col("_at") + F.col("_shift")).select(*df.columns, name)
+    return placed.join(shifts, same).withColumn(name, F.col("_at") + F.col("_shift")).select(*kept, name)

@@ -66,11 +66,30 @@ def supporting_lines(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return ux, uy, *offsets
 
 
+_MIXERS = np.random.default_rng(42).integers(0, 1 << 63, len(_LINE), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _lines_of(batch: pa.RecordBatch) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """A batch's supporting lines, and a hash of each with its group: equal for equal ones."""
+    ends = np.stack([batch.column(c).to_numpy() for c in EDGE[1:]]) if batch.num_rows else np.zeros((4, 0))
+    columns = supporting_lines(ends)
+    mixed = np.zeros(batch.num_rows, np.uint64)
+    for values, factor in zip((batch.column("_group").to_numpy(), *columns), _MIXERS):
+        mixed = (mixed ^ values.astype(np.int64).view(np.uint64)) * factor
+        mixed ^= mixed >> np.uint64(29)
+    return columns, mixed.view(np.int64)
+
+
 def _with_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ends = np.stack([batch.column(c).to_numpy() for c in EDGE[1:]]) if batch.num_rows else np.zeros((4, 0))
-        columns = [pa.array(c, pa.int64()) for c in supporting_lines(ends)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *_LINE[1:]])
+        columns, mixed = _lines_of(batch)
+        columns = [pa.array(c, pa.int64()) for c in (*columns, mixed)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *_LINE[1:], "hash"])
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_lines_of(batch)[1], pa.int64())], names=["hash"])
 
 
 def covered(edges: DataFrame) -> DataFrame:
@@ -107,15 +126,17 @@ def partly_overlapping(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
 
     None if there are none.
     """
-    lined = stage(edges.select(*EDGE).mapInArrow(
-        _with_lines, "_group long, ax double, ay double, bx double, by double, ux long, uy long, c1 long, c2 long"), "lined")
-    # Most edges have their line for themselves.
-    shared = lined.groupBy(*_LINE).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*_LINE)
-    some, seen = stage_counting(lined.join(shared, _LINE, "left_semi"), "shared", n=F.count(F.lit(1)))
-    unstage(lined)
+    # Most edges have their line for themselves. Lines meet by a hash: two of one hash are only looked at for nothing.
+    hashes = edges.select(*EDGE).mapInArrow(_hashes, "hash long")
+    shared, seen = stage_counting(
+        hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "shared", n=F.count(F.lit(1)))
     if not seen["n"]:
-        unstage(some)
+        unstage(shared)
         return None
+    lined = edges.select(*EDGE).mapInArrow(
+        _with_lines, "_group long, ax double, ay double, bx double, by double, ux long, uy long, c1 long, c2 long, hash long")
+    some = stage(lined.join(shared, "hash", "left_semi").drop("hash"), "some")
+    unstage(shared)
     parts = stage(covered(some).select(*EDGE), "covered")
     gone, seen = stage_counting(some.select(*EDGE).join(parts, EDGE, "left_anti"), "gone", n=F.count(F.lit(1)))
     if not seen["n"]:

@@ -59,8 +59,8 @@ def dissolve(kept: DataFrame) -> DataFrame:
     """Numbered single-part lines with their groups' attributes."""
     lines = single_part(kept, dissolve_attributes(kept, KEYS, FIRST, MEAN), KEYS)
     # A line is told from the others of its group by its first step.
-    start = {f"_{i}{c}": F.element_at("path", i)[c] for i in (1, 2) for c in "xy"}
-    return number(lines.withColumns(start), ["source"], ["key", *start]).drop(*start)
+    start = [F.element_at("path", i)[c] for i in (1, 2) for c in "xy"]
+    return number(lines, ["source"], ["key", *start])
 
 
 def roads(

@@ -134,3 +134,19 @@ def test_nothing_is_written_without_overlaps(features, spark):
                                   "_group long, ax double, ay double, bx double, by double")
     assert overlaps.partly_overlapping(edges) is None
     assert overlaps.partly_overlapping(edges.limit(0)) is None
+
+
+def test_edges_on_lines_of_their_own_are_only_counted(spark, monkeypatch):
+    """Without two edges on one line nothing but a number per edge is shuffled or written."""
+    written = []
+    counting = overlaps.stage_counting
+
+    def seen(df, label, **sums):
+        written.append((label, df.columns))
+        return counting(df, label, **sums)
+
+    monkeypatch.setattr(overlaps, "stage_counting", seen)
+    monkeypatch.setattr(overlaps, "stage", lambda df, label: pytest.fail(f"{label} was written"))
+    edges = spark.range(200).selectExpr("id % 3 as _group", "0D as ax", "cast(id as double) as ay", "1D as bx", "cast(id * id as double) as by")
+    assert overlaps.partly_overlapping(edges) is None
+    assert written == [("shared", ["hash"])]

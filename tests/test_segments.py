@@ -159,3 +159,15 @@ def test_number_reads_its_input_once_and_sorts_narrow_rows(spark):
     got = number(wide, ["g"], ["id"], "place")
     assert got.count() == 5000 and seen.value == 5000
     assert got.columns == ["id", "g", "body", "place"]
+
+
+def test_number_by_expressions_writes_no_column_for_them(spark, monkeypatch):
+    staged = {}
+    kept = numbering.stage
+    monkeypatch.setattr(numbering, "stage", lambda df, label: staged.setdefault(f"{label}{len(staged)}", kept(df, label)))
+    df = spark.range(50).selectExpr("id % 2 as g", "array(-id, 0) as path", "-id as only")
+    for order, drop, left in (([F.col("path")[0]], (), ["g", "path", "only"]), (["only"], ("only",), ["g", "path"])):
+        got = number(df, ["g"], order, "place", drop=drop)
+        table = [t for label, t in staged.items() if label.startswith("sorted")][-1]
+        assert table.columns == [*left, "_at"] and got.columns == [*left, "place"]
+        assert all(r["place"] == 25 + r["path"][0] // -2 * -1 for r in got.filter("g = 0").collect())
