@@ -27,7 +27,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies: five-word shingles, Jaccard 0.8.
 
-    Operator 4's three words and two bits hold for its own query alone.
+    Operator 4's fingerprints and bit planes find the nearest, of five words; what lies beyond its two bits is
+    found by keys. All are compared exactly.
     """
     batches_of(spark)
     return copies.first_of_each(docs)

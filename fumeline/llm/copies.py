@@ -1,6 +1,9 @@
 """One document of each group of near copies: five-word shingles, Jaccard 0.8 (the pipeline's stage).
 
-Texts of equal shingle sets are taken together first. Of each set 350 minima under
+Texts of equal shingle sets are taken together first. Operator 4 then finds sets whose SimHash
+fingerprints, of five words here, differ in two bits or fewer, by bit planes; these are compared
+exactly. Two bits are less than most pairs at 0.8 differ in, so what is still apart is looked for by
+keys. Of each set 350 minima under
 different hashes are taken, seven to a key: two sets share a minimum with the
 probability of their Jaccard similarity, so a pair at 0.8 misses all 50 keys with a
 probability of 8 in a million and closer pairs with a smaller one. Sets that share a
@@ -24,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fumeline.llm import simhash
 from fumeline.llm.common import as_text, batch_of, fresh
 from fumeline.llm.components import components
 from fumeline.session import stage, unstage
@@ -63,16 +67,18 @@ def keys(hashes: np.ndarray) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(29)
 
 
-def _marked(batches, names: tuple[str, str]):
+def _marked(batches, names: tuple[str, str, str]):
     for batch in batches:
-        marks, held = [], []
+        marks, held, prints = [], [], []
         for text in batch.column("text"):
             hashes = np.array([xxhash.xxh64_intdigest(s) for s in shingles(text.as_buffer().to_pybytes())], np.uint64)
             hashes.sort()
             marks.append(xxhash.xxh128_digest(hashes.tobytes()))
             held.append(keys(hashes).view(np.int64))
+            prints.append(simhash.fingerprint(text.as_buffer().to_pybytes(), SHINGLE))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(marks, pa.binary()), pa.array(held, pa.list_(pa.int64()))],
+            [*batch.columns, pa.array(marks, pa.binary()), pa.array(held, pa.list_(pa.int64())),
+             pa.array(np.array(prints, np.uint64).view(np.int64))],
             names=[*batch.schema.names, *names])
 
 
@@ -155,14 +161,36 @@ def _linked(rows: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
 
+def by_fingerprint(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): the similar ones of pairs that operator 4 finds among (node, fp); staged.
+
+    Sets of one fingerprint are compared with the smallest of it, and these along the links of fingerprints.
+    """
+    prints = stage(nodes.groupBy("fp").agg(F.min("node").alias("low")), "prints")
+    same = nodes.join(prints, "fp").filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    a, b = (prints.select(F.col("fp").alias(c), F.col("low").alias(f"low_{c}")) for c in "ab")
+    close = simhash.linked(prints.select("fp")).join(a, "a").join(b, "b").select(
+        F.least("low_a", "low_b").alias("a"), F.greatest("low_a", "low_b").alias("b"))
+    near = compared(same.union(close), texts)
+    unstage(prints)
+    return near
+
+
 def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): links that connect the similar ones of (node, keys), whose texts are among (node, text); staged."""
+    """(a, b): links that connect the similar ones of (node, keys, fp), whose texts are among (node, text); staged."""
+    first = by_fingerprint(nodes, texts)
+    joined = components(first)
     # A few numbers become 50 rows here, so the sets are spread by number, not by size.
     narrow = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
     groups = narrow.select("node", F.explode("keys").alias("key")).groupBy("key").agg(
         F.collect_list("node").alias("members"))
     groups = stage(groups.filter(F.size("members") > 1), "groups")
-    near = compared(groups.select("members").mapInArrow(_stars, "a long, b long"), texts)
+    # What operator 4 has connected needs no other link.
+    stars = groups.select("members").mapInArrow(_stars, "a long, b long").distinct()
+    for c in "ab":
+        stars = stars.join(joined.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    stars = stars.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    near = first.union(compared(stars, texts))
     roots = components(near)
     member = groups.filter(F.size("members") > 2).select("key", F.explode("members").alias("node")).join(
         roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -176,7 +204,7 @@ def links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         "node", "root", F.coalesce("family", "root").alias("family")).join(nodes, "node").join(texts, "node")
     more = stage(blocks(some).groupBy("family", "p", "q").applyInArrow(_linked, "a long, b long"), "more")
     every = stage(near.union(more), "every")
-    unstage(groups, near, roots, member, open_, families, more)
+    unstage(groups, first, near, joined, roots, member, open_, families, more)
     return every
 
 
@@ -195,16 +223,17 @@ def first_of_each(docs: DataFrame) -> DataFrame:
 
     Of several rows with that id in the component one stays.
     """
-    mark, held = fresh("mark", docs.columns), fresh("keys", docs.columns)
+    mark, held, fp = (fresh(n, docs.columns) for n in ("mark", "keys", "fp"))
     row = fresh("row", docs.columns)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     marked = docs.withColumn("text", as_text()).mapInArrow(
-        lambda batches: _marked(batches, (mark, held)), f"{fields}, `{mark}` binary, `{held}` array<long>")
+        lambda batches: _marked(batches, (mark, held, fp)), f"{fields}, `{mark}` binary, `{held}` array<long>, `{fp}` long")
     rows = stage(marked.withColumn(row, F.monotonically_increasing_id()), "marked")  # staged: the numbers stay
     order = F.struct(F.col("doc_id").isNull(), "doc_id", F.col(row).alias("row"))
     sets = rows.groupBy(mark).agg(F.min(row).alias("node"), F.min(order).alias("kept"))
     sets = stage(sets.select("node", "kept"), "sets")
-    nodes = rows.select(F.col(row).alias("node"), F.col(held).alias("keys")).join(sets.select("node"), "node")
+    nodes = rows.select(F.col(row).alias("node"), F.col(held).alias("keys"), F.col(fp).alias("fp")).join(
+        sets.select("node"), "node")
     nodes = stage(nodes, "nodes")
     linked = links(nodes, rows.select(F.col(row).alias("node"), "text"))  # texts only of what is compared
     roots = components(linked)

@@ -98,3 +98,20 @@ def test_staged_tables_are_dropped(spark):
     # The numbered rows and what is kept of them are still read.
     left = sorted(p.name.partition("-")[0] for p in set(root.iterdir()) - before if any(p.glob("*.parquet")))
     assert left == ["kept", "marked"]
+
+
+def test_operator_four_finds_its_own(spark):
+    """Sets that share no key are linked by their fingerprints, if they are similar enough."""
+    rng, texts = random.Random(3), []
+    while len(texts) < 12:
+        own = corpus.words(rng, 400)
+        pair = [" ".join(own), " ".join([*own[:200], "another", *own[201:]])]
+        prints = [simhash.fingerprint(t.encode(), copies.SHINGLE) for t in pair]
+        if 0 < (prints[0] ^ prints[1]).bit_count() <= 2:
+            texts += pair
+    prints = np.array([simhash.fingerprint(t.encode(), copies.SHINGLE) for t in texts], np.uint64).view(np.int64).tolist()
+    # The last has the first's fingerprint, and nothing else of it.
+    rows = [(k, [k], p, t) for k, (p, t) in enumerate(zip(prints, texts))] + [(12, [12], prints[0], "none of these words")]
+    nodes = spark.createDataFrame(rows, "node long, keys array<long>, fp long, text string").cache()
+    found = copies.links(nodes.drop("text"), nodes.select("node", "text")).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == [(k, k + 1) for k in range(0, 12, 2)]
